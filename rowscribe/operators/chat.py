@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowscribe.functions import fixed
+from rowscribe.operators.columns import quoted
 
 #: Longest run of turns kept in one row by :func:`assemble_chats`.
 TURNS_PER_PART = 1024
@@ -48,8 +49,9 @@ def render_chat(
     the list, a role or a content is null: such a row cannot be rendered, and
     leaving the turn out would change the chat.
     """
+    complete = F.forall(turns, lambda t: t["role"].isNotNull() & t["content"].isNotNull())
     pieces = F.transform(turns, lambda t: turn_text(t["role"], t["content"], template))
-    whole = F.when(F.forall(pieces, lambda p: p.isNotNull()), F.array_join(pieces, ""))
+    whole = F.when(complete, F.array_join(pieces, ""))
     end = F.lit(template.eos)
     return F.concat(whole, end if closed is None else F.when(closed, end).otherwise(F.lit("")))
 
@@ -113,7 +115,7 @@ def assemble_chats(
     follows are found from the two key columns alone; adaptive execution drops
     that join where no chat is so long.
     """
-    part = F.floor(F.col(turn) / F.lit(turns_per_part)).cast("long")
+    part = F.expr(f"{quoted(turn)} div {turns_per_part}")
     keyed = turns.select(
         F.col(chat),
         part.alias("part"),

@@ -70,11 +70,10 @@ def assign_batches(
 ) -> DataFrame:
     """Add ``position``, ``micro_batch`` and ``step`` (optimizer step), from 0,
     for one pass over the rows in seeded order."""
-    position = F.col("position")
     return shuffled_position(df, seed, keys, shards=shards).withColumns(
         {
-            "micro_batch": F.floor(position / F.lit(batch_size)).cast("long"),
-            "step": F.floor(position / F.lit(batch_size * accumulation)).cast("long"),
+            "micro_batch": F.expr(f"position div {batch_size}"),
+            "step": F.expr(f"position div {batch_size * accumulation}"),
         }
     )
 

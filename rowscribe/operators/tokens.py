@@ -119,22 +119,23 @@ def encode_by_lookup(
         .select(F.transform("slots", lambda s: F.map_from_entries(s["entries"])))
     )
 
-    def ids(found: Column) -> Column:
-        # The outer transform runs once per row; it only names the maps, which
-        # would otherwise be copied into every row.
-        return F.get(
-            F.transform(
-                F.array(F.col("_maps")),
-                lambda m: F.transform(
-                    found, lambda t: F.coalesce(F.get(m, slot(t))[t], F.lit(0))
-                ),
+    # Spark allows no subquery inside a lambda, so the maps are a column first.
+    # Both new columns are used once, which makes the optimizer merge the two
+    # projections: the maps are then a constant of the expression and are not
+    # copied into any row. The outer transform only names them.
+    prepared = df.withColumn("_tokens", tokens(column(df, text), max_length)).withColumn(
+        "_maps", maps.scalar()
+    )
+    ids = F.get(
+        F.transform(
+            F.array(F.col("_maps")),
+            lambda m: F.transform(
+                F.col("_tokens"), lambda t: F.coalesce(F.get(m, slot(t))[t], F.lit(0))
             ),
-            F.lit(0),
-        )
-
-    return with_column(
-        df.withColumn("_maps", maps.scalar()), out, ids(tokens(column(df, text), max_length))
-    ).drop("_maps")
+        ),
+        F.lit(0),
+    )
+    return with_column(prepared, out, ids).drop("_tokens", "_maps")
 
 
 def encode_by_join(

@@ -16,7 +16,7 @@ def pairs(turns: DataFrame, turns_per_block: int = TURNS_PER_PART) -> DataFrame:
     for each block of its chat, which joins it on the key the blocks are
     already partitioned by.
     """
-    block = F.floor(F.col("turn") / F.lit(turns_per_block)).cast("long")
+    block = F.expr(f"turn div {turns_per_block}")
     opens_block = (F.col("turn") > 0) & (F.col("turn") % turns_per_block == 0)
     spread = turns.select(
         "conv_id",
@@ -29,15 +29,18 @@ def pairs(turns: DataFrame, turns_per_block: int = TURNS_PER_PART) -> DataFrame:
     )
     following = Window.partitionBy("conv_id", "block").orderBy("turn")
     systems = (
-        turns.groupBy("conv_id")
-        .agg(
-            F.max(F.when(F.col("role") == "system", F.col("text"))).alias("input"),
-            F.max(block).alias("last"),
-        )
-        .where(F.col("input").isNotNull())
-        .select(
-            "conv_id", "input", F.explode(F.sequence(F.lit(0).cast("long"), "last")).alias("block")
-        )
+        turns.where(F.col("role") == "system")
+        .groupBy("conv_id")
+        .agg(F.max("text").alias("input"))
+    )
+    # Read from the key columns; dropped at run time if there is no long chat.
+    long_chats = turns.groupBy("conv_id").agg(F.max(block).alias("last")).where(F.col("last") > 0)
+    systems = systems.join(long_chats, "conv_id", "left").select(
+        "conv_id",
+        "input",
+        F.explode(
+            F.sequence(F.lit(0).cast("long"), F.coalesce("last", F.lit(0).cast("long")))
+        ).alias("block"),
     )
     return (
         spread.withColumns(
@@ -49,7 +52,7 @@ def pairs(turns: DataFrame, turns_per_block: int = TURNS_PER_PART) -> DataFrame:
         .where(
             (F.col("role") == "user")
             & (F.col("answered_by") == "assistant")
-            & (F.floor(F.col("turn") / F.lit(turns_per_block)) == F.col("block"))
+            & (block == F.col("block"))
         )
         .join(systems, ["conv_id", "block"], "left")
         .select("conv_id", "turn", F.col("text").alias("instruction"), "output", "input")

@@ -54,7 +54,7 @@ def log_chunks(
     """
     numbered = sorted_position(lines.select(*order_by, "line"), order_by)
     return (
-        numbered.groupBy(F.floor(F.col("position") / F.lit(lines_per_chunk)).cast("long").alias("chunk"))
+        numbered.groupBy(F.expr(f"position div {lines_per_chunk}").alias("chunk"))
         .agg(F.expr("listagg(line, '') within group (order by position)").alias("text"))
     )
 
