@@ -15,6 +15,8 @@ from rowscribe.operators.columns import column, with_column
 
 #: Largest vocabulary that :func:`encode` looks up inside each task.
 LOOKUP_LIMIT = 200_000
+#: Most rows that :func:`build_vocabulary` ranks in one task without a cut.
+RANKED_LIMIT = 10_000_000
 DEFAULT_VOCABULARY = 32_000
 DEFAULT_LENGTH = 2048
 
@@ -46,34 +48,43 @@ def build_vocabulary(df: DataFrame, text: str, size: int = DEFAULT_VOCABULARY) -
     """The ``size`` most frequent tokens; ties go to the smaller token.
 
     Counts are combined before the shuffle, so frequent tokens do not gather.
-    Before the ranking, which one task does, tokens too rare to be in it are
-    left out by magnitude: with ``size`` tokens of a count of at least 2**m,
-    all with a smaller count can go.
+    The ranking gets the best ``size`` tokens of every partition in one task;
+    where that would be many, tokens too rare to matter are left out first.
     """
     counts = (
         df.select(F.explode(tokens(column(df, text))).alias("token"))
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("count"))
     )
-    magnitude = F.length(F.bin("count"))
-    at_least = F.sum("n").over(Window.orderBy(F.desc("magnitude")))
-    cut = (
-        counts.groupBy(magnitude.alias("magnitude"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("at_least", at_least)
-        .where(F.col("at_least") >= size)
-        .agg(F.coalesce(F.max("magnitude"), F.lit(1)).alias("cut"))
-    )
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    candidates = counts if size * partitions <= RANKED_LIMIT else without_rare(counts, size)
     best = [F.desc("count"), F.asc("token")]
     frame = (
-        counts.where(magnitude >= cut.scalar())
-        .orderBy(*best)
+        candidates.orderBy(*best)
         .limit(size)
         .select(F.row_number().over(Window.orderBy(*best)).alias("id"), "token", "count")
     )
     return Vocabulary(frame, size)
 
 
+def without_rare(counts: DataFrame, size: int) -> DataFrame:
+    """Drop tokens that cannot be among the ``size`` most frequent, exactly.
+
+    If at least ``size`` tokens have a count of m binary digits or more, tokens
+    with fewer digits can go. The table of digits has at most 64 rows.
+    """
+    digits = F.length(F.bin("count"))
+    at_least = F.sum("n").over(Window.orderBy(F.desc("digits")))
+    cut = (
+        counts.groupBy(digits.alias("digits"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("at_least", at_least)
+        .where(F.col("at_least") >= size)
+        .agg(F.coalesce(F.max("digits"), F.lit(1)).alias("cut"))
+    )
+    return counts.where(digits >= cut.scalar())
+
+
 def encode(
     df: DataFrame,
     text: str,
@@ -170,15 +181,19 @@ def encode_by_join(
     ).drop("_entries")
 
 
-def prompt_masked_labels(token_ids: Column, prompt: Column) -> Column:
+def prompt_masked_labels(
+    token_ids: Column, prompt: Column, max_length: int | None = None
+) -> Column:
     """The ids, with those of the prompt replaced by the ignored label.
 
     ``prompt`` is the start of the encoded text and must end at a token
-    boundary, as rendered prompts do.
+    boundary, as rendered prompts do. ``max_length`` is that of the ids.
     """
-    length = F.size(tokens(prompt))
-    return F.transform(
-        token_ids, lambda token, i: F.when(i < length, F.lit(fixed.IGNORED_LABEL)).otherwise(token)
+    asked = F.size(tokens(prompt, max_length))
+    size = F.size(token_ids)
+    return F.concat(
+        F.array_repeat(F.lit(fixed.IGNORED_LABEL), F.least(asked, size)),
+        F.slice(token_ids, asked + 1, F.greatest(size, F.lit(1))),
     )
 
 
@@ -197,4 +212,5 @@ def encode_with_labels(
     ids = F.col("token_ids")
     if "prompt_text" not in df.columns:
         return with_column(encoded, "labels", ids)
-    return with_column(encoded, "labels", prompt_masked_labels(ids, column(df, "prompt_text")))
+    labels = prompt_masked_labels(ids, column(df, "prompt_text"), max_length)
+    return with_column(encoded, "labels", labels)

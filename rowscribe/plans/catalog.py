@@ -39,6 +39,12 @@ def joined(values: Column) -> Column:
     return F.array_join(values.cast("array<string>"), ",")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts, over all cores, for queries that split them into tokens."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return datasets.spread(rows, ["doc_id"])
+
+
 # --- Sources and sinks -----------------------------------------------------
 
 
@@ -256,7 +262,7 @@ def names_joined(spark, sf_dir):
 
 
 def vocabulary(spark, sf_dir):
-    frame = tokens.build_vocabulary(table(spark, sf_dir, "documents"), "text", 1000).frame
+    frame = tokens.build_vocabulary(documents(spark, sf_dir), "text", 1000).frame
     return frame.select(F.col("id").cast("long").alias("id"), "token", "count")
 
 
@@ -271,15 +277,15 @@ def encode(spark, sf_dir):
 
 
 def encode_documents(spark, sf_dir):
-    """Whole documents: no length limit bites."""
-    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
+    """Whole documents, without a length limit."""
+    rows = documents(spark, sf_dir)
     vocabulary = tokens.build_vocabulary(rows, "text", 1000)
     encoded = tokens.encode(rows, "text", vocabulary, ["doc_id"], max_length=None)
     return encoded.select("doc_id", joined(F.col("token_ids")).alias("ids"))
 
 
 def truncate(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents")
+    rows = documents(spark, sf_dir)
     return rows.select("doc_id", F.array_join(tokens.tokens(F.col("text"), LENGTH), " ").alias("text"))
 
 

@@ -66,6 +66,18 @@ def pick_split(df: DataFrame, split: str, split_column: str = "split") -> DataFr
     return df.where(column(df, split_column) == split)
 
 
+def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Deal the rows of a table out to all cores, if it has fewer tasks.
+
+    For costly expressions over a table of one or two files. A large table has
+    more tasks than there are cores and is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 > cores:
+        return df
+    return df.repartition(cores, *[column(df, key) for key in keys])
+
+
 def sample_head(
     df: DataFrame, num_samples: int | None, order_by: Sequence[str] | None = None
 ) -> DataFrame:
