@@ -76,10 +76,12 @@ def prepare(spark: SparkSession, job: JobParameters) -> DataFrame:
         order_by=None if job.format == "parquet" else job.keys,
         **job.options,
     )
+    order = ["position", "micro_batch", "step"]
+    if taken := set(order) & set(raw.columns):
+        raise ValueError(f"the dataset has columns named like the order: {sorted(taken)}")
     batched = assign_batches(
         raw, job.batch_size, job.gradient_accumulation_steps, job.random_state, job.keys
     )
-    order = ["position", "micro_batch", "step"]
     rows = batched.select(*[quoted(c) for c in raw.columns], F.struct(*order).alias("_order"))
     result, added = _render(rows, job), ["text"]
     if job.tokenize:
