@@ -29,6 +29,9 @@ _PLAIN_NAME_LIST = (
     r"""(?:'[^'"\\\x00-\x1f]*+'|"[^"\\\x00-\x1f]*+")\}"""
     r"(?:, (?=\{)|(?=\])))*+\]\z"
 )
+# Exact for that shape only: each match starts at an item's own name and takes
+# all of it, so text inside a name is never taken for another item.
+_PLAIN_NAME = r"""(?s)'name': (['"])(.*?)\1"""
 
 
 def py_str(value: Column, dtype: T.DataType) -> Column:
@@ -91,8 +94,7 @@ def literal_names(value: Column) -> Column:
     because its names could not be joined.
     """
     plain = F.coalesce(value.rlike(_PLAIN_NAME_LIST), F.lit(False))
-    items = F.from_json(F.when(plain, value), "array<struct<name:string>>")
-    native = F.transform(items, lambda item: item["name"])
+    native = F.regexp_extract_all(F.when(plain, value), F.lit(_PLAIN_NAME), F.lit(2))
     rare = _python_names()(F.when(~plain, value))
     return F.coalesce(native, rare, F.array().cast("array<string>"))
 

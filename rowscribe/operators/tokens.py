@@ -15,6 +15,8 @@ from rowscribe.operators.columns import column, with_column
 
 #: Largest vocabulary that :func:`encode` looks up inside each task.
 LOOKUP_LIMIT = 200_000
+#: Longest token, in bytes, that is sent to the tasks as it is.
+KEY_BYTES = 64
 #: Most rows that :func:`build_vocabulary` ranks in one task without a cut.
 RANKED_LIMIT = 10_000_000
 DEFAULT_VOCABULARY = 32_000
@@ -108,16 +110,17 @@ def encode_by_lookup(
     df: DataFrame, text: str, vocabulary: Vocabulary, max_length: int | None, out: str = "token_ids"
 ) -> DataFrame:
     # A map is searched from its start, so the vocabulary is spread over many
-    # small maps and the hash of a token tells which one to search.
+    # small maps and the hash of a token tells which one to search. Short keys
+    # bound what is sent: LOOKUP_LIMIT entries of at most 65 bytes and an id.
     slots = max(1, vocabulary.size // 4)
 
     def slot(token: Column) -> Column:
         return F.pmod(F.hash(token), F.lit(slots))
 
     spread = vocabulary.frame.groupBy(slot(F.col("token")).alias("slot")).agg(
-        F.collect_list(F.struct("token", "id")).alias("entries")
+        F.collect_list(F.struct(_short_key(F.col("token")).alias("key"), "id")).alias("entries")
     )
-    none = F.array().cast("array<struct<token:string,id:int>>")
+    none = F.array().cast("array<struct<key:string,id:int>>")
     maps = (
         df.sparkSession.range(slots)
         .select(F.col("id").cast("int").alias("slot"))
@@ -141,7 +144,7 @@ def encode_by_lookup(
         F.transform(
             F.array(F.col("_maps")),
             lambda m: F.transform(
-                F.col("_tokens"), lambda t: F.coalesce(F.get(m, slot(t))[t], F.lit(0))
+                F.col("_tokens"), lambda t: F.coalesce(F.get(m, slot(t))[_short_key(t)], F.lit(0))
             ),
         ),
         F.lit(0),
@@ -149,6 +152,13 @@ def encode_by_lookup(
     return with_column(prepared, out, ids).drop("_tokens", "_maps")
 
 
+def _short_key(token: Column) -> Column:
+    """The token, or a digest of a long one. A line feed is never in a token, so
+    the two cannot be mistaken for each other."""
+    digest = F.concat(F.lit("\n"), F.sha2(token, 256))
+    return F.when(F.octet_length(token) > KEY_BYTES, digest).otherwise(token)
+
+
 def encode_by_join(
     df: DataFrame,
     text: str,

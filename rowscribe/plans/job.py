@@ -6,6 +6,7 @@ from math import ceil
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rowscribe.operators.chat import ChatTemplate
 from rowscribe.operators.columns import quoted
@@ -23,7 +24,11 @@ from rowscribe.sources.sinks import dry_run, write_rows
 
 @dataclass(frozen=True)
 class JobParameters:
-    """What a job reads, how it renders and what it writes."""
+    """What a job reads, how it renders and what it writes.
+
+    ``keys`` identify a row. ``output_files`` is best chosen for files of about
+    a gigabyte; the default is the session's number of shuffle partitions.
+    """
 
     dataset_name: str
     keys: Sequence[str]
@@ -47,6 +52,8 @@ class JobParameters:
     max_steps: int = -1
     dry_run: bool = False
     output_format: str = "parquet"
+    output_files: int | None = None
+    schema: StructType | str | None = None
     options: dict[str, str] = field(default_factory=dict)
 
 
@@ -74,13 +81,19 @@ def prepare(spark: SparkSession, job: JobParameters) -> DataFrame:
         split_column=job.split_column,
         num_samples=job.dataset_num_samples,
         order_by=None if job.format == "parquet" else job.keys,
+        schema=job.schema,
         **job.options,
     )
     order = ["position", "micro_batch", "step"]
     if taken := set(order) & set(raw.columns):
         raise ValueError(f"the dataset has columns named like the order: {sorted(taken)}")
     batched = assign_batches(
-        raw, job.batch_size, job.gradient_accumulation_steps, job.random_state, job.keys
+        raw,
+        job.batch_size,
+        job.gradient_accumulation_steps,
+        job.random_state,
+        job.keys,
+        shards=job.output_files,
     )
     rows = batched.select(*[quoted(c) for c in raw.columns], F.struct(*order).alias("_order"))
     result, added = _render(rows, job), ["text"]

@@ -2,8 +2,9 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rowscribe.functions import fixed
 from rowscribe.operators.columns import column
@@ -21,6 +22,7 @@ def load_split(
     split_column: str | None = None,
     num_samples: int | None = None,
     order_by: Sequence[str] | None = None,
+    schema: StructType | str | None = None,
     **options,
 ) -> DataFrame:
     """Rows of one split of a dataset.
@@ -32,6 +34,7 @@ def load_split(
 
     ``num_samples`` keeps the first rows, by ``order_by`` or else by file and
     row (Parquet only). None and 0 keep all; more than there are is an error.
+    ``schema`` saves reading JSON and CSV twice.
     Whatever fails here is reported as a RuntimeError. Unreadable file content
     shows up later, when the rows are read.
     """
@@ -40,7 +43,7 @@ def load_split(
             rows = spark.table(name)
         else:
             folder = name if split is None or split_column else f"{name.rstrip('/')}/{split}"
-            rows = spark.read.format(format).options(**options).load(folder)
+            rows = _reader(spark, format, schema, options).load(folder)
         if split_column and split is not None:
             rows = rows.where(column(rows, split_column) == split)
         return sample_head(rows, num_samples, order_by)
@@ -49,11 +52,16 @@ def load_split(
 
 
 def load_all_splits(
-    spark: SparkSession, path: str, *, format: str = "parquet", **options
+    spark: SparkSession,
+    path: str,
+    *,
+    format: str = "parquet",
+    schema: StructType | str | None = None,
+    **options,
 ) -> DataFrame:
     """All sub-folders of a dataset, with the folder's name as ``split``."""
     try:
-        rows = spark.read.format(format).options(**options).load(f"{path.rstrip('/')}/*")
+        rows = _reader(spark, format, schema, options).load(f"{path.rstrip('/')}/*")
         return rows.withColumn(
             "split", F.regexp_extract("_metadata.file_path", _PARENT_FOLDER, 1)
         )
@@ -111,3 +119,10 @@ def head_in_file_order(df: DataFrame, n: int) -> DataFrame:
     return df.where(path <= end["path"]).where(
         (path < end["path"]) | (row < n - (end["until"] - end["count"]))
     )
+
+
+def _reader(
+    spark: SparkSession, format: str, schema: StructType | str | None, options: dict
+) -> DataFrameReader:
+    reader = spark.read.format(format).options(**options)
+    return reader if schema is None else reader.schema(schema)

@@ -50,10 +50,12 @@ def test_text_only_json(spark, dataset, tmp_path):
             text_only=True,
             dataset_num_samples=20,
             output_format="json",
+            output_files=3,
             max_steps=60,
         ),
     )
     assert (report.rows, report.steps) == (20, 60)
+    assert len(list((tmp_path / "out").glob("part-*"))) == 3
     assert set(spark.read.json(out).columns) == {"text", "position", "micro_batch", "step"}
 
 

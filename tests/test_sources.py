@@ -39,6 +39,12 @@ def test_formats(spark, dataset, format):
     assert every.groupBy("split").count().count() == 2
 
 
+def test_given_schema(spark, dataset):
+    rows = load_split(spark, f"{dataset}/csv", format="csv", schema="id bigint, text string", header=True)
+    assert [f.dataType.simpleString() for f in rows.schema] == ["bigint", "string"]
+    assert rows.agg({"id": "sum"}).first()[0] == sum(range(80))
+
+
 def test_text_lines(spark, dataset):
     rows = load_split(spark, f"{dataset}/text", format="text")
     assert rows.columns == ["value"] and rows.count() == 100

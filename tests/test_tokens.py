@@ -64,6 +64,17 @@ def test_lookup_and_join_agree(spark, rows, max_length):
         assert row.token_ids == [ids.get(t, 0) for t in split(row.text)[:max_length]]
 
 
+def test_long_tokens(spark):
+    texts = ["x" * 64, "x" * 65, "x" * 70_000 + " y", "x" * 70_001, "é" * 33]
+    table = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    vocabulary = tok.build_vocabulary(table.where("k <> 3"), "text", 10)
+    looked_up = tok.encode_by_lookup(table, "text", vocabulary, None)
+    assert sorted(looked_up.collect()) == sorted(
+        tok.encode_by_join(table, "text", vocabulary, ["k"], None).collect()
+    )
+    assert [r.token_ids for r in looked_up.orderBy("k").collect()] == [[1], [2], [3, 4], [0], [5]]
+
+
 def test_large_vocabularies_are_joined(spark, rows, monkeypatch):
     monkeypatch.setattr(tok, "LOOKUP_LIMIT", 10)
     vocabulary = tok.build_vocabulary(rows, "text", 300)

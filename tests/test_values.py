@@ -132,6 +132,8 @@ LITERALS = [
     "[{'id': 1, 'name': 'é漢😀'}]",
     "[{'id': 1, 'name': ''}]",
     "[{'id': 123456789012345678901234567890, 'name': 'a'}]",
+    "[{'id': 1, 'name': \"x 'name': 'y'}\"}, {'id': 2, 'name': 'z'}]",
+    "[{'id': 1, 'name': 'a\x85b\u2028c'}]",
     '[{"id": 1, "name": "a"}]',
     "''",
     "{}",
