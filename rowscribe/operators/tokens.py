@@ -22,7 +22,6 @@ RANKED_LIMIT = 10_000_000
 DEFAULT_VOCABULARY = 32_000
 DEFAULT_LENGTH = 2048
 
-_BLANKS = " \t\r\n"
 _BLANK_RUN = "[ \\t\\r\\n]+"
 
 
@@ -38,12 +37,11 @@ class Vocabulary:
 def tokens(text: Column, limit: int | None = None) -> Column:
     """The tokens of a text, or the first ``limit`` of them. The rest of a long
     text is then not split at all."""
-    trimmed = F.trim(text, F.lit(_BLANKS))
+    # Splitting leaves an empty string before leading and after trailing blanks.
     if limit is None:
-        found = F.split(trimmed, _BLANK_RUN)
-    else:
-        found = F.slice(F.split(trimmed, _BLANK_RUN, limit + 1), 1, limit)
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(found)
+        return F.array_remove(F.split(text, _BLANK_RUN), "")
+    some = F.split(text, _BLANK_RUN, limit + 2)
+    return F.slice(F.array_remove(some, ""), 1, limit)
 
 
 def build_vocabulary(df: DataFrame, text: str, size: int = DEFAULT_VOCABULARY) -> Vocabulary:

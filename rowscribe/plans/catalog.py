@@ -184,8 +184,10 @@ def sharegpt(spark, sf_dir):
             m["content"].alias("value"),
         ),
     )
-    rows = assembled.select("conv_id", "part", theirs.alias("conversations"))
-    return render.render(rows, "sharegpt").select("conv_id", "part", "text")
+    rows = assembled.select("conv_id", "part", theirs.alias("conversations"), "closed")
+    turns = chat.normalize_turns(F.col("conversations"), rows.schema["conversations"].dataType)
+    text = chat.render_chat(turns, closed=F.col("closed"))
+    return rows.select("conv_id", "part", text.alias("text"))
 
 
 def stripped(spark, sf_dir):

@@ -48,10 +48,13 @@ select *, {_ALPACA_PROMPT} || coalesce(output, 'None') || '</s>' as text from ({
 """
 
 CHAT = """
-select conv_id, turn // 1024 as part,
+select conv_id, part,
        string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), ''
-                  order by turn) || '<|im_end|>' as text
-from conversations group by conv_id, turn // 1024
+                  order by turn)
+       || case when part = max(part) over (partition by conv_id) then '<|im_end|>' else '' end
+       as text
+from (select *, turn // 1024 as part from conversations) t
+group by conv_id, part
 """
 
 

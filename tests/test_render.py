@@ -196,6 +196,10 @@ def test_sharegpt(spark):
         ("system", "s"),
         (None, "n"),
     ]
+    known = rows.select(F.slice("conversations", 1, 2).alias("conversations"))
+    assert texts(render(known, "sharegpt")) == [
+        "<|im_start|>user\nh<|im_end|>\n<|im_start|>assistant\ng<|im_end|>\n<|im_end|>"
+    ]
 
 
 def test_prompts(spark):
