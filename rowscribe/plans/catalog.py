@@ -3,9 +3,10 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowscribe.functions.values import joined_names, literal_names, truthy
+from rowscribe.functions import fixed
+from rowscribe.functions.values import default_if_falsy, joined_names, literal_names, truthy
 from rowscribe.operators import chat, order, render, tokens
-from rowscribe.plans import views
+from rowscribe.plans import job, views
 from rowscribe.sources import datasets, preview, sinks
 from rowscribe.sources.scratch import scratch_path
 from rowscribe.streaming import logs
@@ -82,6 +83,28 @@ def sorted_round_trip(spark, sf_dir):
     return spark.read.schema(rows.schema).json(path)
 
 
+def job_parameters(spark, sf_dir, **more):
+    return job.JobParameters(
+        f"{sf_dir}/documents.parquet", ["doc_id"], split=None, random_state=SEED, **more
+    )
+
+
+def whole_job(spark, sf_dir):
+    """Load, render, order and write, then read what was written."""
+    path = scratch_path(spark, "job")
+    job.run(spark, job_parameters(spark, sf_dir, output_dir=path))
+    return spark.read.parquet(path)
+
+
+def dry_job(spark, sf_dir):
+    """The report of a job that computes all of its output and writes none."""
+    report = job.run(spark, job_parameters(spark, sf_dir, dry_run=True, num_train_epochs=3.0))
+    return spark.createDataFrame(
+        [(report.rows, report.unrendered, report.steps)],
+        "n_rows bigint, unrendered bigint, steps bigint",
+    )
+
+
 def preview_raw(spark, sf_dir):
     return preview.preview_raw(pairs(spark, sf_dir), PAIR_KEYS)
 
@@ -243,6 +266,17 @@ def truth(spark, sf_dir):
     )
 
 
+def defaults(spark, sf_dir):
+    rows = movies(spark, sf_dir)
+    return rows.select(
+        "id",
+        *[
+            default_if_falsy(F.col(name), rows.schema[name].dataType, default).alias(name)
+            for name, default in (("overview", fixed.NO_OVERVIEW), ("tagline", fixed.NO_TAGLINE))
+        ],
+    )
+
+
 def names(spark, sf_dir):
     return movies(spark, sf_dir).select(
         "id",
@@ -325,6 +359,13 @@ def log_lines(spark, sf_dir):
     return logs.with_log_line(train_log(spark, sf_dir)).select("step", "line")
 
 
+def colon_lines(spark, sf_dir):
+    rows = train_log(spark, sf_dir)
+    step, loss = (rows.schema[name].dataType for name in ("step", "loss"))
+    line = logs.log_line(F.col("step"), step, F.col("loss"), loss, fixed.LOG_LOSS_COLON)
+    return rows.select("step", line.alias("line"))
+
+
 def log_text(spark, sf_dir):
     return logs.log_chunks(log_lines(spark, sf_dir), ["step"])
 
@@ -346,6 +387,20 @@ def log_stream(spark, sf_dir):
     return spark.read.schema(lines.schema).parquet(path)
 
 
+def log_hook(spark, sf_dir):
+    """The stream, handed batch by batch to a function."""
+    lines = logs.with_log_line(event_stream(spark, sf_dir)).select("step", "line")
+    path = scratch_path(spark, "hook-lines")
+
+    def hook(batch, number):
+        # A batch that is run again replaces what it wrote before.
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    query = logs.on_log(lines, hook, scratch_path(spark, "hook-progress"), until_caught_up=True)
+    query.awaitTermination()
+    return spark.read.schema(lines.schema).parquet(f"{path}/batch=*")
+
+
 def every_kth(spark, sf_dir):
     return log_lines(spark, sf_dir).transform(logs.every_kth, 25)
 
@@ -357,6 +412,8 @@ QUERIES = {
     "s3_head_by_file": head_by_file,
     "s5_roundtrip": round_trip,
     "s5_sorted_json": sorted_round_trip,
+    "s5_whole_job": whole_job,
+    "s6_dry_run": dry_job,
     "s7_preview_raw": preview_raw,
     "s8_preview_formatted": preview_formatted,
     "m6_positional_fallback": positional,
@@ -379,6 +436,7 @@ QUERIES = {
     "x1_py_str": python_text,
     "x1_py_str_orders": python_text_orders,
     "x2_truthy": truth,
+    "x3_default_if_falsy": defaults,
     "x4_names": names,
     "x5_joined_names": names_joined,
     "t1_vocab": vocabulary,
@@ -393,4 +451,6 @@ QUERIES = {
     "l2_log_text": log_text,
     "l3_log_stream": log_stream,
     "l4_every_k": every_kth,
+    "u4_log_hook": log_hook,
+    "x7_log_line_colon": colon_lines,
 }

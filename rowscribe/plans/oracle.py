@@ -120,6 +120,15 @@ ORACLE = {
     "s3_head_by_file": "select * from documents order by doc_id limit 150",
     "s5_roundtrip": ALPACA,
     "s5_sorted_json": ALPACA,
+    "s5_whole_job": """
+select doc_id, text, lang, source, n_chars, position, position // 2 as micro_batch,
+       position // 8 as step
+from (select *, row_number() over (order by md5('3407:' || doc_id), doc_id) - 1 as position
+      from documents) p""",
+    "s6_dry_run": """
+select count(*) as n_rows, count(*) - count(text) as unrendered,
+       cast(ceil(ceil(ceil(count(*) / 2.0) / 4.0) * 3.0) as bigint) as steps
+from documents""",
     "s7_preview_raw": f"select * from ({PAIRS}) p order by conv_id, turn limit 5",
     "s8_preview_formatted": f"select * from ({ALPACA}) p order by conv_id, turn limit 3",
     "m6_positional_fallback": """
@@ -187,6 +196,10 @@ select id, cast(coalesce(tagline, '') <> '' as bigint) as tagline_true,
        cast(coalesce(overview, '') <> '' as bigint) as overview_true,
        cast(vote_count % 3 <> 0 as bigint) as rest_true,
        cast(runtime is not null and runtime <> 0 as bigint) as runtime_true
+from ({MOVIES}) m""",
+    "x3_default_if_falsy": f"""
+select id, case when coalesce(overview, '') = '' then 'No overview available.' else overview end
+       as overview, coalesce(tagline, '') as tagline
 from ({MOVIES}) m""",
     "x4_names": f"""
 select id, cast(n_genres as bigint) as n_genres, replace(genres, ', ', '|') as genres, keywords
@@ -230,5 +243,10 @@ from (select step, line, (row_number() over (order by step) - 1) // 1000 as chun
       from ({LINES}) l) c
 group by chunk""",
     "l3_log_stream": LINES,
+    "u4_log_hook": LINES,
+    "x7_log_line_colon": f"""
+select step,
+       'Step ' || step || ': Loss: ' || coalesce(cast(loss as varchar), 'N/A') || chr(10) as line
+from ({TRAIN_LOG}) t""",
     "l4_every_k": f"select * from ({LINES}) l where step % 25 = 0",
 }

@@ -22,7 +22,8 @@ def pairs(turns: DataFrame, turns_per_block: int = TURNS_PER_PART) -> DataFrame:
         "conv_id",
         "turn",
         "role",
-        "text",
+        # System texts come by the join below, so they stay out of this shuffle.
+        F.when(F.col("role") != "system", F.col("text")).alias("text"),
         F.explode(
             F.when(opens_block, F.array(block, block - 1)).otherwise(F.array(block))
         ).alias("block"),

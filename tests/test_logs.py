@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowscribe.functions import fixed
+from rowscribe.operators.render import render
 from rowscribe.streaming import logs
 
 SCHEMA = "step bigint, loss double"
@@ -77,6 +78,16 @@ def test_polling_each_second(spark, folder, tmp_path):
         query.stop()
 
 
+def test_renderers_take_streams(spark, tmp_path):
+    source, out = str(tmp_path / "pairs"), str(tmp_path / "texts")
+    rows = spark.createDataFrame([("q", 0.5), ("r", 1e20)], "question string, answer double")
+    rows.write.parquet(source)
+    stream = render(logs.read_log_stream(spark, source, rows.schema), eos="</s>")
+    logs.append_lines(stream, out, str(tmp_path / "progress"), until_caught_up=True).awaitTermination()
+    found = spark.read.parquet(out)
+    assert sorted(found.collect()) == sorted(render(rows, eos="</s>").collect())
+
+
 def test_hook(spark, folder, tmp_path):
     seen = []
     records = logs.read_log_stream(spark, folder, spark.read.parquet(folder).schema)
