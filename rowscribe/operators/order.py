@@ -14,7 +14,7 @@ from rowscribe.operators.columns import quoted
 from rowscribe.sources.scratch import use_checkpoints
 
 #: Heads up to this size are selected by a running top-n per task.
-TOP_N_LIMIT = 10_000
+TOP_N_LIMIT = 1_000
 
 # Rows are counted per prefix of their digest, so what is numbered in one task
 # and broadcast has at most 16**4 = 65,536 rows (16**5 for very many shards),
