@@ -32,19 +32,21 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowscribe.llm.common import mix, numbered, pick, position, rows_of
+from rowscribe.llm.common import mix, numbered, pick, position
 from rowscribe.llm.suffix_sort import deep_shallow_sort
 
 #: Bytes of the default window, and of the strings whose hashes choose anchors.
 LENGTH, K = 50, 24
 #: Bytes of text whose anchors meet in one task; larger executors may take more.
-GROUP_BYTES = 32 << 20
+GROUP_BYTES = 8 << 20
 #: Bytes of text that are looked at together, and windows of a long text.
 BLOCK_BYTES = 1 << 19
+#: Anchors that a task holds before it sends them; copies among them are settled.
+ANCHORS = 1 << 19
 #: Contexts of an anchor beyond which its windows are dealt out by themselves.
 MANY_CONTEXTS = 2000
 #: Sorting tasks for each task of anchors.
-SORTS = 8
+SORTS = 4
 #: An id that stands for null: after all others.
 LAST_ID = 2**63 - 1
 #: What is known of an anchor: all windows repeated, or to be sorted by context or by window.
@@ -65,9 +67,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 class _Runs:
     """The anchors of a block of texts: one entry for each run of windows with one anchor."""
 
-    def __init__(self, texts: list[bytes], length: int) -> None:
-        raw = np.frombuffer(b"".join(texts), np.uint8)
-        sizes = np.array([len(t) for t in texts], np.int64)
+    def __init__(self, raw: np.ndarray, sizes: np.ndarray, length: int) -> None:
         ends = np.cumsum(sizes)
         windows = len(raw) - length + 1
         self.raw = raw
@@ -87,7 +87,7 @@ class _Runs:
             least = np.minimum(least[:-step], least[step:])
             size += step
         anchors = (least[:windows] & _PLACE).astype(np.int64)
-        owner = np.repeat(np.arange(len(texts)), sizes)[:windows]
+        owner = np.repeat(np.arange(len(sizes)), sizes)[:windows]
         valid = np.arange(windows) + length <= ends[owner]
         new = np.ones(windows, bool)
         new[1:] = (anchors[1:] != anchors[:-1]) | ~valid[:-1]
@@ -96,27 +96,29 @@ class _Runs:
         last[:-1] &= new[1:] | ~valid[1:]
         end = np.flatnonzero(last) + 1  # one past the last window
         self.doc, self.begin, self.end, self.anchor = owner[begin], begin, end, anchors[begin]
-        self.hash = hashes[self.anchor]
+        # Anchors have low hashes; mixed again they spread evenly over the parts.
+        self.hash = mix(hashes[self.anchor] + np.uint64(_BASE))
         stretch = (sums[end + length - 1] - sums[begin]) * down[begin]
         shape = ((self.anchor - begin) << 20 | (end - begin)).astype(np.uint64)
         self.context = mix(mix(stretch) + shape)
 
 
-def _blocks(keys: list, texts: list[bytes], length: int):
-    """(first row, offset of the first text's block, runs) of blocks of bounded size. A long
-    text comes in several, whose windows follow each other."""
+def _blocks(texts: pa.Array, length: int):
+    """(first row, where its text begins in the block, sizes, runs) of blocks of bounded
+    size, read in place. A long text comes in several, whose windows follow each other."""
+    bounds = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    raw = np.frombuffer(texts.buffers()[2], np.uint8) if texts.buffers()[2] else np.zeros(0, np.uint8)
     at = 0
     while at < len(texts):
-        if len(texts[at]) > BLOCK_BYTES:
-            for offset in range(0, max(1, len(texts[at]) - length + 1), BLOCK_BYTES):
-                yield at, offset, _Runs([texts[at][offset : offset + BLOCK_BYTES + length - 1]], length)
-            at += 1
-            continue
-        to, size = at, 0
-        while to < len(texts) and (to == at or size + len(texts[to]) <= BLOCK_BYTES):
-            size += len(texts[to])
-            to += 1
-        yield at, 0, _Runs(texts[at:to], length)
+        to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + BLOCK_BYTES, "right")) - 1)
+        begin, end = bounds[at], bounds[to]
+        sizes = np.diff(bounds[at : to + 1])
+        if end - begin <= BLOCK_BYTES:
+            yield at, 0, sizes, _Runs(raw[begin:end], sizes, length)
+        else:
+            for offset in range(0, max(1, int(end - begin) - length + 1), BLOCK_BYTES):
+                part = raw[begin + offset : min(end, begin + offset + BLOCK_BYTES + length - 1)]
+                yield at, offset, sizes, _Runs(part, np.array([len(part)]), length)
         at = to
 
 
@@ -133,6 +135,16 @@ def _ordinals(docs: np.ndarray, carry: dict[int, int]) -> np.ndarray:
     return within
 
 
+def _order(hashes: np.ndarray, contexts: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """The order by hash, then context, then document; most hashes occur once."""
+    order = np.argsort(hashes)
+    same = hashes[order[1:]] == hashes[order[:-1]]
+    tied = np.flatnonzero(np.append(same, False) | np.append(False, same))
+    among = order[tied]
+    order[tied] = among[np.lexsort((docs[among], contexts[among], hashes[among]))]
+    return order
+
+
 def _planes(numbers: np.ndarray) -> bytes:
     """Numbers byte by byte, so that equal high bytes stand together and compress."""
     return np.ascontiguousarray(numbers.view(np.uint8).reshape(len(numbers), numbers.itemsize).T).tobytes()
@@ -160,40 +172,41 @@ def _send_anchors(docs: DataFrame, parts: int, length: int) -> DataFrame:
         return part, settled, _planes(hashes), _planes(contexts), _planes(docs_), _planes(ordinals)
 
     def run(batches):
-        for keys, texts in rows_of(batches):
-            ids = np.array(keys, np.int64)
-            texts = [t or b"" for t in texts]
-            hashes, contexts, docs_, ordinals = [], [], [], []
+        for batch in batches:
+            ids = batch.column("doc").to_numpy()
+            held, size = [], 0
             carry: dict[int, int] = {}
-            for first, _, runs in _blocks(keys, texts, length):
-                hashes.append(runs.hash), contexts.append(runs.context)
-                docs_.append(ids[runs.doc + first]), ordinals.append(_ordinals(runs.doc + first, carry))
-            if not hashes:
-                continue
-            h, c, d, o = (np.concatenate(x) for x in (hashes, contexts, docs_, ordinals))
-            hashes = contexts = docs_ = ordinals = None
-            order = np.lexsort((d, c, h))
-            h, c, d, o = h[order], c[order], d[order], o[order]
-            new = np.ones(len(h), bool)
-            new[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
-            head = np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
-            repeated = d > d[head]
-            rows = []
-            if repeated.any():
-                rows.append(pack(int(c[0] % np.uint64(parts)), True, h[:0], c[:0], d[repeated], _code(o[repeated], c[repeated], REPEATED)))
-            h, c, d, o = (x[~repeated] for x in (h, c, d, o))
-            part = ((h >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-            edges = np.searchsorted(part, np.arange(parts + 1))
-            for p in np.flatnonzero(np.diff(edges)):
-                s = slice(edges[p], edges[p + 1])
-                # The part has the high bits; 32 more of the hash and 48 of the context decide.
-                low = h[s].astype(np.uint32)
-                rows.append(pack(int(p), False, low, (c[s] >> np.uint64(16)), d[s], o[s].astype(np.uint32)))
-                if len(rows) >= 256:
-                    yield _rows(rows, _ANCHOR_FIELDS)
-                    rows = []
-            if rows:
-                yield _rows(rows, _ANCHOR_FIELDS)
+            for first, _, _, runs in _blocks(batch.column("text"), length):
+                rows = runs.doc + first
+                held.append((runs.hash, runs.context, ids[rows], _ordinals(rows, carry)))
+                size += len(rows)
+                if size >= ANCHORS:
+                    yield send(held)
+                    held, size = [], 0
+            if size:
+                yield send(held)
+
+    def send(held):
+        h, c, d, o = (np.concatenate(x) for x in zip(*held))
+        held.clear()
+        order = _order(h, c, d)
+        h, c, d, o = h[order], c[order], d[order], o[order]
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
+        head = np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
+        repeated = d > d[head]
+        rows = []
+        if repeated.any():
+            rows.append(pack(int(c[0] % np.uint64(parts)), True, h[:0], c[:0], d[repeated], _code(o[repeated], c[repeated], REPEATED)))
+        h, c, d, o = (x[~repeated] for x in (h, c, d, o))
+        part = ((h >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+        edges = np.searchsorted(part, np.arange(parts + 1))
+        for p in np.flatnonzero(np.diff(edges)):
+            s = slice(edges[p], edges[p + 1])
+            # The part has the high bits; 32 more of the hash and 48 of the context decide.
+            low = h[s].astype(np.uint32)
+            rows.append(pack(int(p), False, low, c[s] >> np.uint64(16), d[s], o[s].astype(np.uint32)))
+        return _rows(rows, _ANCHOR_FIELDS)
 
     return docs.select("doc", "text").mapInArrow(run, _ANCHOR_FIELDS)
 
@@ -219,7 +232,7 @@ def _judge(anchors: DataFrame) -> DataFrame:
                 d.append(_numbers(ids, np.int64)), o.append(_numbers(ordinals, np.uint32))
         if h:
             h, c, d, o = (np.concatenate(x) for x in (h, c, d, o))
-            order = np.lexsort((d, c, h))
+            order = _order(h, c, d)
             h, c, d, o = h[order], c[order], d[order], o[order]
             new_hash = np.diff(h, prepend=h[:1]) != 0
             new_hash[0] = True
@@ -248,59 +261,80 @@ def _send_contexts(told: DataFrame, parts: int, length: int) -> DataFrame:
     Windows that are sent one by one are sent once for each batch, by the smallest id."""
 
     def run(batches):
-        for _, keys, tags, texts, codes in rows_of(batches):
-            rows, single = [], {}
+        for batch in batches:
+            docs, tags = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("doc", "tag"))
+            codes = batch.column("codes")
+            known, owners = codes.flatten().to_numpy(), np.repeat(np.arange(len(docs)), codes.value_lengths().to_numpy())
+            edges = np.searchsorted(owners, np.arange(len(docs) + 1))
+            single: dict[bytes, list[tuple[int, int]]] = {}
             carry: dict[int, int] = {}
-            known = [np.sort(np.array(c, np.int64)) for c in codes]
-            for first, offset, runs in _blocks(keys, texts, length):
+            for first, offset, sizes, runs in _blocks(batch.column("text"), length):
                 if not len(runs.doc):
                     continue
-                docs = runs.doc + first
-                mine = _code(_ordinals(docs, carry), runs.context, 0)
-                state = np.zeros(len(mine), np.int64)
-                for row, begin, end in _groups(docs):
-                    for value in (REPEATED, BY_CONTEXT, BY_WINDOW):
-                        found = known[row][known[row] & 3 == value] & ~np.int64(3)
-                        state[begin:end][np.isin(mine[begin:end], found)] = value
-                # Where a block's first text begins in it.
-                base = np.concatenate([[0], np.cumsum([len(t) for t in texts[first : int(docs[-1]) + 1]])])[docs - first] - offset
-                for i in np.flatnonzero(state):
-                    row = docs[i]
-                    begin, end = int(runs.begin[i]), int(runs.end[i])
-                    place = begin - int(base[i])
-                    if state[i] == REPEATED:
-                        if rows and rows[-1][5] is None and rows[-1][1] == keys[row] and rows[-1][2] == tags[row] and rows[-1][4] >= place:
-                            rows[-1] = (*rows[-1][:4], end - int(base[i]) + length - 1, None)
-                        else:
-                            rows.append((keys[row] % parts, keys[row], tags[row], place, end - int(base[i]) + length - 1, None))
-                    elif state[i] == BY_CONTEXT:
-                        rows.append((int(runs.hash[i] % np.uint64(parts)), keys[row], tags[row], place, end - begin, runs.raw[begin : end + length - 1].tobytes()))
-                    else:
-                        for window in range(begin, end):
-                            string = runs.raw[window : window + length].tobytes()
-                            single.setdefault(string, []).append((keys[row], tags[row], window - int(base[i])))
-                if len(rows) >= 20_000:
-                    yield _rows(rows, _PIECE_FIELDS)
-                    rows = []
-            for string, owners in single.items():
-                least = min(owners)
-                part = int.from_bytes(hashlib.blake2b(string, digest_size=8).digest(), "little") % parts
-                for key, tag, place in owners:
-                    if key > least[0]:
-                        rows.append((key % parts, key, tag, place, place + length, None))
-                    else:
-                        rows.append((part, key, tag, place, 1, string))
-            if rows:
-                yield _rows(rows, _PIECE_FIELDS)
+                rows = runs.doc + first
+                numbers = _ordinals(rows, carry)
+                state = _states(rows, numbers, runs.context, known[edges[first] : edges[rows[-1] + 1]], owners[edges[first] : edges[rows[-1] + 1]])
+                # Where each run's text begins in the block.
+                shift = offset - np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)[runs.doc]
+                begin, end = runs.begin + shift, runs.end + shift
+                # Runs side by side that are repeated make one span.
+                whole = np.flatnonzero(state == REPEATED)
+                if len(whole):
+                    new = np.append(True, (begin[whole[1:]] != end[whole[:-1]]) | (rows[whole[1:]] != rows[whole[:-1]]))
+                    s, e = whole[new], whole[np.append(np.flatnonzero(new)[1:] - 1, len(whole) - 1)]
+                    yield _pieces(docs[rows[s]] % parts, docs[rows[s]], tags[rows[s]], begin[s], end[e] + length - 1, [None] * len(s))
+                raw = runs.raw.tobytes()
+                some = np.flatnonzero(state == BY_CONTEXT)
+                if len(some):
+                    contexts = [raw[a : b + length - 1] for a, b in zip(runs.begin[some].tolist(), runs.end[some].tolist())]
+                    yield _pieces((runs.hash[some] % np.uint64(parts)).astype(np.int64), docs[rows[some]], tags[rows[some]], begin[some], end[some] - begin[some], contexts)
+                for i in np.flatnonzero(state == BY_WINDOW).tolist():
+                    for window in range(int(runs.begin[i]), int(runs.end[i])):
+                        single.setdefault(raw[window : window + length], []).append((int(rows[i]), window + int(shift[i])))
+            if single:
+                yield _windows(single, docs, tags, parts, length)
 
     # The id is not used, but what is dealt out stays the same for both joins, and so is dealt out once.
     return told.select("doc_id", "doc", "tag", "text", "codes").mapInArrow(run, _PIECE_FIELDS)
 
 
-def _groups(sorted_numbers: np.ndarray):
-    """(number, begin, end) of each run of equal numbers."""
-    starts = np.flatnonzero(np.diff(sorted_numbers, prepend=sorted_numbers[0] - 1))
-    return zip(sorted_numbers[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(sorted_numbers)])
+def _states(rows: np.ndarray, numbers: np.ndarray, contexts: np.ndarray, known: np.ndarray, owners: np.ndarray) -> np.ndarray:
+    """The state of each run of a block, from what is known of the rows in it."""
+    starts = np.full(int(rows[-1] - rows[0]) + 1, -1)
+    heads = np.flatnonzero(np.diff(rows, prepend=rows[0] - 1))
+    starts[rows[heads] - rows[0]] = heads
+    ends = np.zeros(len(starts), np.int64)
+    ends[rows[heads] - rows[0]] = np.append(heads[1:], len(rows))
+    state = np.zeros(len(rows), np.int64)
+    owners = owners - rows[0]
+    inside = (owners >= 0) & (owners < len(starts))
+    known, owners = known[inside], owners[inside]
+    at = starts[owners] + (known >> 30) - numbers[starts[owners]]
+    met = (starts[owners] >= 0) & (at >= starts[owners]) & (at < ends[owners])
+    known, at = known[met], at[met]
+    # A number that belongs to another text under this id has another context.
+    met = _code(numbers[at], contexts[at], 0) == known & ~np.int64(3)
+    state[at[met]] = known[met] & 3
+    return state
+
+
+def _pieces(part, docs, tags, begin, end, contexts: list) -> pa.RecordBatch:
+    columns = [*(pa.array(x, pa.int64()) for x in (part, docs, tags, begin, end)), pa.array(contexts, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["part", "doc", "tag", "begin", "end", "context"])
+
+
+def _windows(single: dict, docs: np.ndarray, tags: np.ndarray, parts: int, length: int) -> pa.RecordBatch:
+    """One row for each string, of the smallest id that has it, to be sorted; spans of the others."""
+    rows = []
+    for string, owners in single.items():
+        least = min(docs[row] for row, _ in owners)
+        part = int.from_bytes(hashlib.blake2b(string, digest_size=8).digest(), "little") % parts
+        for row, place in owners:
+            if docs[row] > least:
+                rows.append((docs[row] % parts, docs[row], tags[row], place, place + length, None))
+            else:
+                rows.append((part, docs[row], tags[row], place, 1, string))
+    return _pieces(*zip(*rows))
 
 
 def _sort_contexts(pieces: DataFrame, length: int) -> DataFrame:
@@ -400,7 +434,7 @@ def suffix_dedup(df: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", te
     spans = repeated_spans(docs, texts, parts, length)
 
     def run(batches):
-        for batch in batches:
+        for batch in (b.slice(at, 1000) for b in batches for at in range(0, len(b), 1000)):
             rests, cuts = _cut_out(batch.column("tag"), batch.column("text"), batch.column("spans"))
             sizes = [len(raw or b"") for raw in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
