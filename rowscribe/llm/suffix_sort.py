@@ -2,9 +2,9 @@
 
 Suffixes are sorted by multikey quicksort on eight bytes at a time down to a
 shallow depth, all groups of equal prefixes at once. Groups that are still
-equal there share long prefixes; a blind trie orders each: it keeps only the
-places where its strings branch, so a string is placed by a few characters
-and one comparison.
+equal there share long prefixes; a blind trie orders each in which not all are
+equal: it keeps only the places where its strings branch, so a string is placed
+by a few characters and one comparison.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Depth, in bytes, at which groups go from quicksort to blind tries.
-SHALLOW = 16
+SHALLOW = 32
 _STEP = 8
 
 
@@ -28,17 +28,21 @@ def multikey_quicksort(text: np.ndarray, starts: np.ndarray, depth: int) -> tupl
     """(order, first): the suffixes sorted by their first `depth` bytes, a multiple of
     eight, and whether each is the first of its group of equal prefixes.
 
-    In each round every group takes the key of its middle member as pivot and is
+    The first eight bytes, where all are one group, are sorted outright. Then in each
+    round every group takes the key of its middle member as pivot and is
     split into less, equal and more; equal members go on eight bytes deeper.
     """
     n = len(starts)
-    order = np.arange(n)
-    first = np.zeros(n, bool)
     if n == 0:
-        return order, first
-    first[0] = True
-    level = np.zeros(n, np.int64)  # bytes of the group's common prefix
-    active = np.arange(n)
+        return np.arange(0), np.zeros(0, bool)
+    keys = _keys(text, starts)
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.append(True, keys[1:] != keys[:-1])
+    level = np.full(n, _STEP)  # bytes of the group's common prefix
+    begin = np.flatnonzero(first)
+    sizes = np.diff(np.append(begin, n))
+    active = np.flatnonzero(np.repeat(sizes > 1, sizes)) if depth > _STEP else np.arange(0)
     while len(active):
         begins = first[active]
         group = np.cumsum(begins) - 1
@@ -132,7 +136,14 @@ def deep_shallow_sort(text: np.ndarray, starts: np.ndarray, length: int) -> tupl
     raw = text.tobytes()
     begin = np.flatnonzero(first)
     sizes = np.diff(np.append(begin, len(order)))
-    for at, size in zip(begin[sizes > 1].tolist(), sizes[sizes > 1].tolist()):
+    tied = np.flatnonzero(np.repeat(sizes > 1, sizes))
+    heads = np.repeat(begin, sizes)[tied]
+    differ = np.zeros(len(tied), bool)
+    for deep in [*range(shallow, length - _STEP, _STEP), length - _STEP]:
+        differ |= _keys(text, starts[order[tied]] + deep) != _keys(text, starts[order[heads]] + deep)
+    branching = np.zeros(len(order), bool)
+    branching[heads[differ]] = True
+    for at, size in zip(begin[branching[begin]].tolist(), sizes[branching[begin]].tolist()):
         trie = BlindTrie()
         members = order[at : at + size].tolist()
         for member, place in zip(members, starts[members].tolist()):
