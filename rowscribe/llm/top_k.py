@@ -82,11 +82,11 @@ def _best_of_large(queries, candidates, own, ids, k):
     out_q, out_id, out_score = [], [], []
     rows = [[int(x) for x in row] for row in candidates]
     for i, query in enumerate([[int(x) for x in row] for row in queries]):
-        scored = [(-sum(a * b for a, b in zip(query, row)), int(j)) for row, j in zip(rows, ids) if j != own[i]]
-        for score, j in sorted(scored)[:k]:
+        products = [(sum(a * b for a, b in zip(query, row)), int(j)) for row, j in zip(rows, ids) if j != own[i]]
+        for score, j in sorted((-max(-(2**63), min(2**63 - 1, p)), j) for p, j in products)[:k]:
             out_q.append(i)
             out_id.append(j)
-            out_score.append(max(-(2**63), min(2**63 - 1, -score)))
+            out_score.append(-score)
     return out_q, out_id, out_score
 
 
@@ -101,7 +101,8 @@ def top_k(df: DataFrame, k: int = 5, vec_id: str = "vec_id", vector: str = "embe
     rows of the same dimension but those with the query's id; the score is the
     inner product of whole numbers, ties go to the smaller id. Rows that repeat
     an id and a vector count once. A row with a null id, a null vector, or a
-    null or non-finite component takes no part. Other columns are left out.
+    null or non-finite component takes no part. Numbers and scores beyond a long's
+    range are the nearest long. Other columns are left out.
     """
     spark = df.sparkSession
     numbers = pick(df, vec_id=vec_id, v=vector).select(F.col("vec_id").cast("long").alias("vec_id"), whole_numbers(F.col("v")).alias("v"))
