@@ -5,10 +5,9 @@ minimum and its maximum. Bands of either kind make candidate pairs, which are
 confirmed on the full sets of shingles; links make components.
 
 Documents with equal sets are one class from the start. In a band's bucket the
-classes are held against the bucket's first class, not against each other; of
-the pairs that this leaves open, those in one component need no more proof,
-and the rest is compared in further rounds until no bucket holds two classes
-of different components that were not compared.
+classes are held against the bucket's first class, not against each other. Of
+the pairs that this leaves open, those in one component need no more proof;
+only members of one bucket in different components are compared, in blocks.
 """
 
 from __future__ import annotations
@@ -28,8 +27,8 @@ PERMUTATIONS = 100
 #: Values of a band. At a similarity of 0.8 all 40 bands miss one pair in seven million.
 ROWS = 5
 BANDS = 2 * PERMUTATIONS // ROWS
-#: Pairs that are compared at once rather than head by head; the links are the same.
-AT_ONCE = 200_000
+#: Sets of a block that are compared with those of another block in one task.
+BLOCK = 1000
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 80
 
@@ -203,28 +202,50 @@ def _link(docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
     links = checkpointed(links.unionByName(_confirm(rest, sets)))
     roots = components(links)
 
-    # Members of different components in one bucket, other than its head.
-    inside = members.where("node <> b").select("key", "node")
-    while True:
-        rooted = inside.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed = rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.min("node").alias("head")).where("x <> y")
-        inside = checkpointed(rooted.join(mixed.select("key", "head"), "key"))
-        by_root = inside.groupBy("key", "root").agg(F.count("*").cast("double").alias("n"))
-        by_key = by_root.groupBy("key").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"))
-        left = by_key.agg(F.sum("pairs")).first()[0]
-        if left is None:
-            return roots
-        # Few pairs are compared at once, else those of one more head of each bucket.
-        if left <= AT_ONCE:
-            other = inside.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"))
-            pairs = inside.join(other, "key").where("root < root_b").select(F.col("node").alias("a"), "b")
-        else:
-            pairs = _across(inside.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")), roots)
-        links = checkpointed(links.unionByName(_confirm(pairs.distinct(), sets)))
-        roots = components(links)
-        if left <= AT_ONCE:
-            return roots
-        inside = inside.where("node <> head").select("key", "node")
+    return components(links.unionByName(_compare(members.select("key", "node"), roots, sets)))
+
+
+def _compare(members: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
+    """The links (a, b) between members of one bucket that are in different components.
+
+    In such a bucket the largest component is the main one and the others'
+    members are strays. For each main component its strays are compared with
+    all members of its buckets, in blocks: a set is sent once for each block of
+    the other side, not once for each pair.
+    """
+    rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    by_root = rooted.groupBy("key", "root").agg(F.count("*").alias("n"))
+    main = by_root.groupBy("key").agg(F.max(F.struct("n", "root"))["root"].alias("main"), F.count("*").alias("k")).where("k > 1").drop("k")
+    placed = checkpointed(rooted.join(main, "key").select("main", "node", "root").distinct())
+    sizes = placed.groupBy("main").agg(
+        F.ceil(F.sum((F.col("root") != F.col("main")).cast("long")) / BLOCK).alias("across"), F.ceil(F.count("*") / BLOCK).alias("down")
+    )
+    rows = placed.join(sizes, "main").join(sets, "node")
+    block = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n).cast("long") - 1))
+    columns = ["main", "i", "j", "node", "root", "hashes"]
+    strays = rows.where("root <> main").withColumn("i", block("across")).withColumn("j", every("down")).select(columns)
+    others = rows.withColumn("j", block("down")).withColumn("i", every("across")).select(columns).toDF(*columns)
+    by = ["main", "i", "j"]
+    return strays.groupBy(by).cogroup(others.groupBy(by)).applyInArrow(_similar_across, "a long, b long")
+
+
+def _similar_across(strays: pa.Table, others: pa.Table) -> pa.Table:
+    """The similar pairs (a, b) of a stray and one of the others in another component."""
+    a, b = [], []
+    if strays.num_rows and others.num_rows:
+        own = [np.frombuffer(h, np.uint64) for h in others.column("hashes").to_pylist()]
+        sizes = np.array([len(h) for h in own])
+        hashes, owner = np.concatenate(own), np.repeat(np.arange(len(own)), sizes)
+        nodes, roots = (others.column(n).to_numpy() for n in ("node", "root"))
+        for node, root, raw in zip(*(strays.column(n).to_pylist() for n in ("node", "root", "hashes"))):
+            mine = np.frombuffer(raw, np.uint64)
+            at = np.minimum(np.searchsorted(mine, hashes), len(mine) - 1)
+            both = np.bincount(owner[mine[at] == hashes], minlength=len(own))
+            found = np.flatnonzero((100 * both >= PERCENT * (sizes + len(mine) - both)) & (roots != root))
+            a += [node] * len(found)
+            b += nodes[found].tolist()
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
