@@ -13,9 +13,11 @@ longest first.
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 from functools import cache
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -49,17 +51,26 @@ class Encoder:
     """Ids of a text as little-endian bytes. The vocabulary drops white space and
     never joins across it, so each run between is encoded once and kept."""
 
+    #: A word of small letters and the sign that may end it need no normalizing; they are two pieces.
+    plain = re.compile("([a-z]+)([.,]?)").fullmatch
+
     def __init__(self, vocabulary: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.segments = Recent(self._segment)
+        self.model = self.tokenizer.model
+        self.segments = Recent(self._segment, 400_000)
 
     def _segment(self, segment: str) -> bytes:
-        ids = self.tokenizer.encode(segment, add_special_tokens=False).ids
-        return b"".join(i.to_bytes(4, "little") for i in ids)
+        # Capitals are lower-cased by the vocabulary; ASCII's have no other form.
+        pieces = self.plain(segment.lower()) if segment.isascii() else None
+        if pieces:
+            ids = [token.id for piece in pieces.groups() if piece for token in self.model.tokenize(piece)]
+        else:
+            ids = self.tokenizer.encode(segment, add_special_tokens=False).ids
+        return np.array(ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.segments.__getitem__, SEGMENT.findall(text)))
