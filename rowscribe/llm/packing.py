@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rowscribe.llm.bpe import byte_alphabet
 from rowscribe.llm.common import SEGMENT, Recent, checkpointed, pick, rows_of
 
 #: The id after each document, and the tokens of a sequence.
@@ -51,8 +52,9 @@ class Encoder:
     """Ids of a text as little-endian bytes. The vocabulary drops white space and
     never joins across it, so each run between is encoded once and kept."""
 
-    #: A word of small letters and the sign that may end it need no normalizing; they are two pieces.
-    plain = re.compile("([a-z]+)([.,]?)").fullmatch
+    #: A word of small letters and the sign that may end it need no normalizing; they are two
+    #: pieces. These letters are composed and have one small form.
+    plain = re.compile("([a-zß-öø-ÿ]+)([.,]?)").fullmatch
 
     def __init__(self, vocabulary: str) -> None:
         from tokenizers import Tokenizer
@@ -60,17 +62,20 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.model = self.tokenizer.model
+        self.model, self.alphabet = self.tokenizer.model, byte_alphabet()
+        self.pieces = Recent(self._piece, 250_000)
         self.segments = Recent(self._segment, 400_000)
 
+    def _piece(self, piece: str) -> bytes:
+        if not piece.isascii():
+            piece = "".join(map(self.alphabet.__getitem__, piece.encode()))
+        return np.array([token.id for token in self.model.tokenize(piece)], "<u4").tobytes()
+
     def _segment(self, segment: str) -> bytes:
-        # Capitals are lower-cased by the vocabulary; ASCII's have no other form.
-        pieces = self.plain(segment.lower()) if segment.isascii() else None
-        if pieces:
-            ids = [token.id for piece in pieces.groups() if piece for token in self.model.tokenize(piece)]
-        else:
-            ids = self.tokenizer.encode(segment, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        found = self.plain(segment.lower())
+        if found:
+            return self.pieces[found[1]] + (self.pieces[found[2]] if found[2] else b"")
+        return np.array(self.tokenizer.encode(segment, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.segments.__getitem__, SEGMENT.findall(text)))
