@@ -29,8 +29,8 @@ def load_split(
 
     ``name`` is a path, or a table if ``format`` is ``"table"``. The split is
     the sub-folder of that name, or, with ``split_column``, the rows with that
-    value: a filter which prunes partitions if the column is one. ``None``
-    reads everything at ``name``.
+    value: a filter which prunes partitions if the column is one. A table has
+    no sub-folders, so its split needs the column. ``None`` reads everything at ``name``.
 
     ``num_samples`` keeps the first rows, by ``order_by`` or else by file and
     row (Parquet only). None and 0 keep all; more than there are is an error.
@@ -40,6 +40,8 @@ def load_split(
     """
     try:
         if format == "table":
+            if split is not None and not split_column:
+                raise ValueError(f"split {split!r} of a table needs split_column")
             rows = spark.table(name)
         else:
             folder = name if split is None or split_column else f"{name.rstrip('/')}/{split}"
@@ -105,9 +107,10 @@ def sample_head(
 def head_in_file_order(df: DataFrame, n: int) -> DataFrame:
     """The first ``n`` rows of Parquet files by file name and row.
 
-    The rows of each file are counted, which reads no data, to find the file
-    where the head ends. Files after it are then skipped, and there is no
-    shuffle or sort. The result is in no particular order across tasks.
+    The rows of each file that ``df`` keeps are counted to find the file where
+    the head ends; without a filter that reads no data. Of that file alone the
+    row numbers are sorted to find the last one. Files after it are skipped, and
+    no other rows are sorted. The result is in no particular order across tasks.
     """
     path, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
     until_here = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, 0)
@@ -116,9 +119,11 @@ def head_in_file_order(df: DataFrame, n: int) -> DataFrame:
     end = files.where(F.col("until") >= n).orderBy("path").first()
     if end is None:
         raise ValueError(f"{n} samples asked for, but there are fewer rows")
-    return df.where(path <= end["path"]).where(
-        (path < end["path"]) | (row < n - (end["until"] - end["count"]))
-    )
+    # Row numbers count all rows of a file, also those that a filter leaves out.
+    wanted = n - (end["until"] - end["count"])
+    numbers = df.where(path == end["path"]).select(row.alias("row")).orderBy("row").limit(wanted)
+    last = numbers.agg(F.max("row")).first()[0]
+    return df.where(path <= end["path"]).where((path < end["path"]) | (row <= last))
 
 
 def _reader(

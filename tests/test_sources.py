@@ -145,3 +145,17 @@ def test_preview(spark, dataset):
     assert rows.count() == 0 and rows.columns == [] and status.startswith("Error: Data loading error: ")
     assert preview_raw(spark.range(2), ["id"]).count() == 2
     assert [r.id for r in preview_formatted(spark.range(9), ["id"]).collect()] == [0, 1, 2]
+
+
+def test_table_split_is_not_ignored(spark):
+    spark.range(3).createOrReplaceTempView("whole_table")
+    with pytest.raises(RuntimeError, match="split_column"):
+        load_split(spark, "whole_table", format="table")
+    assert load_split(spark, "whole_table", None, format="table").count() == 3
+
+
+def test_head_of_a_filtered_split(spark, sf_dir):
+    rows = load_split(spark, f"{sf_dir}/documents.parquet", "en", split_column="lang", num_samples=150)
+    ids = [r["doc_id"] for r in rows.collect()]
+    every = spark.read.parquet(f"{sf_dir}/documents.parquet").where("lang = 'en'").orderBy("doc_id").limit(150)
+    assert sorted(ids) == [r["doc_id"] for r in every.collect()]
