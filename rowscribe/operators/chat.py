@@ -9,9 +9,6 @@ from pyspark.sql import types as T
 from rowscribe.functions import fixed
 from rowscribe.operators.columns import quoted
 
-#: Longest run of turns kept in one row by :func:`assemble_chats`.
-TURNS_PER_PART = 1024
-
 
 @dataclass(frozen=True)
 class ChatTemplate:
@@ -40,20 +37,15 @@ def turn_text(role: Column, content: Column, template: ChatTemplate = CHATML) ->
     )
 
 
-def render_chat(
-    turns: Column, template: ChatTemplate = CHATML, *, closed: Column | None = None
-) -> Column:
+def render_chat(turns: Column, template: ChatTemplate = CHATML) -> Column:
     """All turns, then the end mark.
 
-    ``closed`` limits the end mark to rows where it holds. The text is null if
-    the list, a role or a content is null: such a row cannot be rendered, and
-    leaving the turn out would change the chat.
+    The text is null if the list, a role or a content is null: such a row cannot
+    be rendered, and leaving the turn out would change the chat.
     """
     complete = F.forall(turns, lambda t: t["role"].isNotNull() & t["content"].isNotNull())
     pieces = F.transform(turns, lambda t: turn_text(t["role"], t["content"], template))
-    whole = F.when(complete, F.array_join(pieces, ""))
-    end = F.lit(template.eos)
-    return F.concat(whole, end if closed is None else F.when(closed, end).otherwise(F.lit("")))
+    return F.concat(F.when(complete, F.array_join(pieces, "")), F.lit(template.eos))
 
 
 def generation_prompt(content: Column, template: ChatTemplate = CHATML) -> Column:
@@ -101,47 +93,31 @@ def assemble_chats(
     turn: str = "turn",
     role: str = "role",
     content: str = "text",
-    turns_per_part: int = TURNS_PER_PART,
 ) -> DataFrame:
-    """One row per chat out of a table with one row per turn.
-
-    A chat of more than ``turns_per_part`` turns comes out as several rows,
-    numbered by ``part``, whose texts follow each other; ``closed`` marks the
-    last one. So a chat of any length is kept whole and no task has to hold
-    more than one part of it, while usual chats are one row (part 0).
-    ``(chat, turn)`` must be unique and turns must not be negative.
+    """One row per chat, with its ``messages`` in order of ``turn``, out of a
+    table with one row per turn.
 
-    Turns are shuffled once, on ``(chat, part)``. The parts that something
-    follows are found from the two key columns alone; adaptive execution drops
-    that join where no chat is so long.
+    ``(chat, turn)`` must be unique; turns may have gaps and be of any type that
+    can be ordered. Turns are shuffled once, on the chat. A chat is one cell, as
+    its text will be, so it has to fit into a task.
     """
-    part = F.expr(f"{quoted(turn)} div {turns_per_part}")
-    keyed = turns.select(
-        F.col(chat),
-        part.alias("part"),
-        F.struct(
-            F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(content).alias("content")
-        ).alias("entry"),
+    entry = F.struct(
+        F.col(quoted(turn)).alias("turn"),
+        F.col(quoted(role)).alias("role"),
+        F.col(quoted(content)).alias("content"),
     )
-    parts = keyed.groupBy(chat, "part").agg(F.sort_array(F.collect_list("entry")).alias("entries"))
-    followed = (
-        turns.groupBy(chat)
-        .agg(F.max(part).alias("last"))
-        .where(F.col("last") > 0)
+    return (
+        turns.select(F.col(quoted(chat)), entry.alias("entry"))
+        .groupBy(quoted(chat))
+        .agg(F.sort_array(F.collect_list("entry")).alias("entries"))
         .select(
-            chat,
-            F.explode(F.sequence(F.lit(0).cast("long"), F.col("last") - 1)).alias("part"),
-            F.lit(True).alias("followed"),
+            quoted(chat),
+            F.transform(
+                "entries",
+                lambda e: F.struct(e["role"].alias("role"), e["content"].alias("content")),
+            ).alias("messages"),
         )
     )
-    return parts.join(followed, [chat, "part"], "left").select(
-        chat,
-        "part",
-        F.transform(
-            "entries", lambda e: F.struct(e["role"].alias("role"), e["content"].alias("content"))
-        ).alias("messages"),
-        F.col("followed").isNull().alias("closed"),
-    )
 
 
 def strip_special(text: Column, template: ChatTemplate = CHATML) -> Column:

@@ -13,9 +13,6 @@ from pyspark.sql import functions as F
 from rowscribe.operators.columns import quoted
 from rowscribe.sources.scratch import use_checkpoints
 
-#: Heads up to this size are selected by a running top-n per task.
-TOP_N_LIMIT = 1_000
-
 # Rows are counted per prefix of their digest, so what is numbered in one task
 # and broadcast has at most 16**4 = 65,536 rows (16**5 for very many shards),
 # however large the table is.
@@ -51,12 +48,25 @@ def shuffle_take(
 ) -> DataFrame:
     """The first ``n`` rows of a seeded shuffle, with their ``position``.
 
-    Prefixes past the n-th row are dropped before anything is shuffled, so only
-    about ``n`` rows move.
+    Rows past the prefix with the n-th row are dropped before anything is
+    shuffled. Of that prefix the rows are counted again by twice the digits, so
+    only ``n`` rows and a 16**8-th part of the table move.
     """
     shards, digits = _layout(df, shards)
     prefixes = _prefix_counts(df, seed, keys, digits).where(F.col("_before") < n)
-    return _place(df, prefixes, seed, keys, digits, shards).where(F.col("position") < n)
+    edge = prefixes.agg(F.max(F.struct("_prefix", "_before")).alias("edge"))
+    digest = shuffle_digest(seed, keys)
+    at_edge = df.where(
+        F.substring(digest, 1, digits) == edge.select(F.col("edge._prefix")).scalar()
+    )
+    before_edge = edge.select(F.col("edge._before")).scalar()
+    last = (
+        _prefix_counts(at_edge, seed, keys, 2 * digits)
+        .where(F.col("_before") + before_edge < n)
+        .agg(F.max("_prefix"))
+    )
+    kept = df.where(F.substring(digest, 1, 2 * digits) <= last.scalar())
+    return _place(kept, prefixes, seed, keys, digits, shards).where(F.col("position") < n)
 
 
 def assign_batches(
@@ -89,27 +99,13 @@ def step_budget(
 
 
 def head(df: DataFrame, n: int, keys: Sequence[str]) -> DataFrame:
-    """The first ``n`` rows in key order.
+    """The first ``n`` rows in key order, sorted; nulls first, ties by chance.
 
-    The n-th key is found first, from the key columns alone, and then compared
-    in the scan, so wide rows past it are neither sorted nor collected.
+    A running top-n: every task keeps at most ``n`` rows, and one task gets
+    those. So ``n`` has to be that of a sample; see :func:`shuffle_take` or the
+    order of files for more.
     """
-    if n <= 0:
-        return df.limit(0)
-    columns = [F.col(quoted(key)) for key in keys]
-    narrow = df.select(*columns)
-    if n <= TOP_N_LIMIT:
-        first = narrow.orderBy(*columns).limit(n)
-    else:
-        first = sorted_position(narrow, keys).where(F.col("position") < n).select(*columns)
-    last = first.agg(F.max(F.struct(*columns)).alias("last"))
-    # The bare comparison of the leading key is the one a scan can use.
-    kept = df.where(
-        columns[0].isNull() | (columns[0] <= last.select(F.col("last")[keys[0]]).scalar())
-    )
-    if len(columns) > 1:
-        kept = kept.where(F.struct(*columns) <= last.scalar())
-    return kept.orderBy(*columns).limit(n) if n <= TOP_N_LIMIT else kept
+    return df.orderBy(*[F.col(quoted(key)) for key in keys]).limit(max(n, 0))
 
 
 def sorted_position(df: DataFrame, keys: Sequence[str]) -> DataFrame:

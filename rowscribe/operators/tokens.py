@@ -17,8 +17,6 @@ from rowscribe.operators.columns import column, with_column
 LOOKUP_LIMIT = 200_000
 #: Longest token, in bytes, that is sent to the tasks as it is.
 KEY_BYTES = 64
-#: Most rows that :func:`build_vocabulary` ranks in one task without a cut.
-RANKED_LIMIT = 10_000_000
 DEFAULT_VOCABULARY = 32_000
 DEFAULT_LENGTH = 2048
 
@@ -48,16 +46,14 @@ def build_vocabulary(df: DataFrame, text: str, size: int = DEFAULT_VOCABULARY) -
     """The ``size`` most frequent tokens; ties go to the smaller token.
 
     Counts are combined before the shuffle, so frequent tokens do not gather.
-    The ranking gets the best ``size`` tokens of every partition in one task;
-    where that would be many, tokens too rare to matter are left out first.
+    Tokens too rare to matter are left out before the ranking, in one task.
     """
     counts = (
         df.select(F.explode(tokens(column(df, text))).alias("token"))
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("count"))
     )
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    candidates = counts if size * partitions <= RANKED_LIMIT else without_rare(counts, size)
+    candidates = without_rare(counts, size)
     best = [F.desc("count"), F.asc("token")]
     frame = (
         candidates.orderBy(*best)
@@ -89,19 +85,18 @@ def encode(
     df: DataFrame,
     text: str,
     vocabulary: Vocabulary,
-    keys: list[str],
     max_length: int | None = DEFAULT_LENGTH,
     out: str = "token_ids",
 ) -> DataFrame:
     """Add the ids of the first ``max_length`` tokens of ``text`` (None: of all).
 
     A vocabulary of up to ``LOOKUP_LIMIT`` tokens is sent to the tasks and
-    looked up there, without any shuffle. A larger one is joined; ``keys``
-    (which identify a row) then put the ids of a row together again.
+    looked up there, without any shuffle. A larger one is joined, with the same
+    result. A null text has null ids.
     """
     if vocabulary.size <= LOOKUP_LIMIT:
         return encode_by_lookup(df, text, vocabulary, max_length, out)
-    return encode_by_join(df, text, vocabulary, keys, max_length, out)
+    return encode_by_join(df, text, vocabulary, max_length, out)
 
 
 def encode_by_lookup(
@@ -158,35 +153,36 @@ def _short_key(token: Column) -> Column:
 
 
 def encode_by_join(
-    df: DataFrame,
-    text: str,
-    vocabulary: Vocabulary,
-    keys: list[str],
-    max_length: int | None,
-    out: str = "token_ids",
+    df: DataFrame, text: str, vocabulary: Vocabulary, max_length: int | None, out: str = "token_ids"
 ) -> DataFrame:
     """As :func:`encode_by_lookup`, with an equi-join on the token.
 
-    The join carries keys and positions only. Its size is left to the optimizer
-    to judge, so no vocabulary is broadcast unchecked, and adaptive execution
-    splits the partitions of frequent tokens.
+    Ids depend on the text alone, so each text is joined once, under its digest,
+    and rows find their ids by it: null or repeated keys make no difference.
+    The joins carry digests, positions and ids. Their size is left to the
+    optimizer to judge, so no vocabulary is broadcast unchecked, and adaptive
+    execution splits the partitions of frequent tokens and texts.
     """
-    key_columns = [column(df, key) for key in keys]
-    entries = (
-        df.select(*key_columns, F.posexplode(tokens(column(df, text), max_length)).alias("pos", "token"))
+    digest = F.sha2(column(df, text), 256)
+    ids = (
+        df.select(digest.alias("_digest"), tokens(column(df, text), max_length).alias("_tokens"))
+        .where(F.size("_tokens") > 0)
+        .groupBy("_digest")
+        .agg(F.any_value("_tokens").alias("_tokens"))
+        .select("_digest", F.posexplode("_tokens").alias("pos", "token"))
         .join(vocabulary.frame.select("token", "id"), "token", "left")
-        .groupBy(*keys)
+        .groupBy("_digest")
         .agg(
             F.sort_array(
                 F.collect_list(F.struct("pos", F.coalesce("id", F.lit(0)).alias("id")))
             ).alias("_entries")
         )
     )
+    found = F.coalesce(F.col("_entries.id"), F.array().cast("array<int>"))
+    joined = df.withColumn("_digest", digest).join(ids, "_digest", "left")
     return with_column(
-        df.join(entries, keys, "left"),
-        out,
-        F.coalesce(F.col("_entries.id"), F.array().cast("array<int>")),
-    ).drop("_entries")
+        joined, out, F.when(F.col("_digest").isNotNull(), found)
+    ).drop("_digest", "_entries")
 
 
 def prompt_masked_labels(
@@ -208,7 +204,6 @@ def prompt_masked_labels(
 def encode_with_labels(
     df: DataFrame,
     vocabulary: Vocabulary,
-    keys: list[str],
     max_length: int | None = DEFAULT_LENGTH,
 ) -> DataFrame:
     """Add ``token_ids`` and ``labels`` for ``text``.
@@ -216,7 +211,7 @@ def encode_with_labels(
     Labels mask ``prompt_text`` where the renderer has given it; all of a text
     without a prompt is to be learned.
     """
-    encoded = encode(df, "text", vocabulary, keys, max_length)
+    encoded = encode(df, "text", vocabulary, max_length)
     ids = F.col("token_ids")
     if "prompt_text" not in df.columns:
         return with_column(encoded, "labels", ids)

@@ -96,6 +96,34 @@ def whole_job(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def sampled_job(spark, sf_dir):
+    """A job over a seeded sample of its rows."""
+    path = scratch_path(spark, "sampled-job")
+    job.run(spark, job_parameters(spark, sf_dir, output_dir=path, shuffled_samples=100))
+    return spark.read.parquet(path)
+
+
+def tokenized_job(spark, sf_dir):
+    """A job that writes ids and labels, with a vocabulary of the default size."""
+    path = scratch_path(spark, "tokenized-job")
+    job.run(spark, job_parameters(spark, sf_dir, output_dir=path, tokenize=True))
+    rows = spark.read.parquet(path)
+    return rows.select("doc_id", "position", joined(F.col("token_ids")).alias("ids"))
+
+
+def head_of_split(spark, sf_dir):
+    return datasets.load_split(
+        spark, f"{sf_dir}/documents.parquet", "en", split_column="lang", num_samples=150
+    )
+
+
+def head_large(spark, sf_dir):
+    """A head of more rows than a preview has."""
+    return datasets.load_split(
+        spark, f"{sf_dir}/lineitem.parquet", None, num_samples=3000, order_by=["l_orderkey", "l_linenumber"]
+    )
+
+
 def dry_job(spark, sf_dir):
     """The report of a job that computes all of its output and writes none."""
     report = job.run(spark, job_parameters(spark, sf_dir, dry_run=True, num_train_epochs=3.0))
@@ -165,15 +193,31 @@ def movie_no_tagline(spark, sf_dir):
 
 def chats(spark, sf_dir):
     assembled = chat.assemble_chats(table(spark, sf_dir, "conversations"))
-    text = chat.render_chat(F.col("messages"), closed=F.col("closed"))
-    return assembled.select("conv_id", "part", text.alias("text"))
+    return assembled.select("conv_id", chat.render_chat(F.col("messages")).alias("text"))
+
+
+def long_chats(spark, sf_dir):
+    """Each 500 chats as one, in order of chat and turn."""
+    turns = table(spark, sf_dir, "conversations").select(
+        F.expr("conv_id div 500").alias("conv_id"),
+        F.struct("conv_id", "turn").alias("turn"),
+        "role",
+        "text",
+    )
+    assembled = chat.assemble_chats(turns)
+    return assembled.select("conv_id", chat.render_chat(F.col("messages")).alias("text"))
+
+
+def detected_chats(spark, sf_dir):
+    """Chats that are found by the name of their column."""
+    assembled = chat.assemble_chats(table(spark, sf_dir, "conversations"))
+    return render.render(assembled).select("conv_id", "text")
 
 
 def assembled(spark, sf_dir):
     rows = chat.assemble_chats(table(spark, sf_dir, "conversations"))
     return rows.select(
         "conv_id",
-        "part",
         F.size("messages").cast("long").alias("turns"),
         F.array_join("messages.role", ",").alias("roles"),
     )
@@ -207,15 +251,14 @@ def sharegpt(spark, sf_dir):
             m["content"].alias("value"),
         ),
     )
-    rows = assembled.select("conv_id", "part", theirs.alias("conversations"), "closed")
+    rows = assembled.select("conv_id", theirs.alias("conversations"))
     turns = chat.normalize_turns(F.col("conversations"), rows.schema["conversations"].dataType)
-    text = chat.render_chat(turns, closed=F.col("closed"))
-    return rows.select("conv_id", "part", text.alias("text"))
+    return rows.select("conv_id", chat.render_chat(turns).alias("text"))
 
 
 def stripped(spark, sf_dir):
     rows = chats(spark, sf_dir)
-    return rows.select("conv_id", "part", chat.strip_special(F.col("text")).alias("text"))
+    return rows.select("conv_id", chat.strip_special(F.col("text")).alias("text"))
 
 
 # --- Values ----------------------------------------------------------------
@@ -305,7 +348,7 @@ def vocabulary(spark, sf_dir):
 def encoded_pairs(spark, sf_dir):
     rows = render.render(pairs(spark, sf_dir), "alpaca", eos=EOS, parts=True)
     vocabulary = tokens.build_vocabulary(rows, "text", VOCABULARY)
-    return tokens.encode_with_labels(rows, vocabulary, PAIR_KEYS, LENGTH)
+    return tokens.encode_with_labels(rows, vocabulary, LENGTH)
 
 
 def encode(spark, sf_dir):
@@ -316,7 +359,15 @@ def encode_documents(spark, sf_dir):
     """Whole documents, without a length limit."""
     rows = documents(spark, sf_dir)
     vocabulary = tokens.build_vocabulary(rows, "text", 1000)
-    encoded = tokens.encode(rows, "text", vocabulary, ["doc_id"], max_length=None)
+    encoded = tokens.encode(rows, "text", vocabulary, max_length=None)
+    return encoded.select("doc_id", joined(F.col("token_ids")).alias("ids"))
+
+
+def encode_documents_by_join(spark, sf_dir):
+    """As above, by the way that a larger vocabulary takes."""
+    rows = documents(spark, sf_dir)
+    vocabulary = tokens.build_vocabulary(rows, "text", 1000)
+    encoded = tokens.encode_by_join(rows, "text", vocabulary, None)
     return encoded.select("doc_id", joined(F.col("token_ids")).alias("ids"))
 
 
@@ -410,9 +461,13 @@ QUERIES = {
     "s2_pick_split": pick_split,
     "s3_head_sample": head_sample,
     "s3_head_by_file": head_by_file,
+    "s3_head_of_split": head_of_split,
+    "s3_head_large": head_large,
     "s5_roundtrip": round_trip,
     "s5_sorted_json": sorted_round_trip,
     "s5_whole_job": whole_job,
+    "s5_job_tokenized": tokenized_job,
+    "o1_job_sample": sampled_job,
     "s6_dry_run": dry_job,
     "s7_preview_raw": preview_raw,
     "s8_preview_formatted": preview_formatted,
@@ -427,6 +482,8 @@ QUERIES = {
     "f3_movie_notebook": movie_notebook,
     "f3_movie_no_tagline": movie_no_tagline,
     "f4_chat": chats,
+    "f4_chat_long": long_chats,
+    "m4_chat_detected": detected_chats,
     "f5_passthrough": passthrough,
     "f7_instruction_prompt": instruction_prompts,
     "f8_generation_prompt": generation_prompts,
@@ -442,6 +499,7 @@ QUERIES = {
     "t1_vocab": vocabulary,
     "t2_encode": encode,
     "t2_encode_documents": encode_documents,
+    "t2_encode_join": encode_documents_by_join,
     "t3_truncate": truncate,
     "t4_labels": labels,
     "o1_shuffle_take": shuffle_take,

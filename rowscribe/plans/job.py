@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from rowscribe.operators.chat import ChatTemplate
 from rowscribe.operators.columns import quoted
-from rowscribe.operators.order import assign_batches
+from rowscribe.operators.order import assign_batches, shuffle_take
 from rowscribe.operators.render import render
 from rowscribe.operators.tokens import (
     DEFAULT_LENGTH,
@@ -28,6 +28,7 @@ class JobParameters:
 
     ``keys`` identify a row. ``output_files`` is best chosen for files of about
     a gigabyte; the default is the session's number of shuffle partitions.
+    ``shuffled_samples`` keeps that many rows of a shuffle by ``sample_seed``.
     """
 
     dataset_name: str
@@ -37,6 +38,8 @@ class JobParameters:
     split: str | None = "train"
     split_column: str | None = None
     dataset_num_samples: int | None = None
+    shuffled_samples: int | None = None
+    sample_seed: int = 42
     dataset_text_column: str | None = None
     style: str = "auto"
     eos: str | None = None
@@ -87,6 +90,9 @@ def prepare(spark: SparkSession, job: JobParameters) -> DataFrame:
     order = ["position", "micro_batch", "step"]
     if taken := set(order) & set(raw.columns):
         raise ValueError(f"the dataset has columns named like the order: {sorted(taken)}")
+    if job.shuffled_samples:
+        sample = shuffle_take(raw, job.shuffled_samples, job.sample_seed, job.keys)
+        raw = sample.drop("position")
     batched = assign_batches(
         raw,
         job.batch_size,
@@ -99,7 +105,7 @@ def prepare(spark: SparkSession, job: JobParameters) -> DataFrame:
     result, added = _render(rows, job), ["text"]
     if job.tokenize:
         vocabulary = build_vocabulary(_render(raw, job), "text", job.vocabulary_size)
-        result = encode_with_labels(result, vocabulary, list(job.keys), job.max_seq_length)
+        result = encode_with_labels(result, vocabulary, job.max_seq_length)
         added += ["token_ids", "labels"]
     kept = added if job.text_only else [c for c in result.columns if c != "_order"]
     return result.select(

@@ -47,14 +47,11 @@ ALPACA = f"""
 select *, {_ALPACA_PROMPT} || coalesce(output, 'None') || '</s>' as text from ({PAIRS}) p
 """
 
-CHAT = """
-select conv_id, part,
-       string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), ''
-                  order by turn)
-       || case when part = max(part) over (partition by conv_id) then '<|im_end|>' else '' end
-       as text
-from (select *, turn // 1024 as part from conversations) t
-group by conv_id, part
+_TURN = "'<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10)"
+
+CHAT = f"""
+select conv_id, string_agg({_TURN}, '' order by turn) || '<|im_end|>' as text
+from conversations group by conv_id
 """
 
 
@@ -118,6 +115,8 @@ ORACLE = {
     "s2_pick_split": "select doc_id, lang, text from documents where lang = 'de'",
     "s3_head_sample": "select * from documents order by doc_id limit 100",
     "s3_head_by_file": "select * from documents order by doc_id limit 150",
+    "s3_head_of_split": "select * from documents where lang = 'en' order by doc_id limit 150",
+    "s3_head_large": "select * from lineitem order by l_orderkey, l_linenumber limit 3000",
     "s5_roundtrip": ALPACA,
     "s5_sorted_json": ALPACA,
     "s5_whole_job": """
@@ -125,6 +124,15 @@ select doc_id, text, lang, source, n_chars, position, position // 2 as micro_bat
        position // 8 as step
 from (select *, row_number() over (order by md5('3407:' || doc_id), doc_id) - 1 as position
       from documents) p""",
+    "s5_job_tokenized": "select doc_id, position, value as ids from ("
+    + _encoded("select doc_id, text from documents", "doc_id", 32000, 2048, "coalesce(id, 0)")
+    + """) e join (select doc_id, row_number() over (order by md5('3407:' || doc_id), doc_id) - 1
+                          as position from documents) p using (doc_id)""",
+    "o1_job_sample": """
+select doc_id, text, lang, source, n_chars, position, position // 2 as micro_batch,
+       position // 8 as step
+from (select *, row_number() over (order by md5('3407:' || doc_id), doc_id) - 1 as position
+      from (select * from documents order by md5('42:' || doc_id), doc_id limit 100) s) p""",
     "s6_dry_run": """
 select count(*) as n_rows, count(*) - count(text) as unrendered,
        cast(ceil(ceil(ceil(count(*) / 2.0) / 4.0) * 3.0) as bigint) as steps
@@ -156,6 +164,10 @@ from ({PAIRS}) p""",
     "f3_movie_notebook": f"select {_movie('''coalesce(tagline, '')''', '')} as text from ({MOVIES}) m",
     "f3_movie_no_tagline": f"select id, {_movie(chr(39) * 2, '</s>')} as text from ({MOVIES}) m",
     "f4_chat": CHAT,
+    "f4_chat_long": f"""
+select conv_id // 500 as conv_id, string_agg({_TURN}, '' order by conv_id, turn) || '<|im_end|>' as text
+from conversations group by conv_id // 500""",
+    "m4_chat_detected": CHAT,
     "f5_passthrough": "select doc_id, text, source from documents",
     "f7_instruction_prompt": f"""
 select conv_id, turn,
@@ -170,10 +182,10 @@ select conv_id, turn,
 from ({PAIRS}) p""",
     "f9_sharegpt": CHAT,
     "f10_assemble": """
-select conv_id, turn // 1024 as part, count(*) as turns, string_agg(role, ',' order by turn) as roles
-from conversations group by conv_id, turn // 1024""",
+select conv_id, count(*) as turns, string_agg(role, ',' order by turn) as roles
+from conversations group by conv_id""",
     "f12_strip_special": f"""
-select conv_id, part, replace(replace(text, '<|im_start|>', ''), '<|im_end|>', '') as text
+select conv_id, replace(replace(text, '<|im_start|>', ''), '<|im_end|>', '') as text
 from ({CHAT}) c""",
     "x1_py_str": """
 select event_id,
@@ -212,6 +224,9 @@ from ({MOVIES}) m""",
     "t2_encode_documents": "select doc_id, value as ids from ("
     + _encoded("select doc_id, text from documents", "doc_id", 1000, None, "coalesce(id, 0)")
     + ") e",
+    "t2_encode_join": "select doc_id, value as ids from ("
+    + _encoded("select doc_id, text from documents", "doc_id", 1000, None, "coalesce(id, 0)")
+    + ") e",
     "t3_truncate": f"""
 select doc_id, array_to_string({_tokens('text')}[1:64], ' ') as text from documents""",
     "t4_labels": "select conv_id, turn, value as labels from ("

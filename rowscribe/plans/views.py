@@ -3,59 +3,62 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowscribe.operators.chat import TURNS_PER_PART
 
+#: Turn numbers that are put in order together by :func:`pairs`.
+TURNS_PER_BLOCK = 1024
 
-def pairs(turns: DataFrame, turns_per_block: int = TURNS_PER_PART) -> DataFrame:
+
+def pairs(turns: DataFrame, turns_per_block: int = TURNS_PER_BLOCK) -> DataFrame:
     """Each user turn with the assistant turn after it, and the chat's system
     turn as input.
 
-    Long chats are cut into blocks of turns, so no task gets a whole one. The
-    first turn of a block is also sent to the block before, as the answer to
-    its last turn; turns are numbered without gaps. The system text is repeated
-    for each block of its chat, which joins it on the key the blocks are
-    already partitioned by.
+    Long chats are cut into blocks of turn numbers, so no task gets a whole one.
+    The first turn of a block is also sent to the last block before it that has
+    turns, as the answer to its last turn; so gaps in the numbers do no harm.
     """
-    block = F.expr(f"turn div {turns_per_block}")
-    opens_block = (F.col("turn") > 0) & (F.col("turn") % turns_per_block == 0)
-    spread = turns.select(
+    of_block = ["conv_id", "block"]
+    # System texts come by the join below, so they stay out of the wide shuffle.
+    rows = turns.select(
         "conv_id",
         "turn",
         "role",
-        # System texts come by the join below, so they stay out of this shuffle.
         F.when(F.col("role") != "system", F.col("text")).alias("text"),
-        F.explode(
-            F.when(opens_block, F.array(block, block - 1)).otherwise(F.array(block))
-        ).alias("block"),
+        F.expr(f"turn div {turns_per_block}").alias("block"),
+        F.lit(True).alias("own"),
     )
-    following = Window.partitionBy("conv_id", "block").orderBy("turn")
-    systems = (
-        turns.where(F.col("role") == "system")
-        .groupBy("conv_id")
-        .agg(F.max("text").alias("input"))
+    chat = Window.partitionBy("conv_id")
+    blocks = (
+        turns.groupBy("conv_id", F.expr(f"turn div {turns_per_block}").alias("block"))
+        .agg(
+            F.min_by(
+                F.struct(
+                    "turn", "role", F.when(F.col("role") != "system", F.col("text")).alias("text")
+                ),
+                "turn",
+            ).alias("first"),
+            F.max(F.when(F.col("role") == "system", F.col("text"))).alias("system"),
+        )
+        .select(
+            *of_block,
+            "first",
+            F.lag("block").over(chat.orderBy("block")).alias("before"),
+            F.max("system").over(chat).alias("input"),
+        )
     )
-    # Read from the key columns; dropped at run time if there is no long chat.
-    long_chats = turns.groupBy("conv_id").agg(F.max(block).alias("last")).where(F.col("last") > 0)
-    systems = systems.join(long_chats, "conv_id", "left").select(
-        "conv_id",
-        "input",
-        F.explode(
-            F.sequence(F.lit(0).cast("long"), F.coalesce("last", F.lit(0).cast("long")))
-        ).alias("block"),
+    carried = blocks.where(F.col("before").isNotNull()).select(
+        "conv_id", "first.*", F.col("before").alias("block"), F.lit(False).alias("own")
     )
+    following = Window.partitionBy(*of_block).orderBy("turn")
     return (
-        spread.withColumns(
+        rows.union(carried)
+        .withColumns(
             {
                 "output": F.lead("text").over(following),
                 "answered_by": F.lead("role").over(following),
             }
         )
-        .where(
-            (F.col("role") == "user")
-            & (F.col("answered_by") == "assistant")
-            & (block == F.col("block"))
-        )
-        .join(systems, ["conv_id", "block"], "left")
+        .where(F.col("own") & (F.col("role") == "user") & (F.col("answered_by") == "assistant"))
+        .join(blocks.select(*of_block, "input"), of_block)
         .select("conv_id", "turn", F.col("text").alias("instruction"), "output", "input")
     )
 

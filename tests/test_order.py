@@ -77,10 +77,8 @@ def test_step_budget(spark, b, g, epochs, n):
     assert order.step_budget(spark.range(n), b, g, epochs, max_steps=60).first().steps == 60
 
 
-@pytest.mark.parametrize("limit", [10_000, 3])
 @pytest.mark.parametrize("keys", [["a", "b"], ["b"]])
-def test_head(spark, monkeypatch, limit, keys):
-    monkeypatch.setattr(order, "TOP_N_LIMIT", limit)
+def test_head(spark, keys):
     rows = spark.range(0, 500, 1, 7).select(
         F.when(F.col("id") % 5 > 0, F.col("id") % 5).alias("a"), (499 - F.col("id")).alias("b")
     )
@@ -88,15 +86,40 @@ def test_head(spark, monkeypatch, limit, keys):
         rows.collect(), key=lambda r: [(r[k] is not None, r[k] or 0) for k in keys]
     )
     for n in (0, 1, 120, 500, 900):
-        found = order.head(rows, n, keys).orderBy(*keys).collect()
-        assert found == everything[:n]
+        assert order.head(rows, n, keys).collect() == everything[:n]
 
 
-def test_head_filter_reaches_the_scan(spark, sf_dir):
-    rows = order.head(spark.read.parquet(f"{sf_dir}/documents.parquet"), 5, ["doc_id"])
-    rows.collect()
-    plan = rows._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [Or(IsNull(doc_id),LessThanOrEqual(doc_id," in plan
+@pytest.mark.parametrize("n", [1000, 1001, 12_000])
+def test_head_of_repeated_and_null_keys(spark, n):
+    rows = spark.range(0, 30_000, 1, 5).select(
+        F.when(F.col("id") % 4 > 0, F.expr("id div 9")).alias("k"), F.col("id").alias("v")
+    )
+    found = [r.k for r in order.head(rows, n, ["k"]).collect()]
+    expected = sorted((r.k for r in rows.collect()), key=lambda k: (k is not None, k or 0))
+    assert found == expected[:n]
+
+
+def test_shuffle_take_moves_few_rows(spark):
+    rows = spark.range(0, 400_000, 1, 4).withColumnRenamed("id", "k")
+    taken = order.shuffle_take(rows, 3, 42, ["k"])
+    assert [r.k for r in sorted(taken.collect(), key=lambda r: r.position)] == sorted(
+        range(400_000), key=lambda k: hashlib.md5(f"42:{k}".encode()).hexdigest()
+    )[:3]
+
+
+def test_pairs_with_gaps(spark):
+    turns = spark.createDataFrame(
+        [
+            (1, 0, "user", "q"),
+            (1, 5000, "assistant", "a"),
+            (2, 0, "system", "s"),
+            (2, 1_700_000_000_000_000, "user", "q2"),
+            (2, 1_700_000_090_000_000, "assistant", "a2"),
+        ],
+        "conv_id bigint, turn bigint, role string, text string",
+    )
+    found = sorted(tuple(r) for r in views.pairs(turns).collect())
+    assert [(r[0], *r[2:]) for r in found] == [(1, "q", "a", None), (2, "q2", "a2", "s")]
 
 
 def test_sorted_position_with_a_hot_leading_key(spark):

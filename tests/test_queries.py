@@ -29,5 +29,5 @@ def test_query(spark, duck, sf_dir, name):
 
 def test_entry(spark):
     rows = driver.entry(spark)
-    assert rows.columns == ["conv_id", "part", "text"]
+    assert rows.columns == ["conv_id", "text"]
     assert rows.count() == 20

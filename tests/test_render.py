@@ -216,38 +216,18 @@ def test_stripping_keeps_the_content(spark):
     assert texts(out) == ["user\na <| b |> im_end\n"]
 
 
-def test_long_chats_are_kept_whole(spark):
-    turns = spark.range(1000).select(
-        (F.col("id") % 3 == 0).cast("long").alias("conv_id"),
-        F.col("id").alias("turn"),
+def test_long_chats_are_one_row(spark):
+    turns = spark.range(6000).select(
+        (F.col("id") % 2).alias("conv_id"),
+        F.expr("id * 1000000").alias("turn"),
         F.lit("user").alias("role"),
         F.concat(F.lit("t"), "id").alias("text"),
     )
-    short = turns.where("turn < 5").withColumn("conv_id", F.col("conv_id") + 10)
-    table = turns.union(short)
-    parts = assemble_chats(table, turns_per_part=64)
-    text = render_chat(F.col("messages"), closed=F.col("closed"))
-    rows = parts.select("conv_id", "part", F.size("messages").alias("n"), text.alias("text")).collect()
-    assert max(row.n for row in rows) <= 64
-    whole = assemble_chats(table, turns_per_part=10**6).select(
-        "conv_id", render_chat(F.col("messages")).alias("text")
-    )
-    for expected in whole.collect():
-        mine = sorted((r.part, r.text) for r in rows if r.conv_id == expected.conv_id)
-        assert "".join(text for _, text in mine) == expected.text
-
-
-def test_assembly_with_gaps_in_the_turns(spark):
-    turns = spark.createDataFrame(
-        [(1, t, "user", str(t)) for t in (0, 1, 700, 701, 5000)],
-        "conv_id bigint, turn bigint, role string, text string",
-    )
-    rows = assemble_chats(turns, turns_per_part=100).orderBy("part").collect()
-    assert [(r.part, len(r.messages), r.closed) for r in rows] == [
-        (0, 2, False),
-        (7, 2, False),
-        (50, 1, True),
-    ]
+    rows = assemble_chats(turns).select("conv_id", render_chat(F.col("messages")).alias("text"))
+    found = {row.conv_id: row.text for row in rows.collect()}
+    for chat in (0, 1):
+        expected = "".join(f"<|im_start|>user\nt{i}<|im_end|>\n" for i in range(chat, 6000, 2))
+        assert found[chat] == expected + "<|im_end|>"
 
 
 def test_text_only_prunes_the_scan(spark, sf_dir):

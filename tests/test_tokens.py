@@ -34,9 +34,7 @@ def test_tokens(spark, limit):
 
 
 @pytest.mark.parametrize("size", [1, 50, 1000, 10**6])
-@pytest.mark.parametrize("ranked_limit", [0, 10**9])
-def test_vocabulary(spark, rows, monkeypatch, size, ranked_limit):
-    monkeypatch.setattr(tok, "RANKED_LIMIT", ranked_limit)
+def test_vocabulary(spark, rows, size):
     found = tok.build_vocabulary(rows, "text", size).frame.orderBy("id").collect()
     expected = ranking([r.text for r in rows.collect()], size)
     assert [(r.token, r["count"]) for r in found] == expected
@@ -47,16 +45,15 @@ def test_vocabulary_of_nothing(spark):
     table = spark.createDataFrame([(1, None), (2, " ")], "k int, text string")
     vocabulary = tok.build_vocabulary(table, "text", 10)
     assert vocabulary.frame.count() == 0
-    found = tok.encode(table, "text", vocabulary, ["k"]).orderBy("k").collect()
+    found = tok.encode(table, "text", vocabulary).orderBy("k").collect()
     assert [r.token_ids for r in found] == [None, []]
 
 
 @pytest.mark.parametrize("max_length", [None, 16])
 def test_lookup_and_join_agree(spark, rows, max_length):
     vocabulary = tok.build_vocabulary(rows, "text", 300)
-    keys = ["conv_id", "turn"]
     looked_up = tok.encode_by_lookup(rows, "text", vocabulary, max_length)
-    joined = tok.encode_by_join(rows, "text", vocabulary, keys, max_length)
+    joined = tok.encode_by_join(rows, "text", vocabulary, max_length)
     found = sorted(looked_up.collect())
     assert found == sorted(joined.collect())
     ids = {token: i for i, (token, _) in enumerate(ranking([r.text for r in found], 300), 1)}
@@ -64,13 +61,25 @@ def test_lookup_and_join_agree(spark, rows, max_length):
         assert row.token_ids == [ids.get(t, 0) for t in split(row.text)[:max_length]]
 
 
+def test_lookup_and_join_agree_on_odd_rows(spark):
+    table = spark.createDataFrame(
+        [(None, "a b"), (None, "b"), (1, "a"), (1, "b c"), (1, "a"), (2, None), (3, " "), (4, "")],
+        "k int, text string",
+    )
+    vocabulary = tok.build_vocabulary(table, "text", 2)
+    looked_up = tok.encode_by_lookup(table, "text", vocabulary, None)
+    joined = tok.encode_by_join(table, "text", vocabulary, None)
+    assert joined.columns == looked_up.columns
+    assert sorted(map(str, joined.collect())) == sorted(map(str, looked_up.collect()))
+
+
 def test_long_tokens(spark):
     texts = ["x" * 64, "x" * 65, "x" * 70_000 + " y", "x" * 70_001, "é" * 33]
     table = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
     vocabulary = tok.build_vocabulary(table.where("k <> 3"), "text", 10)
     looked_up = tok.encode_by_lookup(table, "text", vocabulary, None)
     assert sorted(looked_up.collect()) == sorted(
-        tok.encode_by_join(table, "text", vocabulary, ["k"], None).collect()
+        tok.encode_by_join(table, "text", vocabulary, None).collect()
     )
     assert [r.token_ids for r in looked_up.orderBy("k").collect()] == [[1], [2], [3, 4], [0], [5]]
 
@@ -78,7 +87,7 @@ def test_long_tokens(spark):
 def test_large_vocabularies_are_joined(spark, rows, monkeypatch):
     monkeypatch.setattr(tok, "LOOKUP_LIMIT", 10)
     vocabulary = tok.build_vocabulary(rows, "text", 300)
-    encoded = tok.encode(rows, "text", vocabulary, ["conv_id", "turn"])
+    encoded = tok.encode(rows, "text", vocabulary)
     assert "Join" in encoded._jdf.queryExecution().optimizedPlan().toString()
 
 
@@ -86,7 +95,7 @@ def test_vocabulary_is_not_copied_into_rows(spark, rows):
     vocabulary = tok.build_vocabulary(rows, "text", 300)
     prompts = render(rows.withColumnRenamed("text", "prompt").withColumn("answer", F.col("prompt")), eos="")
     for table in (rows, prompts, rows.withColumn("text", F.upper("text"))):
-        encoded = tok.encode(table, "text", vocabulary, ["conv_id", "turn"])
+        encoded = tok.encode(table, "text", vocabulary)
         plan = encoded._jdf.queryExecution().optimizedPlan().toString()
         assert "_maps" not in plan and "Join" not in plan.split("transform")[0]
 
@@ -99,7 +108,7 @@ def test_labels_mask_the_prompt(spark):
     rows = render(table, eos=" </s>", parts=True)
     vocabulary = tok.build_vocabulary(rows, "text", 100)
     for length in (None, 8, 1):
-        for row in tok.encode_with_labels(rows, vocabulary, ["k"], length).collect():
+        for row in tok.encode_with_labels(rows, vocabulary, length).collect():
             asked = len(split(row.prompt_text))
             assert len(row.labels) == len(row.token_ids)
             assert row.labels == [
@@ -110,5 +119,5 @@ def test_labels_mask_the_prompt(spark):
 def test_ready_text_is_learned_whole(spark):
     table = spark.createDataFrame([(1, "a b a")], "k int, text string")
     vocabulary = tok.build_vocabulary(table, "text", 1)
-    row = tok.encode_with_labels(table, vocabulary, ["k"]).first()
+    row = tok.encode_with_labels(table, vocabulary).first()
     assert row.labels == row.token_ids == [1, 0, 1]
