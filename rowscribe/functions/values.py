@@ -18,6 +18,9 @@ from pyspark.sql import types as T
 
 from rowscribe.functions import fixed
 
+# Decimals with more decimal places than this have an exponent in Python where
+# they are 0 or below 1e-6.
+_PLAIN_SCALE = 6
 # Doubles of this magnitude have one text form in Spark and Python.
 _PLAIN_FROM = 1e-3
 _PLAIN_BELOW = 1e7
@@ -25,13 +28,13 @@ _PLAIN_BELOW = 1e7
 # The common shape of a literal list of names. Possessive repetition keeps the
 # regex engine from recursing once per element on long lists.
 _PLAIN_NAME_LIST = (
-    r"\A\[(?:\{'id': (?:0|[1-9][0-9]{0,17}), 'name': "
+    r"\A\[(?:\{(?:'id'|\"id\"): (?:0|[1-9][0-9]{0,17}), (?:'name'|\"name\"): "
     r"""(?:'[^'"\\\x00-\x1f]*+'|"[^"\\\x00-\x1f]*+")\}"""
     r"(?:, (?=\{)|(?=\])))*+\]\z"
 )
 # Exact for that shape only: each match starts at an item's own name and takes
 # all of it, so text inside a name is never taken for another item.
-_PLAIN_NAME = r"""(?s)'name': (['"])(.*?)\1"""
+_PLAIN_NAME = r"""(?s)(?:'name'|"name"): (['"])(.*?)\1"""
 
 
 def py_str(value: Column, dtype: T.DataType) -> Column:
@@ -61,6 +64,12 @@ def py_str(value: Column, dtype: T.DataType) -> Column:
         )
         rare = _python_text()(F.when(~plain, number))
         return F.coalesce(F.when(plain, number.cast("string")), rare, none)
+    if isinstance(dtype, T.DecimalType):
+        if dtype.scale <= _PLAIN_SCALE:
+            return F.coalesce(value.cast("string"), none)
+        plain = F.abs(value) >= F.lit(10.0**-_PLAIN_SCALE).cast(dtype)
+        rare = _python_text()(F.when(~plain, value))
+        return F.coalesce(F.when(plain, value.cast("string")), rare, none)
     return F.coalesce(_python_text()(value), none)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowscribe.functions import fixed
+from rowscribe.functions.values import py_str
 from rowscribe.operators.columns import quoted
 
 
@@ -48,10 +49,14 @@ def render_chat(turns: Column, template: ChatTemplate = CHATML) -> Column:
     return F.concat(F.when(complete, F.array_join(pieces, "")), F.lit(template.eos))
 
 
-def generation_prompt(content: Column, template: ChatTemplate = CHATML) -> Column:
-    """One user turn and the opening of the answer, for inference."""
+def generation_prompt(
+    content: Column, template: ChatTemplate = CHATML, dtype: T.DataType = T.StringType()
+) -> Column:
+    """One user turn and the opening of the answer, for inference. Never null; a
+    question that is null or no string, of type ``dtype``, has its text form."""
     return F.concat(
-        turn_text(F.lit("user"), content, template), F.lit(template.generation_prompt)
+        turn_text(F.lit("user"), py_str(content, dtype), template),
+        F.lit(template.generation_prompt),
     )
 
 

@@ -5,6 +5,7 @@ import string
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowscribe.functions import fixed
 from rowscribe.functions.values import default_if_falsy, joined_names, py_str, truthy
@@ -126,11 +127,14 @@ def text_only(df: DataFrame) -> DataFrame:
     return df.select(column(df, "text"))
 
 
-def instruction_prompt(instruction: Column, preamble: str = "") -> Column:
-    """Instruction style up to the answer, for inference."""
+def instruction_prompt(
+    instruction: Column, preamble: str = "", dtype: T.DataType = T.StringType()
+) -> Column:
+    """Instruction style up to the answer, for inference. Never null; an
+    instruction that is null or no string, of type ``dtype``, has its text form."""
     return F.concat(
         F.lit(preamble + fixed.INSTRUCTION_HEADING),
-        instruction,
+        py_str(instruction, dtype),
         F.lit(fixed.BLOCK_GAP + fixed.RESPONSE_HEADING),
     )
 

@@ -63,6 +63,13 @@ def build_vocabulary(df: DataFrame, text: str, size: int = DEFAULT_VOCABULARY) -
     return Vocabulary(frame, size)
 
 
+def written(vocabulary: Vocabulary, path: str) -> Vocabulary:
+    """The vocabulary as a table in ``path``, so that what encodes with it reads
+    it and does not learn it anew. It is learned and written at once."""
+    vocabulary.frame.write.parquet(path)
+    return Vocabulary(vocabulary.frame.sparkSession.read.parquet(path), vocabulary.size)
+
+
 def without_rare(counts: DataFrame, size: int) -> DataFrame:
     """Drop tokens that cannot be among the ``size`` most frequent, exactly.
 

@@ -348,6 +348,7 @@ def vocabulary(spark, sf_dir):
 def encoded_pairs(spark, sf_dir):
     rows = render.render(pairs(spark, sf_dir), "alpaca", eos=EOS, parts=True)
     vocabulary = tokens.build_vocabulary(rows, "text", VOCABULARY)
+    vocabulary = tokens.written(vocabulary, scratch_path(spark, "vocabulary"))
     return tokens.encode_with_labels(rows, vocabulary, LENGTH)
 
 
@@ -359,6 +360,7 @@ def encode_documents(spark, sf_dir):
     """Whole documents, without a length limit."""
     rows = documents(spark, sf_dir)
     vocabulary = tokens.build_vocabulary(rows, "text", 1000)
+    vocabulary = tokens.written(vocabulary, scratch_path(spark, "vocabulary"))
     encoded = tokens.encode(rows, "text", vocabulary, max_length=None)
     return encoded.select("doc_id", joined(F.col("token_ids")).alias("ids"))
 
@@ -421,6 +423,15 @@ def log_text(spark, sf_dir):
     return logs.log_chunks(log_lines(spark, sf_dir), ["step"])
 
 
+def log_text_of_runs(spark, sf_dir):
+    """Each kind of event as a run of its own."""
+    events = table(spark, sf_dir, "events")
+    rows = events.select(
+        F.col("event_type").alias("run"), F.col("event_id").alias("step"), F.col("value").alias("loss")
+    )
+    return logs.log_chunks(logs.with_log_line(rows), ["step"], run="run")
+
+
 def event_stream(spark, sf_dir):
     # The pattern matches a single file as well as a folder of files.
     schema = table(spark, sf_dir, "events").schema
@@ -507,6 +518,7 @@ QUERIES = {
     "o3_step_budget": step_budget,
     "l1_log_lines": log_lines,
     "l2_log_text": log_text,
+    "l2_log_text_runs": log_text_of_runs,
     "l3_log_stream": log_stream,
     "l4_every_k": every_kth,
     "u4_log_hook": log_hook,

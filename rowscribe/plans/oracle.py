@@ -257,6 +257,14 @@ select chunk, string_agg(line, '' order by step) as text
 from (select step, line, (row_number() over (order by step) - 1) // 1000 as chunk
       from ({LINES}) l) c
 group by chunk""",
+    "l2_log_text_runs": """
+select run, chunk, string_agg(line, '' order by step) as text
+from (select event_type as run, event_id as step,
+             'Step ' || event_id || ': Loss ' || coalesce(cast(value as varchar), 'N/A') || chr(10)
+             as line,
+             (row_number() over (partition by event_type order by event_id) - 1) // 1000 as chunk
+      from events) c
+group by run, chunk""",
     "l3_log_stream": LINES,
     "u4_log_hook": LINES,
     "x7_log_line_colon": f"""

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rowscribe.functions import fixed
 from rowscribe.functions.values import py_str
-from rowscribe.operators.columns import column, column_type, with_column
+from rowscribe.operators.columns import column, column_type, quoted, with_column
 from rowscribe.operators.order import sorted_position
 
 POLL_INTERVAL = "1 second"
@@ -44,19 +44,32 @@ def every_kth(df: DataFrame, k: int, step: str = "step") -> DataFrame:
 
 
 def log_chunks(
-    lines: DataFrame, order_by: Sequence[str], lines_per_chunk: int = LINES_PER_CHUNK
+    lines: DataFrame,
+    order_by: Sequence[str],
+    lines_per_chunk: int = LINES_PER_CHUNK,
+    run: str | None = None,
 ) -> DataFrame:
     """The whole log in arrival order, as texts of ``lines_per_chunk`` lines.
 
     Joined by ``chunk`` number the texts are the cumulative log. It is not one
     text, because a log has no size limit and a cell has. Chunks are cut by
-    position, so all are equally long whatever the step numbers are.
+    position, so all are equally long whatever the step numbers are. Lines of
+    many runs are told apart by the column ``run``: each run has a log of its
+    own then, with chunks from 0. A null run is one too.
     """
-    numbered = sorted_position(lines.select(*order_by, "line"), order_by)
-    return (
-        numbered.groupBy(F.expr(f"position div {lines_per_chunk}").alias("chunk"))
-        .agg(F.expr("listagg(line, '') within group (order by position)").alias("text"))
+    text = F.expr("listagg(line, '') within group (order by position)").alias("text")
+    chunk = F.expr(f"position div {lines_per_chunk}").alias("chunk")
+    if run is None:
+        numbered = sorted_position(lines.select(*[quoted(c) for c in order_by], "line"), order_by)
+        return numbered.groupBy(chunk).agg(text)
+    keys = [run, *(c for c in order_by if c != run)]
+    numbered = sorted_position(lines.select(*[quoted(c) for c in keys], "line"), keys)
+    of_run = F.col(quoted(run))
+    first = numbered.groupBy(of_run.alias("_run")).agg(F.min("position").alias("_first"))
+    within = numbered.join(first, of_run.eqNullSafe(F.col("_run"))).withColumn(
+        "position", F.col("position") - F.col("_first")
     )
+    return within.groupBy(of_run, chunk).agg(text)
 
 
 def read_log_stream(

@@ -50,6 +50,18 @@ def test_chunks_make_up_the_log(spark):
     assert {c.text.count("\n") for c in chunks} == {100}
 
 
+def test_runs_have_logs_of_their_own(spark):
+    records = [("a", 1, "a1\n"), ("b", 1, "b1\n"), (None, 1, "n1\n"), ("a", 2, "a2\n"), ("a", 3, "a3\n")]
+    rows = spark.createDataFrame(records, "`run.id` string, step int, line string")
+    found = logs.log_chunks(rows, ["step"], 2, run="run.id").collect()
+    assert {(r["run.id"], r.chunk, r.text) for r in found} == {
+        ("a", 0, "a1\na2\n"),
+        ("a", 1, "a3\n"),
+        ("b", 0, "b1\n"),
+        (None, 0, "n1\n"),
+    }
+
+
 def test_stream_appends(spark, folder, tmp_path):
     schema = spark.read.parquet(folder).schema
     out, progress = str(tmp_path / "lines"), str(tmp_path / "progress")

@@ -210,6 +210,19 @@ def test_prompts(spark):
     assert row.c == "<|im_start|>user\nq<|im_end|>\n<|im_start|>assistant\n"
 
 
+def test_prompts_of_null_and_of_numbers(spark):
+    rows = spark.createDataFrame([(None, 2.5)], "q string, n double")
+    number = rows.schema["n"].dataType
+    row = rows.select(
+        instruction_prompt(F.col("q")).alias("i"),
+        generation_prompt(F.col("q")).alias("c"),
+        instruction_prompt(F.col("n"), dtype=number).alias("n"),
+    ).first()
+    assert row.i == "### Instruction:\nNone\n\n### Response:\n"
+    assert row.c == "<|im_start|>user\nNone<|im_end|>\n<|im_start|>assistant\n"
+    assert row.n == "### Instruction:\n2.5\n\n### Response:\n"
+
+
 def test_stripping_keeps_the_content(spark):
     rows = chat_rows(spark, [("user", "a <| b |> im_end")])
     out = rows.select(strip_special(render_chat(F.col("messages"))).alias("text"))

@@ -42,6 +42,18 @@ TEXT_CASES = [
         ],
     ),
     ("decimal(10,2)", [Decimal("1.50"), Decimal("0.00"), Decimal("-3.10"), None]),
+    ("decimal(12,6)", [Decimal("0.000001"), Decimal("-0.000010"), Decimal("0.000000"), None]),
+    (
+        "decimal(20,10)",
+        [
+            Decimal("0.0000010000"),
+            Decimal("0.0000009999"),
+            Decimal("-0.0000000001"),
+            Decimal("0.0000000000"),
+            Decimal("-12.5000000000"),
+            None,
+        ],
+    ),
     ("array<int>", [[1, 2], [], None]),
     ("array<string>", [["a", None, "it's"], None]),
     ("struct<a:int,b:string>", [{"a": 1, "b": "x"}, None]),
@@ -150,6 +162,18 @@ def test_literal_names(spark):
     assert names_of(spark, LITERALS) == [expected_names(literal) for literal in LITERALS]
 
 
+def test_literal_names_with_double_quoted_keys(spark):
+    literals = [
+        '[{"id": 1, "name": "a"}, {"id": 20, "name": "b c"}]',
+        """[{"id": 1, "name": "it's"}, {'id': 2, 'name': 'x'}]""",
+        """[{"id": 1, "name": "'name': 'y'"}, {"id": 2, "name": "z"}]""",
+        """[{"id': 1, "name": "a"}]""",
+        '[{"id": 1, "name": "a\\"b"}]',
+        '[{"id": 1, "name": 2}]',
+    ]
+    assert names_of(spark, literals) == [expected_names(literal) for literal in literals]
+
+
 def test_literal_names_of_random_literals(spark):
     rng = random.Random(7)
     pieces = ["a", "'", '"', "\\", "\\'", "x y", "é", ", ", "}", "]", "\t", "\\n", "{", "\x1f"]
