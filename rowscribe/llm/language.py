@@ -5,11 +5,18 @@ several widths slide over them, each filter's maximum over the window is
 kept, and a softmax tells the languages apart. A text's probabilities are
 those of all its windows together. The network is trained in numpy, on the
 driver, on a bounded sample of labelled rows; windows are applied in batches.
+
+To filter, the network has one output more, for text in none of the languages.
+It learns that from the sample's windows with exchanged or shuffled bytes and
+from drawn ones. A text's score is the mean over its windows of the
+log-probability of all the languages; labelled rows that it did not learn from
+set the score under which a text goes.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,6 +33,9 @@ WIDTHS = (2, 3, 4)
 #: don't teach), and windows of a text, evenly spaced. Predictions look at whole texts.
 SAMPLE_ROWS, SAMPLE_BYTES, SAMPLE_WINDOWS = 400, 16_384, 8
 EPOCHS, MINIBATCH, RATE = 5, 64, 0.004
+#: To filter, one in so many rows of a language is not learned but calibrates, and so many of
+#: these may score under the threshold.
+CALIBRATING, SPARE = 5, 0.02
 #: Windows that are computed together.
 BATCH = 256
 
@@ -46,9 +56,11 @@ class Network:
     biases: list[np.ndarray]
     output: np.ndarray
     offset: np.ndarray
+    #: The lowest score of a text in one of the languages; None for a network that can't tell.
+    threshold: float | None = None
 
     def log_odds(self, x: np.ndarray) -> np.ndarray:
-        """Log-probabilities of the languages for each window."""
+        """Log-probabilities of the languages for each window, and of none of them if it was learned."""
         tables = [np.tensordot(self.embedding, f.reshape(w, EMBEDDING, -1), ([1], [1])) for w, f in zip(WIDTHS, self.filters)]
         pooled = np.empty((len(x), FILTERS * len(WIDTHS)), np.float32)
         wide = x.astype(np.intp)
@@ -66,20 +78,50 @@ def log_softmax(z: np.ndarray) -> np.ndarray:
     return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
 
 
-def train(texts: list[str], labels: list[str], seed: int = 5) -> Network:
-    """A network fitted by Adam to the windows of the texts."""
+def foreign(x: np.ndarray, random: np.random.Generator) -> np.ndarray:
+    """Windows that are in none of the languages of the given ones, as many as these: the
+    same with bytes exchanged or shuffled, and bytes of few kinds or scripts drawn by chance."""
+    out = x.copy()
+    for i, kind in enumerate(np.arange(len(x)) % 6):
+        if kind < 2:  # another language in the same letters
+            exchange = np.arange(256)
+            for low, high in ((65, 91), (97, 123), (128, 192), (195, 224)):
+                exchange[low:high] = low + random.permutation(high - low)
+            out[i] = exchange[x[i]]
+        elif kind == 2:
+            out[i] = random.permutation(x[i])
+        elif kind == 3:
+            out[i] = random.choice(random.integers(32, 127, random.integers(2, 80)), WINDOW)
+        elif kind == 4:
+            out[i] = random.integers(0, 256, WINDOW)
+        else:  # letters of another script, some white space and signs among them
+            start = int(random.integers(0x250, 0xD700))
+            points = start + random.integers(0, random.integers(10, 2000), WINDOW)
+            points = np.where(random.random(WINDOW) < random.choice([0.0, 0.1, 0.2]), random.integers(32, 64, WINDOW), points)
+            text = "".join(map(chr, np.minimum(points, 0xD7FF))).encode()
+            at = int(random.integers(0, len(text) - WINDOW + 1))
+            out[i] = np.frombuffer(text[at : at + WINDOW], np.uint8)
+    return np.where(x == 0, 0, out)
+
+
+def train(texts: list[str], labels: list[str], seed: int = 5, others: bool = False) -> Network:
+    """A network fitted by Adam to the windows of the texts; with `others` its last output,
+    which has no name, is that of windows in none of the languages."""
     random = np.random.default_rng(seed)
     languages = sorted(set(labels))
     parts = [windows(t.encode()) for t in texts]
     parts = [p[np.unique(np.linspace(0, len(p) - 1, SAMPLE_WINDOWS).astype(int))] for p in parts]
     x = np.concatenate(parts).astype(np.int64)
     y = np.repeat([languages.index(label) for label in labels], [len(p) for p in parts])
-    weight = (len(y) / (len(languages) * np.bincount(y, minlength=len(languages))))[y].astype(np.float32)
+    outputs = len(languages) + others
+    if others:
+        x, y = np.concatenate([x, foreign(x, random)]), np.concatenate([y, np.full(len(y), len(languages))])
+    weight = (len(y) / (outputs * np.bincount(y, minlength=outputs)))[y].astype(np.float32)
     features = FILTERS * len(WIDTHS)
     p = [random.normal(0, 0.5, (256, EMBEDDING))]
     p += [random.normal(0, (2 / (w * EMBEDDING)) ** 0.5, (w * EMBEDDING, FILTERS)) for w in WIDTHS]
     p += [np.zeros(FILTERS) for _ in WIDTHS]
-    p += [random.normal(0, (1 / features) ** 0.5, (features, len(languages))), np.zeros(len(languages))]
+    p += [random.normal(0, (1 / features) ** 0.5, (features, outputs)), np.zeros(outputs)]
     p = [a.astype(np.float32) for a in p]
     first, second, step, k = [np.zeros_like(a) for a in p], [np.zeros_like(a) for a in p], 0, len(WIDTHS)
     for _ in range(EPOCHS):
@@ -120,25 +162,23 @@ def train(texts: list[str], labels: list[str], seed: int = 5) -> Network:
     return Network(languages, p[0], p[1 : 1 + k], p[1 + k : 1 + 2 * k], p[-2], p[-1])
 
 
-def predict(network: Network | None, texts: list[str | None]) -> tuple[list[str], list[float]]:
-    """The language and its probability for each text; `und` and 0 without a letter or a network."""
-    langs, scores = ["und"] * len(texts), [0.0] * len(texts)
-    if network is None:
-        return langs, scores
+def window_sums(network: Network, texts: list[str | None], value: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sums over each text's windows of what `value` makes of their log-probabilities, in a
+    column for each language at most, and the number of windows; 0 for a text without a letter."""
     held: list[tuple[int, np.ndarray]] = []
-    sums = np.zeros((len(texts), len(network.languages)))
+    sums, sizes = np.zeros((len(texts), len(network.languages))), np.zeros(len(texts), np.int64)
 
     def flush() -> None:
         if held:
             owners = np.repeat([i for i, _ in held], [len(w) for _, w in held])
-            np.add.at(sums, owners, network.log_odds(np.concatenate([w for _, w in held])))
+            np.add.at(sums, owners, value(network.log_odds(np.concatenate([w for _, w in held]))))
             held.clear()
 
-    size, lettered = 0, np.zeros(len(texts), bool)
+    size = 0
     for i, text in enumerate(texts):
         if text and any(map(str.isalpha, text)):
-            lettered[i] = True
             own = windows(text.encode())
+            sizes[i] = len(own)
             for at in range(0, len(own), BATCH):
                 held.append((i, own[at : at + BATCH]))
                 size += len(held[-1][1])
@@ -146,15 +186,31 @@ def predict(network: Network | None, texts: list[str | None]) -> tuple[list[str]
                     flush()
                     size = 0
     flush()
+    return sums, sizes
+
+
+def predict(network: Network | None, texts: list[str | None]) -> tuple[list[str], list[float]]:
+    """The language and its probability for each text; `und` and 0 without a letter or a network."""
+    langs, scores = ["und"] * len(texts), [0.0] * len(texts)
+    if network is None:
+        return langs, scores
+    sums, sizes = window_sums(network, texts, lambda odds: odds[:, : len(network.languages)])
     likely = np.exp(log_softmax(sums))
-    for i in np.flatnonzero(lettered):
+    for i in np.flatnonzero(sizes):
         langs[i], scores[i] = network.languages[int(likely[i].argmax())], float(likely[i].max())
     return langs, scores
 
 
-def fit(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Network | None:
-    """A network learned from the rows of folds 1 to 4 that have a text and a language: at most
-    SAMPLE_ROWS of each language, those whose ids hash lowest. None where no row can teach."""
+def known_scores(network: Network, texts: list[str | None]) -> np.ndarray:
+    """The mean over a text's windows of the log-probability that they are in any of the
+    languages; minus infinity without a letter. The network has to have learned the others."""
+    sums, sizes = window_sums(network, texts, lambda odds: np.logaddexp.reduce(odds[:, :-1], axis=1)[:, None])
+    return np.where(sizes > 0, sums[:, 0] / np.maximum(sizes, 1), -np.inf)
+
+
+def training_sample(df: DataFrame, doc_id: str, text: str, lang: str) -> list:
+    """(text, lang) of rows of folds 1 to 4 that have a text and a language: at most
+    SAMPLE_ROWS of each language, those whose ids hash lowest."""
     rows = pick(df, doc_id=doc_id, text=text, lang=lang).where(
         (fold(F.col("doc_id")) != 0) & F.col("lang").isNotNull() & (F.length(F.trim("text")) > 0) & (F.octet_length("text") <= SAMPLE_BYTES)
     )
@@ -163,10 +219,38 @@ def fit(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "
     ranked = start.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text")))
     picked = ranked.where(F.col("n") <= SAMPLE_ROWS)
     sample = picked.select("text", "lang").collect()
-    if not sample:
-        return None
     sample.sort(key=lambda r: zlib.crc32(r["text"].encode()))
-    return train([r["text"] for r in sample], [r["lang"] for r in sample])
+    return sample
+
+
+def fit(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Network | None:
+    """A network learned from the training sample. None where no row can teach."""
+    sample = training_sample(df, doc_id, text, lang)
+    return train([r["text"] for r in sample], [r["lang"] for r in sample]) if sample else None
+
+
+def fit_filter(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Network | None:
+    """A network that also tells texts in none of the languages, with its threshold. None
+    where no row can teach.
+
+    A text goes that is less likely in a language than not, unless as many of the
+    calibrating rows of some language as SPARE allows score lower; then that is the threshold. A language
+    with fewer rows than CALIBRATING is calibrated on those it was learned from.
+    """
+    of: dict[str, list[str]] = {}
+    for row in training_sample(df, doc_id, text, lang):
+        of.setdefault(row["lang"], []).append(row["text"])
+    if not of:
+        return None
+    learned = [(t, name) for name, texts in of.items() for i, t in enumerate(texts) if (i + 1) % CALIBRATING]
+    network = train([t for t, _ in learned], [name for _, name in learned], others=True)
+    network.threshold = float(np.log(0.5))
+    for texts in of.values():
+        scores = known_scores(network, texts[CALIBRATING - 1 :: CALIBRATING] or texts)
+        scores = scores[np.isfinite(scores)]
+        if len(scores):
+            network.threshold = min(network.threshold, float(np.quantile(scores, SPARE, method="lower")))
+    return network
 
 
 def predict_languages(df: DataFrame, network: Network | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -189,16 +273,25 @@ def predict_languages(df: DataFrame, network: Network | None, doc_id: str = "doc
     return docs.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
+def keep_lettered(df: DataFrame, text: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose text has a letter."""
+    frame = numbered(df)
+    return frame.where(F.col(position(df, text)).cast("string").rlike(r"\p{L}")).toDF(*df.columns)
+
+
 def keep_languages(df: DataFrame, network: Network | None, text: str = "text") -> DataFrame:
     """The rows, with all their columns, whose text is in a learned language: those
-    without a letter go. Without a network all stay."""
+    that score under the network's threshold go, and those without a letter. Without a network all stay."""
     if network is None:
         return df
     sent = df.sparkSession.sparkContext.broadcast(network)
 
     @F.arrow_udf("boolean")
     def known(texts: pa.Array) -> pa.Array:
-        return pa.array([lang != "und" for lang in predict(sent.value, texts.to_pylist())[0]], pa.bool_())
+        rows, own = texts.to_pylist(), sent.value
+        if own.threshold is None:
+            return pa.array([lang != "und" for lang in predict(own, rows)[0]], pa.bool_())
+        return pa.array(known_scores(own, rows) >= own.threshold, pa.bool_())
 
     frame = numbered(df)
     return frame.where(known(F.col(position(df, text)).cast("string"))).toDF(*df.columns)
