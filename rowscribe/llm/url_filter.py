@@ -7,8 +7,9 @@ context first, smoothed by the next shorter one in proportion to how seldom
 the context was seen. The difference of log-likelihoods, divided by the
 length, is held against a threshold calibrated on a held-out fold.
 
-The models learn from every URL that a rule decides. Counts live in hashed
-slots, so a model has a fixed size however many contexts the corpus has.
+The models learn from every URL that a rule decides. Each context and character
+is counted by itself, in a table that grows with the corpus; URLs are scored by
+joins with it, so neither the driver nor a task holds a model.
 """
 
 from __future__ import annotations
@@ -17,15 +18,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowscribe.llm.common import mix, pick, task_sums, to_array
+from rowscribe.llm.common import checkpointed, pick
 
 #: Characters before the predicted one that the longest context has.
 ORDER = 4
-#: Slots of the counts of all (context, character), and as many of contexts.
-SLOTS = 1 << 18
+#: Kinds of characters: bytes, and what is before a URL's start. A context and its character
+#: are one number with so many values a digit, the character last.
+KINDS = 257
+#: Parts of a log-ratio: sums of whole numbers are the same in every order.
+PARTS = 1 << 32
+#: URLs whose characters are looked at together.
+BATCH = 1000
 #: Weight of the shorter context, in observations.
 WEIGHT = 2.0
 #: Scores are calibrated in this many steps over [-RANGE, RANGE].
@@ -68,76 +74,93 @@ def matching_rule(host: Column, path: Column, rules: list[Rule]) -> tuple[Column
     return name, allow
 
 
-def contexts(urls: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Slots of (context, character) and of the context, one row for each order
-    from 0 to ORDER, for all characters of all URLs; and where each URL starts."""
-    raw = [b"\0" * ORDER + u.encode() for u in urls]
-    sizes = np.array([len(r) - ORDER for r in raw])
-    text = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint64)
+def grams(urls: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Each character of the URLs with the ORDER before it, as a number; and the URLs' sizes."""
+    raw = [np.frombuffer(u.encode(), np.uint8).astype(np.int64) for u in urls]
+    start = np.full(ORDER, KINDS - 1, np.int64)
+    text = np.concatenate([part for r in raw for part in (start, r)])
+    sizes = np.array([len(r) for r in raw], np.int64)
     own = np.ones(len(text), bool)
-    begin = np.concatenate([[0], np.cumsum(sizes + ORDER)[:-1]]).astype(np.int64)
+    begin = np.concatenate([[0], np.cumsum(sizes + ORDER)[:-1]])
     own[(begin[:, None] + np.arange(ORDER)).ravel()] = False
     places = np.flatnonzero(own)
-    grams = np.empty((ORDER + 1, len(places)), np.int64)
-    befores = np.empty_like(grams)
-    seen = np.zeros(len(places), np.uint64)
-    for order in range(ORDER + 1):
-        if order:
-            seen = seen * np.uint64(257) + text[places - order] + np.uint64(1)
-        salted = mix(seen + np.uint64(order << 48))
-        befores[order] = salted % np.uint64(SLOTS)
-        grams[order] = mix(salted + text[places]) % np.uint64(SLOTS)
-    return grams, befores, np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-
+    out = np.zeros(len(places), np.int64)
+    for before in range(ORDER, -1, -1):
+        out = out * KINDS + text[places - before]
+    return out, sizes
 
-def count_urls(labelled: DataFrame) -> np.ndarray:
-    """Counts over all (url, allow) rows: [allow][0 for context and character, 1 for context]."""
 
-    def count(batches):
-        total = np.zeros(4 * SLOTS, np.int64)
-        for batch in batches:
-            allowed = np.array(batch.column(1).to_pylist(), bool)
-            grams, befores, bounds = contexts(batch.column(0).to_pylist())
-            of = np.repeat(allowed, np.diff(bounds)) * 2 * SLOTS
-            total += np.bincount((grams + of).ravel(), minlength=4 * SLOTS)
-            total += np.bincount((befores + of + SLOTS).ravel(), minlength=4 * SLOTS)
-        slots = np.flatnonzero(total)
-        yield slots, total[slots]
-
-    return to_array(task_sums(labelled.select("url", "allow"), count), 4 * SLOTS).reshape(2, 2, SLOTS)
-
-
-def score_urls(urls: list[str], counts: np.ndarray) -> np.ndarray:
-    """Log-likelihood of accepted less that of rejected per character; 0 for an empty URL."""
-    if not urls:
-        return np.zeros(0)
-    grams, befores, bounds = contexts(urls)
-    ratio = np.zeros(grams.shape[1])
-    for side, sign in ((1, 1.0), (0, -1.0)):
-        likely = np.full(grams.shape[1], 1 / 256)
-        for order in range(ORDER + 1):
-            likely = (counts[side, 0][grams[order]] + WEIGHT * likely) / (counts[side, 1][befores[order]] + WEIGHT)
-        # Slots are shared, so a count may exceed its context's.
-        ratio += sign * np.log(np.minimum(likely, 1.0))
-    sums = np.concatenate([[0.0], np.cumsum(ratio)])
-    sizes = np.diff(bounds)
-    return (sums[bounds[1:]] - sums[bounds[:-1]]) / np.maximum(sizes, 1)
-
-
-def calibrate(held: DataFrame, counts) -> float:
-    """The score that best tells the held-out classes apart, by the mean of their
-    shares on the right side; the middle of equals, 0 without both classes."""
+def count_grams(frame: DataFrame) -> DataFrame:
+    """(gram, accepted, rejected): how often each gram of any URL is in the (read, learn) rows
+    whose `learn` is true, and in those where it is false; 0 for one that is in others only."""
 
     def count(batches):
-        total = np.zeros(2 * STEPS, np.int64)
-        for batch in batches:
-            scores = score_urls(batch.column(0).to_pylist(), counts.value)
-            at = np.clip((scores + RANGE) / (2 * RANGE) * STEPS, 0, STEPS - 1).astype(np.int64)
-            total += np.bincount(at + STEPS * np.array(batch.column(1).to_pylist(), bool), minlength=2 * STEPS)
-        slots = np.flatnonzero(total)
-        yield slots, total[slots]
-
-    rejected, accepted = to_array(task_sums(held.select("url", "allow"), count), 2 * STEPS).reshape(2, STEPS)
+        for whole in batches:
+            for at in range(0, whole.num_rows, BATCH):
+                batch = whole.slice(at, BATCH)
+                found, sizes = grams(batch.column(0).to_pylist())
+                learn = batch.column(1).to_pylist()
+                kinds, of = np.unique(found, return_inverse=True)
+                numbers = []
+                for side in (True, False):
+                    weight = np.repeat([x is side for x in learn], sizes)
+                    numbers.append(pa.array(np.bincount(of[weight], minlength=len(kinds)), pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int64()), *numbers], ["gram", "accepted", "rejected"])
+
+    counted = frame.select("read", "learn").mapInArrow(count, "gram long, accepted long, rejected long")
+    return summed(counted, F.col("gram"))
+
+
+def summed(counts: DataFrame, gram: Column) -> DataFrame:
+    return counts.groupBy(gram.alias("gram")).agg(F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected"))
+
+
+def gram_ratios(counts: DataFrame, accepted: int, rejected: int) -> DataFrame:
+    """(gram, ratio): the log-likelihood of each gram's character among the accepted less that
+    among the rejected, in PARTS. `accepted` and `rejected` are the sums of the counts."""
+    levels = [counts]
+    for order in range(ORDER - 1, -1, -1):  # every place has one gram of each order
+        levels.insert(0, summed(levels[0], F.col("gram") % KINDS ** (order + 1)))
+    totals = {"accepted": F.lit(accepted), "rejected": F.lit(rejected)}
+    shorter = {side: F.lit(1 / 256) for side in totals}
+    likely = None
+    for order, level in enumerate(levels):
+        if order:
+            # At most KINDS rows have the same context, or the same end.
+            context = Window.partitionBy(F.expr(f"gram div {KINDS}"))
+            level = level.withColumns({f"all_{side}": F.sum(side).over(context) for side in totals}).withColumn("end", F.col("gram") % KINDS**order)
+            level = level.join(likely.withColumnRenamed("gram", "end"), "end")
+            totals = {side: F.col(f"all_{side}") for side in totals}
+            shorter = {side: F.col(f"likely_{side}") for side in totals}
+        likely = level.select("gram", *(((F.col(side) + WEIGHT * shorter[side]) / (totals[side] + WEIGHT)).alias(f"likely_{side}") for side in totals))
+    ratio = F.log("likely_accepted") - F.log("likely_rejected")
+    return likely.select("gram", F.round(ratio * PARTS).cast("long").alias("ratio"))
+
+
+def sum_ratios(frame: DataFrame, ratios: DataFrame) -> DataFrame:
+    """(row, total): the sum of the ratios of all characters of each (row, read) that has any."""
+
+    def places(batches):
+        for whole in batches:
+            for at in range(0, whole.num_rows, BATCH):
+                batch = whole.slice(at, BATCH)
+                found, sizes = grams(batch.column(1).to_pylist())
+                rows = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), sizes)
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(found, pa.int64())], ["row", "gram"])
+
+    found = frame.select("row", "read").mapInArrow(places, "row long, gram long")
+    return found.join(ratios, "gram").groupBy("row").agg(F.sum("ratio").alias("total"))
+
+
+def calibrate(held: DataFrame) -> float:
+    """The score that best tells the held-out classes of (score, allow) apart, by the mean of
+    their shares on the right side; the middle of equals, 0 without both classes."""
+    at = F.floor((F.col("score") + RANGE) / (2 * RANGE) * STEPS)
+    step = F.least(F.greatest(at, F.lit(0)), F.lit(STEPS - 1)).cast("int").alias("step")
+    numbers = np.zeros((2, STEPS), np.int64)
+    for row in held.groupBy("allow", step).count().collect():
+        numbers[int(row["allow"]), row["step"]] = row["count"]
+    rejected, accepted = numbers
     if not rejected.sum() or not accepted.sum():
         return 0.0
     below = np.concatenate([[0], np.cumsum(rejected)]) / rejected.sum()
@@ -155,30 +178,25 @@ def filter_urls(df: DataFrame, rules: list[Rule], page_id: str = "page_id", url:
     to learn from every score is 0, and what no rule blocks is allowed. Each row is judged by itself, so
     repeated and null ids stay as they are; other columns are left out.
     """
-    spark = df.sparkSession
     frame = pick(df, page_id=page_id, url=url).withColumn("url", F.col("url").cast("string"))
     host, path = host_and_path(F.col("url"))
     frame = frame.withColumn("host", host).withColumn("path", path)
     name, allow = matching_rule(F.col("host"), F.col("path"), rules)
     read = F.when(F.instr("url", "://") > 0, F.translate(F.substring(F.col("url"), F.instr("url", "://") + 3, F.length("url")), _UPPER, _LOWER))
     frame = frame.withColumns({"rule": name, "allow": allow}).withColumn("read", F.coalesce(read, F.lit("")))
-    ruled = frame.where(F.col("allow").isNotNull()).select(F.col("read").alias("url"), "allow")
     held_out = F.crc32(F.col("url").cast("binary")) % 5 == 0
-    counts = count_urls(ruled.where(~held_out))
-    if not counts[0].any() or not counts[1].any():
-        counts = np.zeros_like(counts)
-    sent = spark.sparkContext.broadcast(counts)
-    threshold = calibrate(ruled.where(held_out), sent)
-
-    def run(batches):
-        for batch in batches:
-            scores = score_urls(batch.column("read").to_pylist(), sent.value)
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("page_id", "host", "path", "rule", "allow")), pa.array(scores)], names)
-
-    names = ["page_id", "host", "path", "rule", "allow", "score"]
-    kinds = dict(frame.dtypes)
-    scored = frame.select("page_id", "host", "path", "rule", "allow", "read").mapInArrow(
-        run, ", ".join(f"{n} {kinds.get(n, 'double')}" for n in names)
-    )
+    frame = frame.withColumn("held_out", held_out).withColumn("learn", F.when(~F.col("held_out"), F.col("allow")))
+    # Numbered in a checkpoint, so that scores find their rows whatever is computed again.
+    frame = checkpointed(frame.drop("url").withColumn("row", F.monotonically_increasing_id()))
+    filled = frame.where(F.col("read") != "")
+    counts = checkpointed(count_grams(filled))
+    accepted, rejected = counts.agg(F.sum("accepted"), F.sum("rejected")).first()
+    if accepted and rejected:
+        totals = checkpointed(sum_ratios(filled, gram_ratios(counts, accepted, rejected)))
+        mean = F.coalesce("total", F.lit(0)) / F.lit(float(PARTS)) / F.greatest(F.octet_length("read"), F.lit(1))
+        scored = frame.join(totals, "row", "left").withColumn("score", mean)
+        threshold = calibrate(scored.where(F.col("held_out") & F.col("allow").isNotNull()))
+    else:
+        scored, threshold = frame.withColumn("score", F.lit(0.0)), 0.0
     verdict = F.when(F.coalesce("allow", F.col("score") >= threshold), "allow").otherwise("block")
     return scored.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "score")
