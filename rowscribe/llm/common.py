@@ -41,6 +41,11 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return frame.select(*(F.col(position(df, name)).alias(new) for new, name in columns.items()))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once for each row, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows, written to the shared checkpoint folder, so that what follows
     neither computes them again nor depends on the executors that made them."""

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowscribe.llm.common import numbered, position
+from rowscribe.llm.common import let, numbered, pick, position
 
 #: White space that separates words, and the characters that count as symbols.
 SPACES = " \t\n\x0b\x0c\r"
@@ -52,6 +52,9 @@ RULES = (
     Rule("stop_words", "n_stop_words", "n_words", least=3, words=50),
     Rule("lines", "n_dup_lines", "n_lines", most=50),
 )
+#: What the base counts, and what the other rules compare besides.
+BASE_MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+FURTHER_MEASURES = ("n_lines", "n_capitals", "n_exclamations", "n_stop_words")
 
 
 def _count(text: Column, characters: str) -> Column:
@@ -61,41 +64,36 @@ def _count(text: Column, characters: str) -> Column:
 def _repeat_words(words: Column, size: int = 5) -> Column:
     """Words that lie in windows found twice or more in the list.
 
-    Windows are sorted with their places, so equal ones are neighbours; the
-    places of those with an equal neighbour are sorted again, and each adds the
-    words up to the next place, `size` at most. A list with no repeated window
-    is settled by the number of distinct ones.
+    Windows are told apart by a hash. A list without a repeated hash is settled. Else
+    hashes are sorted with their places, so equal ones are neighbours; those with an equal
+    neighbour are sorted again by their words, and the places of those with an equal
+    neighbour then are sorted, of which each adds the words up to the next, `size` at most.
     """
-    windows = F.transform(
-        F.sequence(F.lit(1), F.size(words) - (size - 1)), lambda i: F.concat_ws(" ", F.slice(words, i, size))
-    )
-
-    def covered(windows: Column) -> Column:
-        placed = F.sort_array(F.transform(windows, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
-
-        def found(placed: Column) -> Column:
-            same = lambda i, j: F.get(placed, i)["w"] == F.get(placed, j)["w"]
-            twice = F.filter(
-                F.transform(placed, lambda x, k: F.when(F.coalesce(same(k, k - 1), F.lit(False)) | F.coalesce(same(k, k + 1), F.lit(False)), x["i"])),
-                lambda i: i.isNotNull(),
-            )
-            return _let(F.sort_array(twice), spread)
+    # Words are taken one by one, as `slice` copies the whole list for each window.
+    window = lambda i: [F.get(words, i + j) for j in range(size)]
+    hashes = F.transform(F.sequence(F.lit(0), F.size(words) - size), lambda i: F.xxhash64(*window(i)))
 
-        def spread(places: Column) -> Column:
-            return F.aggregate(
-                F.transform(places, lambda p, k: F.least(F.lit(size), F.coalesce(F.get(places, k + 1) - p, F.lit(size)))),
-                F.lit(0),
-                lambda total, n: total + n,
-            )
-
-        return F.when(F.size(F.array_distinct(windows)) == F.size(windows), F.lit(0)).otherwise(_let(placed, found))
+    def with_neighbour(sorted_: Column, key: str, value) -> Column:
+        """value of the items of a sorted list that have a neighbour with an equal key."""
+        same = lambda x, k: F.coalesce(x[key] == F.get(sorted_, k)[key], F.lit(False))
+        marked = F.transform(sorted_, lambda x, k: F.when(same(x, k - 1) | same(x, k + 1), value(x)))
+        return F.filter(marked, lambda x: x.isNotNull())
 
-    return F.when(F.size(words) > size, _let(windows, covered)).otherwise(F.lit(0))
+    def spread(places: Column) -> Column:
+        return F.aggregate(
+            F.transform(places, lambda p, k: F.least(F.lit(size), F.coalesce(F.get(places, k + 1) - p, F.lit(size)))),
+            F.lit(0),
+            lambda total, n: total + n,
+        )
 
+    def covered(hashes: Column) -> Column:
+        placed = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        worded = lambda x: F.struct(F.array(*window(x["i"])).alias("w"), x["i"].alias("i"))
+        places = lambda found: let(F.sort_array(with_neighbour(found, "w", lambda x: x["i"])), spread)
+        some = lambda placed: let(F.sort_array(with_neighbour(placed, "h", worded)), places)
+        return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0)).otherwise(let(placed, some))
 
-def _let(value: Column, use) -> Column:
-    """use(value), with the value computed once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+    return F.when(F.size(words) > size, let(hashes, covered)).otherwise(F.lit(0))
 
 
 def measures(text: Column) -> Column:
@@ -117,9 +115,9 @@ def measures(text: Column) -> Column:
             )
 
         lines = F.filter(F.split(text, "\n", -1), lambda line: F.length(F.translate(line, SPACES, "")) > 0)
-        return _let(lines, of_lines)
+        return let(lines, of_lines)
 
-    return _let(F.filter(F.split(text, "[\\x20\\x09-\\x0D]+", -1), lambda w: w != ""), of_words)
+    return let(F.filter(F.split(text, "[\\x20\\x09-\\x0D]+", -1), lambda w: w != ""), of_words)
 
 
 def _failed(rule: Rule, of) -> Column:
@@ -132,33 +130,40 @@ def _failed(rule: Rule, of) -> Column:
     return failed & (of("n_words") >= rule.words)
 
 
-def apply_rules(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, base: tuple[Rule, ...] = BASE) -> tuple[DataFrame, Column, list]:
-    """The columns as `numbered` names them and a struct `measured`, with columns for
-    base_failed, kept and each rule."""
-    frame = numbered(df).withColumn("measured", measures(F.col(position(df, text))))
-    of = lambda name: F.col("measured")[name]
+def verdicts(measured: Column, rules: tuple[Rule, ...] = RULES, base: tuple[Rule, ...] = BASE) -> tuple[Column, Column]:
+    """base_failed and kept of a struct of measures."""
+    of = lambda name: measured[name]
     base_failed = F.lit(False)
     for rule in base:
         base_failed = base_failed | _failed(rule, of)
     rejected = F.lit(False)
     for rule in rules:
         rejected = rejected | _failed(rule, of)
-    return frame, base_failed, ~base_failed & ~rejected
+    return base_failed, ~base_failed & ~rejected
 
 
 def quality_rules(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, measures, base_failed, kept) of every whole text.
+    """(doc_id, base measures, base_failed, kept, further measures) of every whole text.
 
     A null or empty text has no words and fails. Rows are not compared, so
     repeated and null ids stay as they are; other columns are left out.
     """
-    frame, base_failed, kept = apply_rules(df, text)
-    return frame.select(
-        F.col(position(df, doc_id)).alias("doc_id"), "measured.*", base_failed.alias("base_failed"), kept.alias("kept")
+
+    def judged(measured: Column) -> Column:
+        base_failed, kept = verdicts(measured)
+        return F.struct(measured.alias("measured"), base_failed.alias("base_failed"), kept.alias("kept"))
+
+    docs = pick(df, doc_id=doc_id, text=text)
+    rows = docs.select("doc_id", let(measures(F.col("text")), judged).alias("result"))
+    value = lambda name: F.col("result")["measured"][name].alias(name)
+    return rows.select(
+        "doc_id", *map(value, BASE_MEASURES), "result.base_failed", "result.kept", *map(value, FURTHER_MEASURES)
     )
 
 
 def keep_good(df: DataFrame, text: str = "text") -> DataFrame:
     """The rows, with all their columns, that the rules keep."""
-    frame, _, kept = apply_rules(df, text)
-    return frame.where(kept).drop("measured").toDF(*df.columns)
+    # One expression with one measuring inside it: a filter over a struct column would be
+    # pushed down with a copy of the measuring for every field it uses.
+    kept = let(measures(F.col(position(df, text))), lambda measured: verdicts(measured)[1])
+    return numbered(df).where(kept).toDF(*df.columns)
