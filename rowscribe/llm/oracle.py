@@ -118,9 +118,82 @@ select doc_id, len(s)::bigint as n_shingles, least(doc_id, coalesce(b, doc_id))
 from sets left join least_of using (doc_id)
 """
 
+# The crc32 goes bit by bit over the digits of the id. A run is an island of places whose
+# five words equal those a lag further on; of equal stretches the smallest lag is the period.
+_OP11 = r"""
+with split as (
+    select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as own, len(own) as n,
+           xor(list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(string_split(doc_id::varchar, ''), lambda c: [ascii(c)::bigint, 0, 0, 0, 0, 0, 0, 0]))),
+               lambda crc, x: xor(xor(crc, x) >> 1, 3988292384 * (xor(crc, x) & 1))), 4294967295) as h
+    from documents
+), planned as (
+    select *, (h // 10) % greatest(n, 1) as a, 1 + (n - a) // (3 + (h // 10) % 8) as p from split
+), texts as (
+    select r, doc_id, n, case when h % 10 = 0 and n > 0
+        then list_transform(range(0, n), lambda i: own[1 + case when i < a then i else a + (i - a) % p end]) else own end as words
+    from planned
+), grams as (
+    select r, i, array_to_string(words[i + 1:i + 5], ' ') as gram from (select r, words, unnest(range(0, n - 4)) as i from texts where n >= 6)
+), pairs as (
+    select x.r, x.i, y.i - x.i as lag from grams x join grams y on x.r = y.r and x.gram = y.gram and x.i < y.i
+), islands as (
+    select r, lag, min(i) as start, max(i) - min(i) + 5 + lag as length
+    from (select *, i - row_number() over (partition by r, lag order by i) as island from pairs) group by r, lag, island
+), runs as (
+    select r, start, length, min(lag) as period from islands where length >= greatest(6, 4 * lag) group by r, start, length
+), dropped as (
+    select distinct r, unnest(range(start + period, start + length)) as i from runs
+), kept as (
+    select r, string_agg(word, ' ' order by i) as text
+    from (select r, unnest(words) as word, unnest(range(0, n)) as i from texts) anti join dropped using (r, i) group by r
+), listed as (
+    select r, count(*) as n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as lines from runs group by r
+), best as (
+    select * from runs x
+    where not exists (from runs y where y.r = x.r and (y.length * x.period > x.length * y.period
+        or (y.length * x.period = x.length * y.period and (y.start, y.period) < (x.start, x.period))))
+)
+select doc_id, coalesce(n_runs, 0)::bigint as n_runs, start::bigint as start, length::bigint as length, period::bigint as period,
+       (1000 * length // period)::bigint as exponent_milli, sha256(coalesce(lines, '')) as runs_sha256, sha256(coalesce(text, '')) as collapsed_sha256
+from texts left join listed using (r) left join best using (r) left join kept using (r)
+"""
+
+_OP13 = r"""
+with docs as (
+    select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source, coalesce(text, '') as text from documents
+), words as (
+    select r, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from docs
+), kept as (
+    select lang, term, count(*) as n from words group by all having count(distinct r) >= 30
+), langs as (
+    select lang, count(term) as v, coalesce(sum(n), 0) as total from (select distinct lang from docs) left join kept using (lang) group by lang
+), own as (
+    select lang, source, term, count(*) as n from words semi join kept using (lang, term) group by all
+), sources as (
+    select lang, source, coalesce(sum(n), 0) as total from (select distinct lang, source from docs) left join own using (lang, source) group by all
+), prices as (
+    select s.lang, s.source, k.term, coalesce(o.n, 0) as n,
+           1 + (1000000000::hugeint * (coalesce(o.n, 0) + 5)) // (s.total + 5 * l.v)::hugeint as p, 1 + (1000000000::hugeint * (k.n + 5)) // (l.total + 5 * l.v)::hugeint as q
+    from sources s join langs l using (lang) join kept k using (lang) left join own o on o.lang = s.lang and o.source = s.source and o.term = k.term
+), pairs as (
+    select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value
+    from prices a join prices b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+), listed as (
+    select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0) as value
+    from sources a join sources b on a.lang = b.lang and a.source <> b.source left join pairs p on p.lang = a.lang and p.source = a.source and p.item = b.source
+    union all select lang, source, 'term', term, p - q from prices where n > 0 and p > q
+), ranked as (
+    select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from listed
+)
+select lang, source, part, item, value::bigint as value, rank::int as rank from ranked where part = 'pair' or rank <= 50
+"""
+
 ORACLE: dict[str, str] = {
     "op1_suffix_dedup": _OP1,
     "op7_top_k": _OP7,
     "op8_quality_rules": _OP8,
     "op9_near_dedup": _OP9,
+    "op11_periodic_runs": _OP11,
+    "op13_source_audit": _OP13,
 }

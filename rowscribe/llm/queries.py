@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowscribe.llm import bpe, language, near_dedup, packing, quality_model, quality_rules, suffix_dedup, token_counts, top_k, url_filter
+from rowscribe.llm import (
+    bpe,
+    language,
+    near_dedup,
+    packing,
+    periodic_runs,
+    pii,
+    quality_model,
+    quality_rules,
+    source_audit,
+    suffix_dedup,
+    token_counts,
+    top_k,
+    url_filter,
+)
 from rowscribe.llm.common import table
 
 #: The rules that the URL query applies.
@@ -68,6 +82,38 @@ def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score_quality(documents, quality_model.fit(documents, table(spark, sf_dir, "labels")))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    texts = documents.select("doc_id", periodic_runs.with_planted_runs(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic_runs.periodic_runs(texts).withColumn("best", periodic_runs.strongest(F.col("runs")))
+    line = lambda run: F.concat(F.concat_ws(",", *(run[name].cast("string") for name in ("start", "length", "period"))), F.lit("\n"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("kept", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    spans = F.col("spans")
+    return found.select(
+        "doc_id",
+        *(pii.count_of(spans, kind).alias(f"n_{kind}") for kind in pii.BASE_KINDS),
+        F.sha2(pii.listed(spans, base_only=True), 256).alias("base_sha256"),
+        pii.listed(spans).alias("spans"),
+    )
+
+
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -81,5 +127,8 @@ QUERIES = {
         op8_quality_rules,
         op9_near_dedup,
         op10_quality_model,
+        op11_periodic_runs,
+        op12_pii,
+        op13_source_audit,
     )
 }
