@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import pyarrow as pa
@@ -94,29 +95,44 @@ class Codec:
         self.names = {i: str(i) for i in self.raw}
         self.find = regex.compile(PATTERN).findall
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")").split
+        self.pieces = Recent(self._piece)
         self.segments = Recent(self._segment)
+        self.digested = Recent(self._digested)
+
+    def _piece(self, piece: str) -> tuple[int, ...]:
+        return tuple(merge([self.byte_ids[b] for b in piece.encode()], self.pairs))
 
     def _segment(self, segment: str) -> tuple[int, ...]:
-        out: list[int] = []
-        for piece in self.find(segment):
-            out += merge([self.byte_ids[b] for b in piece.encode()], self.pairs)
-        return tuple(out)
+        return tuple(i for piece in self.find(segment) for i in self.pieces[piece])
 
-    def encode(self, text: str) -> list[int]:
+    def _digested(self, segment: str) -> tuple[int, bytes, bytes]:
+        """The number of a segment's ids, the ids joined by commas, and the bytes they decode to."""
+        return self._described(self._segment(segment))
+
+    def _described(self, ids: tuple[int, ...]) -> tuple[int, bytes, bytes]:
+        return len(ids), ",".join(map(self.names.__getitem__, ids)).encode(), b"".join(map(self.raw.__getitem__, ids))
+
+    def parts(self, text: str, of_segment: Recent, of_special: Callable[[int], tuple]) -> Iterator[tuple]:
+        """What of_segment has for each segment of a text, and of_special for each special token."""
         # White space starts a piece of the pattern and never continues one, so
         # segments that start with a whole run of it are encoded independently.
-        out: list[int] = []
-        parts = self.split(text) if self.special and any(s in text for s in self.special) else [text]
-        for part in parts:
+        for part in self.split(text) if self.special and any(s in text for s in self.special) else (text,):
             if part in self.special:
-                out.append(self.special[part])
+                yield of_special(self.special[part])
             else:
-                for ids in map(self.segments.__getitem__, SEGMENT.findall(part)):
-                    out += ids
-        return out
+                yield from map(of_segment.__getitem__, SEGMENT.findall(part))
+
+    def encode(self, text: str) -> list[int]:
+        return [i for ids in self.parts(text, self.segments, lambda i: (i,)) for i in ids]
+
+    def digests(self, text: str) -> tuple[int, str, str]:
+        """The number of ids of a text, and the digests of the ids joined by commas and of what they decode to."""
+        numbers, names, raws = zip(*self.parts(text, self.digested, lambda i: self._described((i,)))) if text else ((), (), ())
+        decoded = b"".join(raws).decode("utf-8", "replace").encode()
+        return sum(numbers), hashlib.sha256(b",".join(names)).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
     def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
+        return b"".join([self.raw.get(i, b"") for i in ids]).decode("utf-8", "replace")
 
 
 @cache
@@ -145,7 +161,8 @@ def encode(df: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "
 
 def decode(df: DataFrame, vocabulary: str, doc_id: str = "doc_id", ids: str = "ids") -> DataFrame:
     """(doc_id, text) of every list of ids; null ids count as an empty list. Bytes
-    that aren't UTF-8 become the replacement character."""
+    that aren't UTF-8 become the replacement character, and ids that the vocabulary
+    has not, null ones too, decode to nothing."""
 
     def run(batches):
         code = codec(vocabulary)
@@ -164,14 +181,9 @@ def round_trip(df: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str
     def run(batches):
         code = codec(vocabulary)
         for keys, texts in rows_of(batches):
-            counts, digests, decoded = [], [], []
-            for one in texts:
-                ids = code.encode(one or "")
-                counts.append(len(ids))
-                digests.append(hashlib.sha256(",".join(map(code.names.__getitem__, ids)).encode()).hexdigest())
-                decoded.append(hashlib.sha256(code.decode(ids).encode()).hexdigest())
+            counts, digests, decoded = zip(*(code.digests(one or "") for one in texts)) if texts else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(counts, pa.int64()), pa.array(digests), pa.array(decoded)],
+                [pa.array(keys, pa.int64()), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
