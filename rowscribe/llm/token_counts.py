@@ -19,12 +19,16 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 import tiktoken
 from pyspark.sql import DataFrame
 
 from rowscribe.llm.common import pick, rows_of
 
 RULES = ("first", "last", "majority", "split")
+#: From so many white characters on end, the encoder's own splitter may run out of stack.
+LONG_BLANK = 100_000
+_BLANK = regex.compile(r"\s{%d}" % LONG_BLANK)
 
 
 @cache
@@ -38,11 +42,20 @@ def encoder(vocabulary: str, pattern: str) -> tuple[tiktoken.Encoding, np.ndarra
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), sizes
 
 
+def token_ids(text: str, vocabulary: str, pattern: str) -> np.ndarray:
+    """The ids of a text. One with very long white space is split here and encoded piece by piece."""
+    code, _ = encoder(vocabulary, pattern)
+    if len(text) >= LONG_BLANK and _BLANK.search(text):
+        pieces = regex.findall(pattern, text)
+        return np.array([i for piece in pieces for i in code._encode_single_piece(piece)], np.int64)
+    return code.encode_to_numpy(text, allowed_special=set(), disallowed_special=()).astype(np.int64)
+
+
 def spans(text: str, vocabulary: str, pattern: str) -> tuple[np.ndarray, np.ndarray]:
     """First and one past the last character of every token of a text."""
-    code, sizes = encoder(vocabulary, pattern)
+    _, sizes = encoder(vocabulary, pattern)
     raw = np.frombuffer(text.encode(), np.uint8)
-    ends = np.cumsum(sizes[code.encode_to_numpy(text, allowed_special=set(), disallowed_special=()).astype(np.int64)])
+    ends = np.cumsum(sizes[token_ids(text, vocabulary, pattern)])
     starts = np.concatenate([[0], ends[:-1]])[: len(ends)].astype(np.int64)
     if len(raw) == len(text):
         return starts, ends
