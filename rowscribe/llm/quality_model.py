@@ -1,10 +1,12 @@
 """A quality classifier: Naive Bayes weights under a support vector machine.
 
 A text's features say which n-grams of words and of bytes it has. Each is
-scaled by the log of its share in good over its share in bad texts, counted
-over all labelled rows of the training folds. A linear model with hinge loss
-is fitted to the scaled features of a bounded sample by dual coordinate
+scaled by the log of its share in good over its share in bad texts. A linear
+model with hinge loss is fitted to the scaled features by dual coordinate
 descent, and its margin is turned into a probability by a logistic curve.
+
+The fit is on labelled rows of the training folds of a bounded number: their
+ids are chosen first, so texts are neither shuffled nor gathered to choose them.
 """
 
 from __future__ import annotations
@@ -17,15 +19,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowscribe.llm.common import Recent, fold, mix, pick, rows_of, task_sums, to_array
+from rowscribe.llm.common import Recent, fold, lowest_hashes, mix, pick, rows_of, task_sums, to_array
 
 #: Hashed features.
 FEATURES = 1 << 18
 #: n-grams of words and of bytes.
 WORDS, BYTES = (1, 2), (2, 3)
-#: The bound of the sample that the margin is fitted to: rows and bytes of a text. Longer
-#: texts count for the log-count ratios only.
-SAMPLE_ROWS, SAMPLE_BYTES = 4000, 16_384
+#: The bound of the fit: labelled ids, those that hash lowest, whose texts give the log-count
+#: ratios; of these the ids that the margin is fitted to, and the bytes of such a text. Longer
+#: texts count for the ratios only.
+LABELLED_IDS, SAMPLE_IDS, SAMPLE_BYTES = 20_000, 4000, 16_384
 EPOCHS, COST, SMOOTHING = 15, 0.1, 1.0
 #: A score from here on is predicted good.
 THRESHOLD = 0.3
@@ -116,15 +119,22 @@ def logistic(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", quality: str = "quality") -> Model | None:
     """A model learned from labelled rows of folds 1 to 4; None unless both labels occur.
 
-    A row with a null id or label teaches nothing. The log-count ratios are
-    of all rows; the margin is of the SAMPLE_ROWS rows whose ids hash lowest among
-    texts of up to SAMPLE_BYTES bytes, a fifth of which fits the curve.
+    A row with a null id or label teaches nothing. The log-count ratios are of all rows
+    with the LABELLED_IDS labelled ids that hash lowest; the margin is of the first
+    SAMPLE_IDS of these, one text for each, if of up to SAMPLE_BYTES bytes; a fifth
+    of them fits the curve.
     """
     # Repeated labels of a document count once, by their least.
     known = pick(labels, doc_id=doc_id, quality=quality).where("quality in (0, 1) and doc_id is not null")
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").cast("int").alias("good"))
-    rows = pick(docs, doc_id=doc_id, text=text).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.where(fold(F.col("doc_id")) != 0).join(known, "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "good")
+    learned = lowest_hashes(known.where(fold(F.col("doc_id")) != 0), "doc_id", LABELLED_IDS).collect()
+    if not learned:
+        return None
+    rows = pick(docs, doc_id=doc_id, text=text).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+
+    def labelled(ids: list) -> DataFrame:
+        # At most LABELLED_IDS pairs of numbers.
+        return rows.join(F.broadcast(docs.sparkSession.createDataFrame(ids, "doc_id long, good int")), "doc_id")
 
     def count(batches):
         total = np.zeros(2 * FEATURES, np.int64)
@@ -134,9 +144,11 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         slots = np.flatnonzero(total)
         yield slots, total[slots]
 
-    counts = to_array(task_sums(rows.select("text", "good"), count), 2 * FEATURES).reshape(2, FEATURES)
-    short = rows.where(F.octet_length("text") <= SAMPLE_BYTES).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(SAMPLE_ROWS)
-    sample = short.select("text", "good").collect()
+    counts = to_array(task_sums(labelled(learned).select("text", "good"), count), 2 * FEATURES).reshape(2, FEATURES)
+    short = labelled(learned[:SAMPLE_IDS]).where(F.octet_length("text") <= SAMPLE_BYTES)
+    # A repeated document teaches once, by its least text.
+    sample = short.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("good").alias("good")).collect()
+    sample.sort(key=lambda r: xxhash.xxh3_64_intdigest(str(r["doc_id"])))
     labels_ = np.array([r["good"] == 1 for r in sample], bool)
     if not labels_.any() or labels_.all():
         return None

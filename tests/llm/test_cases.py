@@ -1,5 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables, clashing names."""
 
+import zlib
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -171,3 +173,84 @@ def test_near_duplicates_by_brute_force(spark):
                 root = {k: low if v == high else v for k, v in root.items()}
     got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(frame, 2).collect()}
     assert got == root
+
+
+def test_encode_and_decode(spark, docs):
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect() if r["doc_id"]}
+    encoded = bpe.encode(docs, BYTES)
+    back = {r["doc_id"]: r["text"] for r in bpe.decode(encoded, BYTES).collect() if r["doc_id"]}
+    assert back == texts
+    odd = spark.createDataFrame([(1, [10**6, 72, None, -5]), (2, None), (3, [])], "doc_id long, ids array<int>")
+    assert [r["text"] for r in bpe.decode(odd, BYTES).collect()] == [bpe.codec(BYTES).decode([72]), "", ""]
+
+
+@pytest.mark.parametrize("blank", [" ", "\n", " "])
+def test_token_counts_of_long_white_space(blank):
+    n = 1_200_000
+    text = "one two" + blank * n + "three"
+    starts, ends = token_counts.spans(text, RANKS, public_tokenizers.PATTERN)
+    assert starts[0] == 0 and ends[-1] == len(text) and ends.max() == len(text)
+    short = "one two" + blank * 1000 + "three"
+    usual = token_counts.token_ids(short, RANKS, public_tokenizers.PATTERN)
+    code = token_counts.encoder(RANKS, public_tokenizers.PATTERN)[0]
+    pieces = regex.findall(public_tokenizers.PATTERN, short)
+    assert usual.tolist() == [i for p in pieces for i in code._encode_single_piece(p)]
+    counts, _ = token_counts.attribute(starts, ends, np.array([0, 7, 7 + n, len(text)]), "majority")
+    assert counts.sum() == len(starts)
+
+
+@pytest.mark.parametrize("rule", token_counts.RULES)
+def test_token_counts_by_brute_force(rule):
+    text = "ab  cd\n\n\n  é日 x\r\n  \n, end\n" * 3
+    starts, ends = token_counts.spans(text, RANKS, public_tokenizers.PATTERN)
+    bounds = token_counts.lines(text)
+    line_of = [sum(b <= i for b in bounds[1:]) for i in range(len(text))]
+    want, across = np.zeros(len(bounds) - 1), np.zeros(len(bounds) - 1)
+    for a, b in zip(starts.tolist(), ends.tolist()):
+        own = [line_of[i] for i in range(a, b)]
+        shares = {line: own.count(line) / len(own) for line in sorted(set(own))}
+        if len(shares) > 1:
+            for line in shares:
+                across[line] += 1
+        if rule == "split":
+            for line, share in shares.items():
+                want[line] += share
+        else:
+            want[{"first": own[0], "last": own[-1], "majority": max(shares, key=lambda line: (shares[line], -line))}[rule]] += 1
+    counts, crossing = token_counts.attribute(starts, ends, bounds, rule)
+    assert np.allclose(counts, want) and crossing.tolist() == across.tolist() and across.any()
+
+
+def test_quality_model_with_both_labels(spark, docs):
+    good = "a well made sentence with many different words about rivers and mountains"
+    bad = "### $$$ %%% buy buy buy &&& cheap *** now now now"
+    rows = [(100 + i, f"{good} {i}" if i % 2 else f"{bad} {i}") for i in range(200)]
+    extra = spark.createDataFrame(rows + rows[:20], "doc_id long, text string").selectExpr("doc_id", "text", "'clash' as TEXT", "doc_id as DOC_ID", "'de' as lang", "1 as node", "2 as part")
+    every = docs.union(extra)
+    labels = spark.createDataFrame([(i, (i % 2)) for i in range(1, 300)] + [(100, 1), (None, 1), (5, None)], "doc_id long, quality int").selectExpr("*", "3 as QUALITY")
+    model = quality_model.fit(every, labels)
+    scored = quality_model.score_quality(every, model).collect()
+    assert len(scored) == len(CASES) + 220 and all(0 <= r["score"] <= 1 for r in scored)
+    empty = {r["score"] for r in scored if r["doc_id"] in (3, 4)}
+    assert len(empty) == 1
+    of = {r["doc_id"]: r["score"] for r in scored}
+    assert min(of[100 + i] for i in range(1, 200, 2)) > max(of[100 + i] for i in range(2, 200, 2))
+
+
+def test_log_ratios_and_margins_by_brute_force(spark):
+    rows = [(i, f"word{i % 7} common {'good' if i % 3 else 'bad'} x{i % 5}") for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i, _ in rows], "doc_id long, quality int")
+    model = quality_model.fit(frame, labels)
+    counts = np.zeros((2, quality_model.FEATURES))
+    for i, text in rows:
+        if zlib.crc32(str(i).encode()) % 5:
+            counts[int(i % 3 > 0)][quality_model.features(text)] += 1
+    smooth = counts + 1
+    want = np.log(smooth[1] / smooth[1].sum()) - np.log(smooth[0] / smooth[0].sum())
+    assert np.allclose(model.ratio, want)
+    for _, text in rows[:10]:
+        slots = quality_model.features(text)
+        scaled = want[slots] / np.linalg.norm(want[slots])
+        margin = sum(model.weights[s] * x for s, x in zip(slots, scaled)) + model.bias
+        assert np.isclose(model.score(text), 1 / (1 + np.exp(-(model.slope * margin + model.offset))))
