@@ -9,9 +9,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowscribe.operators.columns import quoted
-from rowscribe.sources.scratch import use_checkpoints
 
 # Rows are counted per prefix of their digest, so what is numbered in one task
 # and broadcast has at most 16**4 = 65,536 rows (16**5 for very many shards),
@@ -108,30 +108,139 @@ def head(df: DataFrame, n: int, keys: Sequence[str]) -> DataFrame:
     return df.orderBy(*[F.col(quoted(key)) for key in keys]).limit(max(n, 0))
 
 
-def sorted_position(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add ``position``, from 0, in key order.
+def sorted_position(
+    df: DataFrame, keys: Sequence[str], *, within: str | None = None, shards: int | None = None
+) -> DataFrame:
+    """Add ``position``, from 0, in key order; for each value of ``within`` anew.
+
+    Nulls come first; rows with equal keys are ordered by a hash of all columns.
+    Nothing is sorted as a whole and nothing runs while this is planned. Rows are
+    counted by ranges of the first key's value, and rows of heavy ranges by ranges
+    inside these; a value that is half of a range is cut by the next key, and where
+    there is none by the hash. A position is the sum of the counts before its range
+    and the rank inside it. Ranges, and values of ``within`` no heavier than one, are
+    dealt out by hash, so a first key with any share of the rows is ranked by many
+    tasks, if it is a number or date. Strings are told apart by six bytes, of others
+    and of rows that are alike in every column those that are equal stay together.
 
-    The sorted table is checkpointed, which fixes its partitions: the offsets
-    and the ranks are then certain to be of the same partitions.
+    What is broadcast has some rows for each of ``shards`` (by default the number
+    of shuffle partitions), and none for each row or light value.
     """
-    use_checkpoints(df.sparkSession)
-    rows = df.orderBy(*[F.col(quoted(key)) for key in keys]).checkpoint()
-    partition = F.spark_partition_id().alias("_partition")
-    offsets = (
-        rows.select(partition)
-        .groupBy("_partition")
-        .count()
-        .select("_partition", F.coalesce(_sum_before("_partition"), F.lit(0)).alias("_before"))
-    )
-    # The low 33 bits number the rows of a partition.
-    rank = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    # One row per partition of the session, so the broadcast is small.
-    return (
-        rows.select("*", partition, rank.alias("_rank"))
-        .join(F.broadcast(offsets), "_partition")
-        .withColumn("position", F.col("_before") + F.col("_rank"))
-        .drop("_partition", "_before", "_rank")
+    shards = shards or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own, names = [f"_c{i}" for i in range(len(df.columns))], list(df.columns)
+    rows = df.toDF(*own)
+    key_columns = [own[names.index(key)] for key in keys]
+    rows = rows.select(
+        *own,
+        (F.col(own[names.index(within)]) if within else F.lit(0)).alias("_w"),
+        *[_number(F.col(c), rows.schema[c].dataType).alias(f"_x{i}") for i, c in enumerate(key_columns)],
+        F.xxhash64(*[c for c in own if not _holds_map(rows.schema[c].dataType)]).alias("_h"),
     )
+    exact = _is_exact(df.schema[keys[0]].dataType)
+    total = F.col("_n") if within is None else rows.agg(F.count(F.lit(1))).scalar()
+    path, starts, counted = ["_w"], [], rows
+    for level in range(_LEVELS):
+        ranges = _counted(counted, path, len(keys), total if level == 0 else F.max("_total"), level)
+        weight = F.col("_n") * (shards * _RANGES_PER_SHARD) / F.col("_total")
+        heavy = (weight > 1) & (F.col("_n") > _LIGHT)
+        bounds = [c for c in ranges.columns if c not in path and c != "_n"]
+        columns = [F.col(c).alias(f"{c}_") for c in path] + bounds
+        columns.append(F.when(heavy, F.ceil(weight * _SLOTS).cast("double")).alias("_slots"))
+        if level == 0:
+            # Of light values of `within` none is sent.
+            ranges = ranges.where(heavy)
+        else:
+            starts.append(f"_start{level}")
+            before = Window.partitionBy(*path[:-1]).orderBy(path[-1])
+            columns.append((F.sum("_n").over(before) - F.col("_n")).alias(starts[-1]))
+        # Ranges of the level, found by the numbers of the levels before.
+        alike = F.col("_w").eqNullSafe(F.col("_w_"))
+        for c in path[1:]:
+            alike = alike & (F.col(c) == F.col(f"{c}_"))
+        kept = [c for c in rows.columns if c != "_total"]
+        found = rows.select(*kept).join(F.broadcast(ranges.select(*columns)), alike, "left")
+        number = F.when(F.col("_slots").isNotNull(), _slot_of_keys(len(keys), exact))
+        added = [number.alias(f"_r{level}")] if level < _LEVELS - 1 else []
+        rows = found.select(*kept, *(starts[-1:] if level else []), "_total", *added)
+        if added:
+            path = [*path, f"_r{level}"]
+            counted = rows.where(F.col(path[-1]).isNotNull())
+    rank = F.row_number().over(Window.partitionBy(*path).orderBy(*key_columns, "_h")) - 1
+    position = sum((F.coalesce(start, F.lit(0)) for start in starts), rank)
+    return rows.select(*own, position.cast("long").alias("_position")).toDF(*names, "position")
+
+
+#: Tables of counts: of the whole, of ranges, and of ranges in these; ranges that a shuffle partition
+#: gets, about; slots for each such range in what is cut; and rows that one task ranks at any rate.
+_LEVELS = 3
+_RANGES_PER_SHARD = 4
+_SLOTS = 8
+_LIGHT = 10_000
+_LARGEST = 1.7976931348623157e308
+
+
+def _counted(rows: DataFrame, path: list[str], keys: int, total: Column, level: int) -> DataFrame:
+    """Rows of each range, and where it can be cut; the last table is only counted."""
+    stats = [F.count(F.lit(1)).alias("_n")]
+    for i in range(keys):
+        stats += [F.min(f"_x{i}").alias(f"_lo{i}"), F.max(f"_x{i}").alias(f"_hi{i}")]
+    stats.append(F.percentile_approx("_x0", 0.5, 1000).alias("_middle"))
+    if level == 0:
+        return rows.groupBy(*path).agg(*stats).withColumn("_total", total)
+    return rows.groupBy(*path).agg(*stats, total.alias("_total"))
+
+
+def _is_exact(dtype: T.DataType) -> bool:
+    """Whether values with the same :func:`_number` are the same, if below 2 to the 53."""
+    return isinstance(dtype, (T.IntegralType, T.DoubleType, T.FloatType, T.DateType, T.BooleanType))
+
+
+def _number(value: Column, dtype: T.DataType) -> Column:
+    """A number that does not fall where the value rises; null for null. 0 for types that
+    have none, so these are ranked together."""
+    if isinstance(dtype, (T.NumericType, T.BooleanType)):
+        x = value.cast("int" if isinstance(dtype, T.BooleanType) else "double").cast("double")
+    elif isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        day = F.unix_date(value.cast("date")).cast("double")
+        x = day
+        if not isinstance(dtype, T.DateType):
+            x = day * 86400 + F.hour(value) * 3600 + F.minute(value) * 60 + F.second(value)
+    elif isinstance(dtype, T.StringType):
+        start = F.rpad(F.hex(F.substring(value.cast("binary"), 1, 6)), 12, "0")
+        x = F.conv(start, 16, 10).cast("double")
+    else:
+        x = F.when(value.isNotNull(), F.lit(0.0))
+    x = F.when(F.isnan(x), _LARGEST).otherwise(F.least(F.greatest(x, F.lit(-_LARGEST)), F.lit(_LARGEST)))
+    return F.when(value.isNotNull(), x)
+
+
+def _slot_of_keys(keys: int, exact: bool) -> Column:
+    """The number of a row's range inside the range it is in, in key order."""
+    slots, x, middle = F.col("_slots"), F.col("_x0"), F.col("_middle")
+    if keys > 1:
+        inside = _slot(F.col("_x1"), F.col("_lo1"), F.col("_hi1"), slots)
+    else:
+        inside = F.floor((F.col("_h").cast("double") / 2.0**64 + 0.5) * slots)
+    outer = _slot(x, F.col("_lo0"), F.col("_hi0"), slots)
+    if not exact:
+        return outer.cast("long")
+    # Below the middle value, in it, and above it.
+    inner = F.when(x < middle, 0).when((x == middle) & (F.abs(x) < 2.0**53), 1 + inside).otherwise(slots + 3)
+    return (outer * (slots + 4) + F.when(x.isNull() | (F.abs(middle) >= 2.0**53), 0).otherwise(inner)).cast("long")
+
+
+def _slot(x: Column, low: Column, high: Column, slots: Column) -> Column:
+    """The slot of a number between the least and the largest; 0 for null."""
+    part = F.floor((x / 2 - low / 2) / (high / 2 - low / 2) * slots)
+    return F.when(x.isNull(), 0).when(low < high, 1 + part).otherwise(1)
+
+
+def _holds_map(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.ArrayType):
+        return _holds_map(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return any(_holds_map(field.dataType) for field in dtype)
+    return isinstance(dtype, (T.MapType, T.VariantType))
 
 
 def _layout(df: DataFrame, shards: int | None) -> tuple[int, int]:

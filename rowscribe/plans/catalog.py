@@ -432,6 +432,24 @@ def log_text_of_runs(spark, sf_dir):
     return logs.log_chunks(logs.with_log_line(rows), ["step"], run="run")
 
 
+def log_text_stream(spark, sf_dir):
+    """The logs of all runs out of a stream that is stopped and started again: records
+    arrive in three parts, and what follows them ends after each."""
+    records, log, progress = (scratch_path(spark, name) for name in ("records", "log", "log-state"))
+    events = table(spark, sf_dir, "events")
+    rows = events.select(
+        F.col("event_type").alias("run"), F.col("event_id").alias("step"), F.col("value").alias("loss")
+    )
+    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
+    third = (high - low) // 3 + 1
+    for part in range(3):
+        own = rows.where(F.expr(f"(step - {low}) div {third}") == part)
+        own.write.mode("append").parquet(records)
+        lines = logs.with_log_line(logs.read_log_stream(spark, records, rows.schema))
+        logs.follow_log(lines, log, progress, ["step"], run="run", until_caught_up=True).awaitTermination()
+    return logs.read_log(spark, log)
+
+
 def event_stream(spark, sf_dir):
     # The pattern matches a single file as well as a folder of files.
     schema = table(spark, sf_dir, "events").schema
@@ -519,6 +537,7 @@ QUERIES = {
     "l1_log_lines": log_lines,
     "l2_log_text": log_text,
     "l2_log_text_runs": log_text_of_runs,
+    "l2_log_text_stream": log_text_stream,
     "l3_log_stream": log_stream,
     "l4_every_k": every_kth,
     "u4_log_hook": log_hook,

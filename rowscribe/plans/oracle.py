@@ -273,3 +273,5 @@ select step,
 from ({TRAIN_LOG}) t""",
     "l4_every_k": f"select * from ({LINES}) l where step % 25 = 0",
 }
+
+ORACLE["l2_log_text_stream"] = ORACLE["l2_log_text_runs"]

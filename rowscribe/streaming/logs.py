@@ -55,21 +55,15 @@ def log_chunks(
     text, because a log has no size limit and a cell has. Chunks are cut by
     position, so all are equally long whatever the step numbers are. Lines of
     many runs are told apart by the column ``run``: each run has a log of its
-    own then, with chunks from 0. A null run is one too.
+    own then, with chunks from 0. A null run is one too. Lines with equal keys
+    come in an order that depends on their columns alone.
     """
     text = F.expr("listagg(line, '') within group (order by position)").alias("text")
     chunk = F.expr(f"position div {lines_per_chunk}").alias("chunk")
-    if run is None:
-        numbered = sorted_position(lines.select(*[quoted(c) for c in order_by], "line"), order_by)
-        return numbered.groupBy(chunk).agg(text)
-    keys = [run, *(c for c in order_by if c != run)]
-    numbered = sorted_position(lines.select(*[quoted(c) for c in keys], "line"), keys)
-    of_run = F.col(quoted(run))
-    first = numbered.groupBy(of_run.alias("_run")).agg(F.min("position").alias("_first"))
-    within = numbered.join(first, of_run.eqNullSafe(F.col("_run"))).withColumn(
-        "position", F.col("position") - F.col("_first")
-    )
-    return within.groupBy(of_run, chunk).agg(text)
+    keys = [c for c in order_by if c != run]
+    columns = [*keys, "line"] if run is None else [run, *keys, "line"]
+    numbered = sorted_position(lines.select(*[quoted(c) for c in columns]), keys, within=run)
+    return numbered.groupBy(*[] if run is None else [F.col(quoted(run))], chunk).agg(text)
 
 
 def read_log_stream(
@@ -113,3 +107,76 @@ def on_log(
         .trigger(**trigger)
         .start()
     )
+
+
+def follow_log(
+    lines: DataFrame,
+    path: str,
+    checkpoint: str,
+    order_by: Sequence[str],
+    lines_per_chunk: int = LINES_PER_CHUNK,
+    run: str | None = None,
+    *,
+    until_caught_up: bool = False,
+) -> StreamingQuery:
+    """Keep the cumulative log of a stream of lines, as :func:`log_chunks` has it, in ``path``.
+
+    Each run has a state: the number of its lines so far, and the text of its last chunk
+    while that is open. A batch adds its lines, in the order of ``order_by``, to what is
+    there, and writes the chunks that it ends and the open one, not the log before them.
+    Lines that arrive in a later batch come later. A batch that is run again replaces what
+    it wrote. :func:`read_log` gives the log. The lines of a run in one batch are
+    in one task, so batches are to be bounded, as by ``maxFilesPerTrigger``.
+    """
+    keys = [c for c in order_by if c != run]
+    of_run = F.lit(None).cast("string") if run is None else F.col(quoted(run))
+    rows = lines.select(
+        of_run.alias("run"), *[F.col(quoted(c)).alias(f"k{i}") for i, c in enumerate(keys)], "line"
+    )
+    by = [f"k{i}" for i in range(len(keys))]
+
+    def add(key, frames, state):
+        import pandas as pd
+
+        position, text = state.get if state.exists else (0, "")
+        batch = pd.concat(list(frames), ignore_index=True)
+        batch = batch.sort_values([*by, "line"], na_position="first", kind="stable")["line"].tolist()
+        out, at = [], 0
+        while at < len(batch):
+            room = lines_per_chunk - position % lines_per_chunk
+            more = batch[at : at + room]
+            text += "".join(more)
+            out.append((position // lines_per_chunk, text))
+            position, at = position + len(more), at + len(more)
+            if position % lines_per_chunk == 0:
+                text = ""
+        state.update((position, text))
+        frame = pd.DataFrame(out, columns=["chunk", "text"])
+        # The key is taken as an object, so a null one or a number stays as it is.
+        frame.insert(0, "run", pd.Series([key[0]] * len(out), dtype="object"))
+        yield frame
+
+    kind = rows.schema["run"].dataType
+    written = T.StructType().add("run", kind).add("chunk", "long").add("text", "string")
+    chunks = rows.groupBy("run").applyInPandasWithState(
+        add, written, "position long, text string", "update", "NoTimeout"
+    )
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    trigger = {"availableNow": True} if until_caught_up else {"processingTime": POLL_INTERVAL}
+    return (
+        chunks.writeStream.foreachBatch(write)
+        .outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """``run``, ``chunk`` and ``text`` of what :func:`follow_log` has written: of each chunk
+    the text of the last batch that wrote it."""
+    rows = spark.read.option("basePath", path).parquet(f"{path}/batch=*")
+    return rows.groupBy("run", "chunk").agg(F.max_by("text", "batch").alias("text"))

@@ -133,6 +133,60 @@ def test_sorted_position_with_a_hot_leading_key(spark):
     assert [r.position for r in ranked] == list(range(2000))
 
 
+def keyed(spark, kind):
+    """Rows with a hot first key, nulls, and values far from the others."""
+    rows = spark.range(0, 3000, 1, 7)
+    a = F.when(F.col("id") % 3 == 0, 500).when(F.col("id") % 100 == 1, None).when(F.col("id") == 17, 10**15).otherwise(F.col("id") % 40)
+    if kind == "double":
+        a = F.when(F.col("id") % 50 == 2, F.lit(float("nan"))).when(F.col("id") == 20, float("-inf")).otherwise(a / 7)
+    if kind == "string":
+        a = F.concat(F.lit("k"), a.cast("string"), F.when(F.col("id") % 2 == 0, "longer than six").otherwise(""))
+    if kind == "date":
+        a = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 9).cast("int"))
+    if kind == "timestamp":
+        a = F.timestamp_micros(F.col("id") % 70 * 300_000)
+    return rows.select(a.alias("a"), (F.col("id") * 37 % 600).alias("b"), (F.col("id") % 4).alias("run"), F.col("id").alias("line"))
+
+
+@pytest.mark.parametrize("light", [0, 10_000])
+@pytest.mark.parametrize("kind", ["long", "double", "string", "date", "timestamp"])
+def test_sorted_position_of_ranges(spark, monkeypatch, kind, light):
+    monkeypatch.setattr(order, "_LIGHT", light)
+    rows = keyed(spark, kind)
+    for keys in (["a"], ["a", "b"], ["a", "b", "line"]):
+        found = order.sorted_position(rows, keys).orderBy("position").collect()
+        assert [r.position for r in found] == list(range(3000))
+        wanted = rows.orderBy(*keys).collect()
+        assert repr([tuple(r[k] for k in keys) for r in found]) == repr([tuple(r[k] for k in keys) for r in wanted])
+        by_run = order.sorted_position(rows, keys, within="run").orderBy("run", "position").collect()
+        wanted = rows.orderBy("run", *keys).collect()
+        assert [r.position for r in by_run] == [i for _ in range(4) for i in range(750)]
+        assert repr([tuple(r[k] for k in keys) for r in by_run]) == repr([tuple(r[k] for k in keys) for r in wanted])
+
+
+def test_a_heavy_step_is_ranked_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(order, "_LIGHT", 100)
+    rows = spark.range(0, 30_000, 1, 4).select(
+        F.when(F.col("id") % 3 == 0, 123_456).otherwise(F.col("id") * 1000).alias("step"), F.col("id").alias("line")
+    )
+    tasks = order.sorted_position(rows, ["step"], shards=8).groupBy(F.spark_partition_id()).agg(
+        F.count(F.when(F.col("step") == 123_456, 1)).alias("n")
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r.n for r in tasks.collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(sizes) == 10_000 and max(sizes) < 4000
+
+
+def test_positions_start_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    order.sorted_position(spark.range(1000), ["id"])
+    assert not tracker.getJobIdsForGroup("planning")
+
+
 def test_pairs_of_long_chats(spark):
     turns = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).cast("long").alias("conv_id"),
