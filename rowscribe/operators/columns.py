@@ -119,6 +119,24 @@ def with_columns(df: DataFrame, added: dict[str, Column]) -> DataFrame:
     return df.withColumns(added)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores added to those that a column has, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def reject_taken(df: DataFrame, *names: str) -> None:
+    """An error where a column to be added is there already, in whatever case."""
+    if taken := [c for c in df.columns if c.lower() in {name.lower() for name in names}]:
+        raise ValueError(f"the table has columns named like those to be added: {taken}")
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

@@ -5,13 +5,14 @@ a row. Nothing here sorts or numbers a whole table in one task: positions are
 the sum of a partition's offset, from counts, and a rank inside the partition.
 """
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowscribe.operators.columns import quoted
+from rowscribe.operators.columns import free_names, quoted, reject_taken
 
 # Rows are counted per prefix of their digest, so what is numbered in one task
 # and broadcast has at most 16**4 = 65,536 rows (16**5 for very many shards),
@@ -80,6 +81,7 @@ def assign_batches(
 ) -> DataFrame:
     """Add ``position``, ``micro_batch`` and ``step`` (optimizer step), from 0,
     for one pass over the rows in seeded order."""
+    reject_taken(df, "position", "micro_batch", "step")
     return shuffled_position(df, seed, keys, shards=shards).withColumns(
         {
             "micro_batch": F.expr(f"position div {batch_size}"),
@@ -88,6 +90,63 @@ def assign_batches(
     )
 
 
+def epoch_batches(
+    positioned: DataFrame, batch_size: int, accumulation: int, epochs: int, seed: int
+) -> DataFrame:
+    """Batches of several passes: each row of :func:`shuffled_position` once for each
+    ``epoch``, from 0, with its ``place`` in the epoch's own order, and with
+    ``micro_batch`` and ``step`` counted on from one epoch to the next.
+
+    The first epoch keeps the positions. Each other one permutes them by itself, with
+    keys of its seed, so no epoch sorts or shuffles the rows again: the result is as
+    large as its columns times the epochs, and laid out as ``positioned`` is.
+    """
+    reject_taken(positioned, "epoch", "place", "micro_batch", "step")
+    rounds, n = free_names(positioned, "_rounds", "_n")
+    total = positioned.agg(F.count(F.lit(1))).scalar()
+    keys = F.array(
+        *[
+            F.struct(F.lit(e).cast("long").alias("epoch"), F.array(*map(F.lit, _round_keys(seed, e))).cast("array<bigint>").alias("keys"))
+            for e in range(epochs)
+        ]
+    )
+    rows = positioned.withColumn(n, total).withColumn(rounds, F.explode(keys))
+    epoch, place = F.col(rounds)["epoch"], _permuted(F.col("position"), F.col(n), F.col(rounds)["keys"])
+    micro_batches = F.ceil(F.col(n) / batch_size).cast("long")
+    steps = F.ceil(micro_batches / accumulation).cast("long")
+    rows = rows.withColumn("place", place).withColumn("epoch", epoch)
+    return rows.withColumns(
+        {
+            "micro_batch": F.col("epoch") * micro_batches + F.expr(f"place div {batch_size}"),
+            "step": F.col("epoch") * steps + F.expr(f"place div {batch_size * accumulation}"),
+        }
+    ).drop(rounds, n)
+
+
+#: Rounds of the permutation of an epoch.
+_ROUNDS = 24
+
+
+def _round_keys(seed: int, epoch: int) -> list[int]:
+    """A number of 60 bits for each round of an epoch; none for the first, which stays as it is."""
+    return [
+        int(hashlib.md5(f"{seed}:{epoch}:{i}".encode()).hexdigest()[:15], 16) for i in range(_ROUNDS if epoch else 0)
+    ]
+
+
+def _permuted(position: Column, n: Column, keys: Column) -> Column:
+    """A keyed permutation of the numbers below n, whatever n is: each round pairs x with
+    (key - x) mod n, and a bit that depends on the larger of the two tells whether they change places."""
+
+    def step(x: Column, key: Column) -> Column:
+        other = (key % n - x + n) % n
+        larger = F.greatest(x, other)
+        mixed = (larger % 2147483647 * 48271 + key % 2147483647) % 2147483647 * 69621 % 2147483647
+        return F.when(F.floor(mixed / 1024) % 2 == 1, other).otherwise(x)
+
+    return F.aggregate(keys, position.cast("long"), step)
+
+
 def step_budget(
     df: DataFrame, batch_size: int, accumulation: int, epochs: float = 1.0, max_steps: int = -1
 ) -> DataFrame:
@@ -277,17 +336,19 @@ def _place(
         "_shard",
         F.min("_before").over(Window.partitionBy("_shard")).alias("_start"),
     )
-    digest = F.col("_digest")
+    reject_taken(df, "position")
+    digest, prefix, shard, start = free_names(df, "_digest", "_prefix", "_shard", "_start")
+    placed = placed.withColumnsRenamed({"_prefix": prefix, "_shard": shard, "_start": start})
     rank = F.row_number().over(
-        Window.partitionBy("_shard").orderBy(digest, *[F.col(quoted(key)) for key in keys])
+        Window.partitionBy(shard).orderBy(digest, *[F.col(quoted(key)) for key in keys])
     )
     return (
-        df.withColumn("_digest", shuffle_digest(seed, keys))
-        .withColumn("_prefix", F.substring(digest, 1, digits))
-        .join(F.broadcast(placed), "_prefix")
-        .repartitionById(shards, F.col("_shard"))
-        .withColumn("position", F.col("_start") + rank - 1)
-        .drop("_digest", "_prefix", "_shard", "_start")
+        df.withColumn(digest, shuffle_digest(seed, keys))
+        .withColumn(prefix, F.substring(digest, 1, digits))
+        .join(F.broadcast(placed), prefix)
+        .repartitionById(shards, F.col(shard))
+        .withColumn("position", F.col(start) + rank - 1)
+        .drop(digest, prefix, shard, start)
     )
 
 

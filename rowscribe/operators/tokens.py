@@ -11,10 +11,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowscribe.functions import fixed
-from rowscribe.operators.columns import column, with_column
+from rowscribe.operators.columns import column, free_names, quoted, with_column
+from rowscribe.operators.order import sorted_position
 
 #: Largest vocabulary that :func:`encode` looks up inside each task.
 LOOKUP_LIMIT = 200_000
+#: Largest vocabulary that :func:`build_vocabulary` ranks in one task.
+RANKED_TOGETHER = 10_000
+#: The most frequent tokens, which :func:`encode_by_join` looks up instead of joining them.
+HOT_TOKENS = 20_000
 #: Longest token, in bytes, that is sent to the tasks as it is.
 KEY_BYTES = 64
 DEFAULT_VOCABULARY = 32_000
@@ -25,12 +30,16 @@ _BLANK_RUN = "[ \\t\\r\\n]+"
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """``frame`` has columns ``id``, ``token``, ``count``; ids run from 1 to at
-    most ``size``."""
+    """``frame`` has columns ``id``, ``token``, ``count``, the most frequent token first.
+    Ids run from 1 to at most ``size``; rows with others are not used."""
 
     frame: DataFrame
     size: int
 
+    def entries(self, above: int = 0) -> DataFrame:
+        """The entries with ids in the vocabulary's size, and above another id."""
+        return self.frame.where((F.col("id") > above) & (F.col("id") <= self.size))
+
 
 def tokens(text: Column, limit: int | None = None) -> Column:
     """The tokens of a text, or the first ``limit`` of them. The rest of a long
@@ -45,22 +54,23 @@ def tokens(text: Column, limit: int | None = None) -> Column:
 def build_vocabulary(df: DataFrame, text: str, size: int = DEFAULT_VOCABULARY) -> Vocabulary:
     """The ``size`` most frequent tokens; ties go to the smaller token.
 
-    Counts are combined before the shuffle, so frequent tokens do not gather.
-    Tokens too rare to matter are left out before the ranking, in one task.
+    Counts are combined before the shuffle, so frequent tokens do not gather. A
+    large vocabulary is ranked by many tasks, in ranges of counts and of tokens
+    with the same count, after tokens too rare to matter are left out.
     """
     counts = (
         df.select(F.explode(tokens(column(df, text))).alias("token"))
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("count"))
     )
-    candidates = without_rare(counts, size)
-    best = [F.desc("count"), F.asc("token")]
-    frame = (
-        candidates.orderBy(*best)
-        .limit(size)
-        .select(F.row_number().over(Window.orderBy(*best)).alias("id"), "token", "count")
-    )
-    return Vocabulary(frame, size)
+    if size <= RANKED_TOGETHER:
+        best = [F.desc("count"), F.asc("token")]
+        rank = F.row_number().over(Window.orderBy(*best))
+        frame = counts.orderBy(*best).limit(size).select(rank.alias("id"), "token", "count")
+        return Vocabulary(frame, size)
+    candidates = without_rare(counts, size).withColumn("fewer", -F.col("count"))
+    ranked = sorted_position(candidates, ["fewer", "token"]).where(F.col("position") < size)
+    return Vocabulary(ranked.select((F.col("position") + 1).cast("int").alias("id"), "token", "count"), size)
 
 
 def written(vocabulary: Vocabulary, path: str) -> Vocabulary:
@@ -109,15 +119,25 @@ def encode(
 def encode_by_lookup(
     df: DataFrame, text: str, vocabulary: Vocabulary, max_length: int | None, out: str = "token_ids"
 ) -> DataFrame:
+    (split,) = free_names(df, "_tokens")
+    prepared = df.withColumn(split, tokens(column(df, text), max_length))
+    prepared, found = _looked_up(prepared, F.col(split), vocabulary.entries(), vocabulary.size)
+    ids = F.transform(found, lambda i: F.coalesce(i, F.lit(0)))
+    return with_column(prepared, out, ids).select(*[F.col(quoted(c)) for c in df.columns if c != out], F.col(quoted(out)))
+
+
+def _looked_up(df: DataFrame, words: Column, entries: DataFrame, size: int) -> tuple[DataFrame, Column]:
+    """A frame with a further column, and an expression on it of the ids of ``words`` in
+    up to ``size`` entries, null for words that are not there."""
     # A map is searched from its start, so the vocabulary is spread over many
     # small maps and the hash of a token tells which one to search. Short keys
-    # bound what is sent: LOOKUP_LIMIT entries of at most 65 bytes and an id.
-    slots = max(1, vocabulary.size // 4)
+    # bound what is sent: `size` entries of at most 65 bytes and an id.
+    slots = max(1, size // 4)
 
     def slot(token: Column) -> Column:
         return F.pmod(F.hash(token), F.lit(slots))
 
-    spread = vocabulary.frame.groupBy(slot(F.col("token")).alias("slot")).agg(
+    spread = entries.groupBy(slot(F.col("token")).alias("slot")).agg(
         F.collect_list(F.struct(_short_key(F.col("token")).alias("key"), "id")).alias("entries")
     )
     none = F.array().cast("array<struct<key:string,id:int>>")
@@ -132,24 +152,18 @@ def encode_by_lookup(
         )
         .select(F.transform("slots", lambda s: F.map_from_entries(s["entries"])))
     )
-
     # Spark allows no subquery inside a lambda, so the maps are a column first.
-    # Both new columns are used once, which makes the optimizer merge the two
+    # The new columns are used once, which makes the optimizer merge the
     # projections: the maps are then a constant of the expression and are not
     # copied into any row. The outer transform only names them.
-    prepared = df.withColumn("_tokens", tokens(column(df, text), max_length)).withColumn(
-        "_maps", maps.scalar()
-    )
-    ids = F.get(
+    (name,) = free_names(df, "_maps")
+    found = F.get(
         F.transform(
-            F.array(F.col("_maps")),
-            lambda m: F.transform(
-                F.col("_tokens"), lambda t: F.coalesce(F.get(m, slot(t))[_short_key(t)], F.lit(0))
-            ),
+            F.array(F.col(name)), lambda m: F.transform(words, lambda t: F.get(m, slot(t))[_short_key(t)])
         ),
         F.lit(0),
     )
-    return with_column(prepared, out, ids).drop("_tokens", "_maps")
+    return df.withColumn(name, maps.scalar()), found
 
 
 def _short_key(token: Column) -> Column:
@@ -164,32 +178,55 @@ def encode_by_join(
 ) -> DataFrame:
     """As :func:`encode_by_lookup`, with an equi-join on the token.
 
-    Ids depend on the text alone, so each text is joined once, under its digest,
-    and rows find their ids by it: null or repeated keys make no difference.
-    The joins carry digests, positions and ids. Their size is left to the
-    optimizer to judge, so no vocabulary is broadcast unchecked, and adaptive
-    execution splits the partitions of frequent tokens and texts.
+    The ``HOT_TOKENS`` most frequent entries are looked up in the tasks, so what
+    is joined has no token with a large share of all. Ids depend on the text
+    alone, so each text is joined once, under its digest, and rows find their ids
+    by it: null or repeated keys make no difference. The joins carry digests,
+    positions and ids. Their size is left to the optimizer to judge, so no
+    vocabulary is broadcast unchecked, and adaptive execution splits the
+    partitions of frequent texts and of frequent tokens without an entry.
     """
-    digest = F.sha2(column(df, text), 256)
+    hot = min(vocabulary.size, HOT_TOKENS)
+    split, digest, known, cold, entries = free_names(df, "_tokens", "_digest", "_known", "_cold", "_entries")
+    names = F.col(split)
+    looked_up, ids_of_hot = _looked_up(
+        df.withColumn(digest, F.sha2(column(df, text), 256)).withColumn(split, tokens(column(df, text), max_length)),
+        names,
+        vocabulary.entries().where(F.col("id") <= hot),
+        hot,
+    )
+    marked = looked_up.withColumn(known, ids_of_hot)
+    # The optimizer may put an expression in the place of its column; in an array of one
+    # it is computed once even so, not for each token.
+    rest = F.get(
+        F.transform(
+            F.array(F.col(known)),
+            lambda found: F.filter(
+                F.transform(names, lambda t, i: F.when(F.get(found, i).isNull(), F.struct(i.alias("pos"), t.alias("token")))),
+                lambda x: x.isNotNull(),
+            ),
+        ),
+        F.lit(0),
+    )
     ids = (
-        df.select(digest.alias("_digest"), tokens(column(df, text), max_length).alias("_tokens"))
-        .where(F.size("_tokens") > 0)
-        .groupBy("_digest")
-        .agg(F.any_value("_tokens").alias("_tokens"))
-        .select("_digest", F.posexplode("_tokens").alias("pos", "token"))
-        .join(vocabulary.frame.select("token", "id"), "token", "left")
-        .groupBy("_digest")
-        .agg(
-            F.sort_array(
-                F.collect_list(F.struct("pos", F.coalesce("id", F.lit(0)).alias("id")))
-            ).alias("_entries")
-        )
+        marked.select(F.col(digest).alias("digest"), rest.alias(cold))
+        .where(F.size(cold) > 0)
+        .groupBy("digest")
+        .agg(F.any_value(cold).alias(cold))
+        .select("digest", F.inline(cold))
+        .join(vocabulary.entries(above=hot).select("token", "id"), "token", "left")
+        .groupBy("digest")
+        .agg(F.collect_list(F.struct("pos", F.coalesce("id", F.lit(0)).alias("id"))).alias(entries))
+        .withColumnRenamed("digest", digest)
+    )
+    joined = marked.join(ids, digest, "left")
+    none = F.array().cast("array<struct<pos:int,id:int>>")
+    here = F.filter(
+        F.transform(F.col(known), lambda x, i: F.when(x.isNotNull(), F.struct(i.alias("pos"), x.alias("id")))),
+        lambda x: x.isNotNull(),
     )
-    found = F.coalesce(F.col("_entries.id"), F.array().cast("array<int>"))
-    joined = df.withColumn("_digest", digest).join(ids, "_digest", "left")
-    return with_column(
-        joined, out, F.when(F.col("_digest").isNotNull(), found)
-    ).drop("_digest", "_entries")
+    value = F.sort_array(F.concat(here, F.coalesce(F.col(entries), none)))["id"]
+    return with_column(joined, out, value).select(*[F.col(quoted(c)) for c in df.columns if c != out], F.col(quoted(out)))
 
 
 def prompt_masked_labels(

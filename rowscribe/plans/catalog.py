@@ -1,11 +1,13 @@
 """The registered queries. Each runs over whole tables of ``sf_dir``."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowscribe.functions import fixed
 from rowscribe.functions.values import default_if_falsy, joined_names, literal_names, truthy
-from rowscribe.operators import chat, order, render, tokens
+from rowscribe.operators import chat, columns, order, render, tokens
 from rowscribe.plans import job, views
 from rowscribe.sources import datasets, preview, sinks
 from rowscribe.sources.scratch import scratch_path
@@ -60,6 +62,15 @@ def pick_split(spark, sf_dir):
     return datasets.pick_split(every, "de", "lang").select("doc_id", "lang", "text")
 
 
+def all_splits(spark, sf_dir):
+    """Documents of all languages out of a folder for each."""
+    path = scratch_path(spark, "splits")
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("lang").alias("folder"))
+    for name in [r[0] for r in rows.select("folder").distinct().collect()]:
+        sinks.write_rows(rows.where(F.col("folder") == name), f"{path}/{name}")
+    return datasets.load_all_splits(spark, path).select("doc_id", "text", "split")
+
+
 def head_sample(spark, sf_dir):
     return datasets.load_split(
         spark, f"{sf_dir}/documents.parquet", None, num_samples=100, order_by=["doc_id"]
@@ -144,6 +155,20 @@ def preview_formatted(spark, sf_dir):
 # --- Columns ---------------------------------------------------------------
 
 
+def column_report(spark, sf_dir):
+    """What is detected in each of the tables' shapes."""
+    found = {
+        "documents": table(spark, sf_dir, "documents"),
+        "pairs": pairs(spark, sf_dir),
+        "chats": chat.assemble_chats(table(spark, sf_dir, "conversations")),
+    }
+    reports = [
+        columns.report_columns(spark, columns.detect_columns(rows.columns)).withColumn("shape", F.lit(name))
+        for name, rows in found.items()
+    ]
+    return reduce(DataFrame.unionByName, reports)
+
+
 def positional(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").select("source", "lang", "doc_id")
     return render.render(rows, eos=EOS)
@@ -345,6 +370,12 @@ def vocabulary(spark, sf_dir):
     return frame.select(F.col("id").cast("long").alias("id"), "token", "count")
 
 
+def vocabulary_large(spark, sf_dir):
+    """Every token, ranked by many tasks."""
+    frame = tokens.build_vocabulary(documents(spark, sf_dir), "text", 1_000_000).frame
+    return frame.select(F.col("id").cast("long").alias("id"), "token", "count")
+
+
 def encoded_pairs(spark, sf_dir):
     rows = render.render(pairs(spark, sf_dir), "alpaca", eos=EOS, parts=True)
     vocabulary = tokens.build_vocabulary(rows, "text", VOCABULARY)
@@ -373,6 +404,15 @@ def encode_documents_by_join(spark, sf_dir):
     return encoded.select("doc_id", joined(F.col("token_ids")).alias("ids"))
 
 
+def encode_documents_large(spark, sf_dir):
+    """Ids of a vocabulary of which a part is looked up and the rest joined."""
+    rows = documents(spark, sf_dir)
+    vocabulary = tokens.build_vocabulary(rows, "text", 300_000)
+    vocabulary = tokens.written(vocabulary, scratch_path(spark, "vocabulary"))
+    encoded = tokens.encode(rows, "text", vocabulary, max_length=None)
+    return encoded.select("doc_id", joined(F.col("token_ids")).alias("ids"))
+
+
 def truncate(spark, sf_dir):
     rows = documents(spark, sf_dir)
     return rows.select("doc_id", F.array_join(tokens.tokens(F.col("text"), LENGTH), " ").alias("text"))
@@ -395,6 +435,12 @@ def batches(spark, sf_dir):
     return order.assign_batches(rows, 2, 4, SEED, ["doc_id"])
 
 
+def epochs(spark, sf_dir):
+    """The place and step of each document in each of three passes."""
+    rows = order.shuffled_position(table(spark, sf_dir, "documents").select("doc_id"), SEED, ["doc_id"])
+    return order.epoch_batches(rows, 2, 4, 3, SEED)
+
+
 def step_budget(spark, sf_dir):
     rows = pairs(spark, sf_dir)
     by_epoch = order.step_budget(rows, 2, 4, epochs=3.0)
@@ -488,6 +534,7 @@ def every_kth(spark, sf_dir):
 QUERIES = {
     "s1_load_split": load_split,
     "s2_pick_split": pick_split,
+    "s2_all_splits": all_splits,
     "s3_head_sample": head_sample,
     "s3_head_by_file": head_by_file,
     "s3_head_of_split": head_of_split,
@@ -500,6 +547,7 @@ QUERIES = {
     "s6_dry_run": dry_job,
     "s7_preview_raw": preview_raw,
     "s8_preview_formatted": preview_formatted,
+    "m8_column_report": column_report,
     "m6_positional_fallback": positional,
     "m7_forced_alpaca_positional": forced_positional,
     "p1_rename_content": rename_content,
@@ -526,13 +574,16 @@ QUERIES = {
     "x4_names": names,
     "x5_joined_names": names_joined,
     "t1_vocab": vocabulary,
+    "t1_vocab_large": vocabulary_large,
     "t2_encode": encode,
     "t2_encode_documents": encode_documents,
     "t2_encode_join": encode_documents_by_join,
+    "t2_encode_large": encode_documents_large,
     "t3_truncate": truncate,
     "t4_labels": labels,
     "o1_shuffle_take": shuffle_take,
     "o2_batches": batches,
+    "o2_epochs": epochs,
     "o3_step_budget": step_budget,
     "l1_log_lines": log_lines,
     "l2_log_text": log_text,

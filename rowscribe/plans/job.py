@@ -17,8 +17,10 @@ from rowscribe.operators.tokens import (
     DEFAULT_VOCABULARY,
     build_vocabulary,
     encode_with_labels,
+    written,
 )
 from rowscribe.sources.datasets import load_split
+from rowscribe.sources.scratch import scratch_path
 from rowscribe.sources.sinks import dry_run, write_rows
 
 
@@ -71,7 +73,8 @@ class JobReport:
 
 
 def prepare(spark: SparkSession, job: JobParameters) -> DataFrame:
-    """The ordered, rendered training set, not yet computed.
+    """The ordered, rendered training set, not yet computed. A sample and a vocabulary
+    are, and kept as tables in the scratch folder: several steps read them.
 
     Rows are ordered before they are rendered: the text is then made after the
     shuffle and does not travel next to the columns it is made of.
@@ -92,7 +95,9 @@ def prepare(spark: SparkSession, job: JobParameters) -> DataFrame:
         raise ValueError(f"the dataset has columns named like the order: {sorted(taken)}")
     if job.shuffled_samples:
         sample = shuffle_take(raw, job.shuffled_samples, job.sample_seed, job.keys)
-        raw = sample.drop("position")
+        path = scratch_path(spark, "sample")
+        sample.drop("position").write.parquet(path)
+        raw = spark.read.schema(raw.schema).parquet(path)
     batched = assign_batches(
         raw,
         job.batch_size,
@@ -105,6 +110,7 @@ def prepare(spark: SparkSession, job: JobParameters) -> DataFrame:
     result, added = _render(rows, job), ["text"]
     if job.tokenize:
         vocabulary = build_vocabulary(_render(raw, job), "text", job.vocabulary_size)
+        vocabulary = written(vocabulary, scratch_path(spark, "vocabulary"))
         result = encode_with_labels(result, vocabulary, job.max_seq_length)
         added += ["token_ids", "labels"]
     kept = added if job.text_only else [c for c in result.columns if c != "_order"]

@@ -110,9 +110,13 @@ from source s left join ids i on {joined}
 
 _ALPACA_WITH_PROMPT = f"select *, {_ALPACA_PROMPT} as prompt_text from ({ALPACA}) a"
 
+_OTHER = "((k % n - x + n) % n)"
+_MIXED = f"((greatest(x, {_OTHER}) % 2147483647 * 48271 + k % 2147483647) % 2147483647 * 69621 % 2147483647)"
+
 ORACLE = {
     "s1_load_split": "select doc_id, lang, text from documents where lang = 'en'",
     "s2_pick_split": "select doc_id, lang, text from documents where lang = 'de'",
+    "s2_all_splits": "select doc_id, text, lang as split from documents",
     "s3_head_sample": "select * from documents order by doc_id limit 100",
     "s3_head_by_file": "select * from documents order by doc_id limit 150",
     "s3_head_of_split": "select * from documents where lang = 'en' order by doc_id limit 150",
@@ -218,6 +222,7 @@ select id, cast(n_genres as bigint) as n_genres, replace(genres, ', ', '|') as g
 from ({MOVIES}) m""",
     "x5_joined_names": f"select id, genres, keywords from ({MOVIES}) m",
     "t1_vocab": _vocabulary("select text from documents", 1000),
+    "t1_vocab_large": _vocabulary("select text from documents", 1_000_000),
     "t2_encode": "select conv_id, turn, value as ids from ("
     + _encoded(_ALPACA_WITH_PROMPT, "conv_id, turn", 500, 64, "coalesce(id, 0)")
     + ") e",
@@ -227,6 +232,9 @@ from ({MOVIES}) m""",
     "t2_encode_join": "select doc_id, value as ids from ("
     + _encoded("select doc_id, text from documents", "doc_id", 1000, None, "coalesce(id, 0)")
     + ") e",
+    "t2_encode_large": "select doc_id, value as ids from ("
+    + _encoded("select doc_id, text from documents", "doc_id", 300_000, None, "coalesce(id, 0)")
+    + ") e",
     "t3_truncate": f"""
 select doc_id, array_to_string({_tokens('text')}[1:64], ' ') as text from documents""",
     "t4_labels": "select conv_id, turn, value as labels from ("
@@ -246,6 +254,20 @@ select doc_id, text, position, position // 2 as micro_batch, position // 8 as st
 from (select doc_id, text,
              row_number() over (order by md5('3407:' || doc_id), doc_id) - 1 as position
       from documents) p""",
+    "o2_epochs": f"""
+with placed as (
+    select doc_id, row_number() over (order by md5('3407:' || doc_id), doc_id) - 1 as position, count(*) over () as n from documents
+), passes as (
+    select *, unnest(range(0, 3)) as epoch from placed
+), moved as (
+    select doc_id, position, n, epoch, case when epoch = 0 then position else list_reduce(
+        list_prepend(position, list_transform(range(0, 24), lambda i: ('0x' || substr(md5('3407:' || epoch || ':' || i), 1, 15))::bigint)),
+        lambda x, k: case when {_MIXED} // 1024 % 2 = 1 then {_OTHER} else x end) end as place
+    from passes
+)
+select doc_id, position, epoch, place, epoch * ceil(n / 2)::bigint + place // 2 as micro_batch,
+       epoch * ceil(ceil(n / 2) / 4)::bigint + place // 8 as step
+from moved""",
     "o3_step_budget": f"""
 select count(*) as n_rows,
        cast(ceil(ceil(ceil(count(*) / 2.0) / 4.0) * 3.0) as bigint) as steps_by_epochs,
@@ -274,4 +296,10 @@ from ({TRAIN_LOG}) t""",
     "l4_every_k": f"select * from ({LINES}) l where step % 25 = 0",
 }
 
+ORACLE["m8_column_report"] = """
+select * from (values
+    ('documents', 'text', 'text'), ('documents', 'chat', null), ('documents', 'instruction', null), ('documents', 'output', null), ('documents', 'input', null),
+    ('pairs', 'text', null), ('pairs', 'chat', null), ('pairs', 'instruction', 'instruction'), ('pairs', 'output', 'output'), ('pairs', 'input', 'input'),
+    ('chats', 'text', null), ('chats', 'chat', 'messages'), ('chats', 'instruction', null), ('chats', 'output', null), ('chats', 'input', null)
+) as t(shape, part, column_name)"""
 ORACLE["l2_log_text_stream"] = ORACLE["l2_log_text_runs"]
