@@ -13,6 +13,7 @@ import json
 from collections.abc import Callable, Iterator
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -23,6 +24,8 @@ from rowscribe.llm.common import SEGMENT, Recent, pick, rows_of
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _NONE = 1 << 62
 _PLACE = (1 << 32) - 1
+#: Bits of a symbol, bytes of words that are merged together, and characters of texts whose words are.
+_SYMBOL, _LONG, _CHUNK = 24, 64, 1 << 20
 
 
 def byte_alphabet() -> list[str]:
@@ -33,52 +36,136 @@ def byte_alphabet() -> list[str]:
     return [signs[b] for b in range(256)]
 
 
-def merge(symbols: list[int], pairs: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
+#: The number of ids, the ids joined by commas, the bytes they decode to, and the ids of a piece.
+Piece = tuple[int, bytes, bytes, tuple[int, ...]]
+
+
+class Pairs:
+    """The ranks of mergeable pairs and, by rank, the symbol that each makes."""
+
+    def __init__(self, merges: list[tuple[int, int, int]]) -> None:
+        self.ranks = {left << _SYMBOL | right: rank for rank, (left, right, _) in enumerate(merges)}
+        self.made = [made for _, _, made in merges]
+        keys = np.array(list(self.ranks), np.int64)
+        order = np.argsort(keys)
+        self.keys = np.append(keys[order], np.iinfo(np.int64).max)
+        self.sorted_ranks = np.append(np.array(list(self.ranks.values()), np.int64)[order], 0)
+        self.made_of = np.array(self.made, np.int64)
+
+    def leaves(self, left: np.ndarray, right: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The keys of pairs that start at the places; a negative symbol is in no pair."""
+        key = left << _SYMBOL | right
+        at = np.searchsorted(self.keys, key)
+        found = (self.keys[at] == key) & (left >= 0) & (right >= 0)
+        return np.where(found, self.sorted_ranks[at] << 32 | place, _NONE)
+
+
+def put(tree: list[int], i: int, key: int) -> None:
+    """Change a leaf, and the nodes above it as far as their least key changes."""
+    tree[i] = key
+    while i > 1:
+        other = tree[i ^ 1]
+        if other < key:
+            key = other
+        i >>= 1
+        if tree[i] == key:
+            return
+        tree[i] = key
+
+
+def merge(symbols: list[int], pairs: Pairs) -> list[int]:
     """Merge adjacent symbols, the lowest rank first and the leftmost of equals,
-    until none can be merged. pairs: (left, right) to (rank, merged symbol)."""
+    until none can be merged."""
     n = len(symbols)
     if n < 2:
         return symbols
+    rank_of, made = pairs.ranks.get, pairs.made
     leaves = 1 << (n - 1).bit_length()
     tree = [_NONE] * (2 * leaves)
     for i in range(n - 1):
-        found = pairs.get((symbols[i], symbols[i + 1]))
-        if found:
-            tree[leaves + i] = found[0] << 32 | i
+        rank = rank_of(symbols[i] << _SYMBOL | symbols[i + 1])
+        if rank is not None:
+            tree[leaves + i] = rank << 32 | i
     for i in range(leaves - 1, 0, -1):
-        tree[i] = min(tree[2 * i], tree[2 * i + 1])
+        left, right = tree[2 * i], tree[2 * i + 1]
+        tree[i] = left if left < right else right
+    # A symbol that was merged into the one before it is -1; places link to their neighbours.
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-
-    def put(i: int, key: int) -> None:
-        i += leaves
-        tree[i] = key
-        while i > 1:
-            least = min(tree[i], tree[i ^ 1])
-            i >>= 1
-            if tree[i] == least:
-                return
-            tree[i] = least
-
-    def key(i: int) -> int:
-        j = after[i]
-        found = pairs.get((symbols[i], symbols[j])) if j < n else None
-        return found[0] << 32 | i if found else _NONE
-
     while (least := tree[1]) < _NONE:
         i = least & _PLACE
         j = after[i]
-        symbols[i] = pairs[symbols[i], symbols[j]][1]
+        symbol = symbols[i] = made[least >> 32]
         symbols[j] = -1
-        after[i] = after[j]
-        if after[j] < n:
-            before[after[j]] = i
-        put(j, _NONE)
-        put(i, key(i))
-        if before[i] >= 0:
-            put(before[i], key(before[i]))
+        following, previous = after[j], before[i]
+        after[i] = following
+        put(tree, leaves + j, _NONE)
+        key = _NONE
+        if following < n:
+            before[following] = i
+            rank = rank_of(symbol << _SYMBOL | symbols[following])
+            if rank is not None:
+                key = rank << 32 | i
+        put(tree, leaves + i, key)
+        if previous >= 0:
+            rank = rank_of(symbols[previous] << _SYMBOL | symbol)
+            put(tree, leaves + previous, _NONE if rank is None else rank << 32 | previous)
     return [s for s in symbols if s >= 0]
 
 
+def merge_many(words: list[list[int]], pairs: Pairs) -> list[tuple[int, ...]]:
+    """As `merge` for each of many short words: their trees are rows of one array, and each
+    step merges one pair in every word that has one."""
+    out: list = [None] * len(words)
+    of_size: dict[int, list[int]] = {}
+    for i, word in enumerate(words):
+        if 1 < len(word) <= _LONG:
+            of_size.setdefault(1 << (len(word) - 1).bit_length(), []).append(i)
+        else:
+            out[i] = tuple(merge(word, pairs))
+    for size, members in of_size.items():
+        symbols = np.full((len(members), size + 1), -1, np.int64)
+        for row, i in enumerate(members):
+            symbols[row, : len(words[i])] = words[i]
+        places = np.arange(size)
+        tree = np.full((len(members), 2 * size), _NONE, np.int64)
+        tree[:, size:] = pairs.leaves(symbols[:, :-1], symbols[:, 1:], places)
+        for i in range(size - 1, 0, -1):
+            tree[:, i] = np.minimum(tree[:, 2 * i], tree[:, 2 * i + 1])
+        after = np.tile(places + 1, (len(members), 1))
+        before = np.tile(np.arange(-1, size), (len(members), 1))
+
+        def put(rows: np.ndarray, at: np.ndarray, keys: np.ndarray, size: int = size, tree: np.ndarray = tree) -> None:
+            node = at + size
+            tree[rows, node] = keys
+            while (node := node >> 1)[0]:
+                tree[rows, node] = np.minimum(tree[rows, 2 * node], tree[rows, 2 * node + 1])
+
+        rows = np.arange(len(members))
+        while True:
+            rows = rows[tree[rows, 1] < _NONE]
+            if not len(rows):
+                break
+            least = tree[rows, 1]
+            i, symbol = least & _PLACE, pairs.made_of[least >> 32]
+            j = after[rows, i]
+            following, previous = after[rows, j], before[rows, i]
+            symbols[rows, i], symbols[rows, j] = symbol, -1
+            after[rows, i], before[rows, following] = following, i
+            put(rows, j, np.full(len(rows), _NONE))
+            put(rows, i, pairs.leaves(symbol, symbols[rows, following], i))
+            inner = previous >= 0
+            if inner.any():
+                some, previous = rows[inner], previous[inner]
+                put(some, previous, pairs.leaves(symbols[some, previous], symbol[inner], previous))
+        left = symbols >= 0
+        ends = np.cumsum(left.sum(axis=1)).tolist()
+        flat, start = symbols[left].tolist(), 0
+        for i, end in zip(members, ends):
+            out[i] = tuple(flat[start:end])
+            start = end
+    return out
+
+
 class Codec:
     """Encodes and decodes with a vocabulary file of byte-level BPE."""
 
@@ -87,7 +174,7 @@ class Codec:
             spec = json.load(file)
         ids, alphabet = spec["model"]["vocab"], byte_alphabet()
         self.byte_ids = [ids[sign] for sign in alphabet]
-        self.pairs = {(ids[a], ids[b]): (rank, ids[a + b]) for rank, (a, b) in enumerate(spec["model"]["merges"])}
+        self.pairs = Pairs([(ids[a], ids[b], ids[a + b]) for a, b in spec["model"]["merges"]])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         byte_of = {sign: b for b, sign in enumerate(alphabet)}
         self.raw = {i: bytes(byte_of[c] for c in token) for token, i in ids.items() if token not in self.special}
@@ -99,18 +186,43 @@ class Codec:
         self.segments = Recent(self._segment)
         self.digested = Recent(self._digested)
 
-    def _piece(self, piece: str) -> tuple[int, ...]:
-        return tuple(merge([self.byte_ids[b] for b in piece.encode()], self.pairs))
+    def _piece(self, piece: str) -> Piece:
+        return self._described(tuple(merge([self.byte_ids[b] for b in piece.encode()], self.pairs)))
 
     def _segment(self, segment: str) -> tuple[int, ...]:
-        return tuple(i for piece in self.find(segment) for i in self.pieces[piece])
-
-    def _digested(self, segment: str) -> tuple[int, bytes, bytes]:
-        """The number of a segment's ids, the ids joined by commas, and the bytes they decode to."""
-        return self._described(self._segment(segment))
-
-    def _described(self, ids: tuple[int, ...]) -> tuple[int, bytes, bytes]:
-        return len(ids), ",".join(map(self.names.__getitem__, ids)).encode(), b"".join(map(self.raw.__getitem__, ids))
+        return tuple(i for piece in self.find(segment) for i in self.pieces[piece][3])
+
+    def _digested(self, segment: str) -> Piece:
+        found = [self.pieces[piece] for piece in self.find(segment)]
+        if len(found) == 1:
+            return found[0]
+        numbers, names, raws, _ = zip(*found)
+        return sum(numbers), b",".join(names), b"".join(raws), ()
+
+    def _described(self, ids: tuple[int, ...]) -> Piece:
+        return len(ids), ",".join(map(self.names.__getitem__, ids)).encode(), b"".join(map(self.raw.__getitem__, ids)), ids
+
+    def prepare(self, texts: list[str]) -> None:
+        """Merge the pieces of the texts that are not known yet, all together."""
+        segments = set().union(*map(SEGMENT.findall, texts))
+        new = [s for s in segments if not self.digested.has(s) and not self.segments.has(s)]
+        pieces = [p for p in set().union(*map(self.find, new)) if not self.pieces.has(p)]
+        byte_ids = self.byte_ids
+        for piece, ids in zip(pieces, merge_many([[byte_ids[b] for b in p.encode()] for p in pieces], self.pairs)):
+            self.pieces.keep(piece, self._described(ids))
+
+    def prepared(self, texts: list[str | None]) -> Iterator[str]:
+        """The texts, nulls as empty ones, each with its pieces merged."""
+        held, size = [], 0
+        for text in texts:
+            held.append(text or "")
+            size += len(held[-1])
+            if size >= _CHUNK:
+                self.prepare(held)
+                yield from held
+                held, size = [], 0
+        self.prepare(held)
+        yield from held
 
     def parts(self, text: str, of_segment: Recent, of_special: Callable[[int], tuple]) -> Iterator[tuple]:
         """What of_segment has for each segment of a text, and of_special for each special token."""
@@ -127,7 +239,7 @@ class Codec:
 
     def digests(self, text: str) -> tuple[int, str, str]:
         """The number of ids of a text, and the digests of the ids joined by commas and of what they decode to."""
-        numbers, names, raws = zip(*self.parts(text, self.digested, lambda i: self._described((i,)))) if text else ((), (), ())
+        numbers, names, raws, _ = zip(*self.parts(text, self.digested, lambda i: self._described((i,)))) if text else ((), (), (), ())
         decoded = b"".join(raws).decode("utf-8", "replace").encode()
         return sum(numbers), hashlib.sha256(b",".join(names)).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
@@ -153,7 +265,7 @@ def encode(df: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "
         code = codec(vocabulary)
         for keys, texts in rows_of(batches):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array([code.encode(t or "") for t in texts], pa.list_(pa.int32()))], ["doc_id", "ids"]
+                [pa.array(keys, pa.int64()), pa.array([code.encode(t) for t in code.prepared(texts)], pa.list_(pa.int32()))], ["doc_id", "ids"]
             )
 
     return pick(df, doc_id=doc_id, text=text).selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
@@ -181,7 +293,7 @@ def round_trip(df: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str
     def run(batches):
         code = codec(vocabulary)
         for keys, texts in rows_of(batches):
-            counts, digests, decoded = zip(*(code.digests(one or "") for one in texts)) if texts else ((), (), ())
+            counts, digests, decoded = zip(*map(code.digests, code.prepared(texts))) if texts else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.int64()), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],

@@ -87,11 +87,17 @@ class Recent(dict):
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
+        self.keep(key, value)
+        return value
+
+    def keep(self, key, value) -> None:
         if len(self) >= self.size:
             self.older = dict(self)
             self.clear()
         self[key] = value
-        return value
+
+    def has(self, key) -> bool:
+        return key in self or key in self.older
 
 
 def mix(x: np.ndarray) -> np.ndarray:
