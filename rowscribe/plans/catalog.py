@@ -81,6 +81,26 @@ def head_by_file(spark, sf_dir):
     return datasets.load_split(spark, f"{sf_dir}/documents.parquet", None, num_samples=150)
 
 
+def head_of(format, **options):
+    """The first documents of files of another format, in the order of files and rows."""
+
+    def query(spark, sf_dir):
+        path = scratch_path(spark, f"head-{format}")
+        rows = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+        kept = rows if format != "text" else rows.select("doc_id", F.concat_ws("|", "doc_id", "lang", "source").alias("value"))
+        ordered = kept.repartitionByRange(5, "doc_id").sortWithinPartitions("doc_id")
+        written = ordered if format != "text" else ordered.select("value")
+        written.write.format(format).options(**options).save(path)
+        schema = "value string" if format == "text" else rows.schema
+        read = datasets.load_split(spark, path, None, format=format, num_samples=333, schema=schema, **options)
+        if format != "text":
+            return read
+        part = lambda i: F.split_part("value", F.lit("|"), F.lit(i))
+        return read.select(part(1).cast("long").alias("doc_id"), part(2).alias("lang"), part(3).alias("source"))
+
+    return query
+
+
 def round_trip(spark, sf_dir):
     path = scratch_path(spark, "round-trip")
     sinks.write_rows(alpaca(spark, sf_dir), path)
@@ -516,15 +536,10 @@ def log_stream(spark, sf_dir):
 def log_hook(spark, sf_dir):
     """The stream, handed batch by batch to a function."""
     lines = logs.with_log_line(event_stream(spark, sf_dir)).select("step", "line")
-    path = scratch_path(spark, "hook-lines")
-
-    def hook(batch, number):
-        # A batch that is run again replaces what it wrote before.
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
-
-    query = logs.on_log(lines, hook, scratch_path(spark, "hook-progress"), until_caught_up=True)
-    query.awaitTermination()
-    return spark.read.schema(lines.schema).parquet(f"{path}/batch=*")
+    path, commits, progress = (scratch_path(spark, f"hook-{name}") for name in ("lines", "commits", "progress"))
+    hook = logs.once(spark, logs.append_batch(path), commits)
+    logs.on_log(lines, hook, progress, until_caught_up=True).awaitTermination()
+    return logs.read_committed(spark, path, commits).select("step", "line")
 
 
 def every_kth(spark, sf_dir):
@@ -539,6 +554,10 @@ QUERIES = {
     "s3_head_by_file": head_by_file,
     "s3_head_of_split": head_of_split,
     "s3_head_large": head_large,
+    "s3_head_json": head_of("json"),
+    "s3_head_csv": head_of("csv", header="true"),
+    "s3_head_text": head_of("text"),
+    "s3_head_orc": head_of("orc"),
     "s5_roundtrip": round_trip,
     "s5_sorted_json": sorted_round_trip,
     "s5_whole_job": whole_job,

@@ -86,7 +86,7 @@ def prepare(spark: SparkSession, job: JobParameters) -> DataFrame:
         format=job.format,
         split_column=job.split_column,
         num_samples=job.dataset_num_samples,
-        order_by=None if job.format == "parquet" else job.keys,
+        order_by=job.keys if job.format == "table" else None,
         schema=job.schema,
         **job.options,
     )

@@ -303,3 +303,5 @@ select * from (values
     ('chats', 'text', null), ('chats', 'chat', 'messages'), ('chats', 'instruction', null), ('chats', 'output', null), ('chats', 'input', null)
 ) as t(shape, part, column_name)"""
 ORACLE["l2_log_text_stream"] = ORACLE["l2_log_text_runs"]
+for _format in ("json", "csv", "text", "orc"):
+    ORACLE[f"s3_head_{_format}"] = "select doc_id, lang, source from documents order by doc_id limit 333"

@@ -1,5 +1,6 @@
 """Read datasets and their splits."""
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession, Window
@@ -33,7 +34,7 @@ def load_split(
     no sub-folders, so its split needs the column. ``None`` reads everything at ``name``.
 
     ``num_samples`` keeps the first rows, by ``order_by`` or else by file and
-    row (Parquet only). None and 0 keep all; more than there are is an error.
+    row. None and 0 keep all; more than there are is an error.
     ``schema`` saves reading JSON and CSV twice.
     Whatever fails here is reported as a RuntimeError. Unreadable file content
     shows up later, when the rows are read.
@@ -48,7 +49,7 @@ def load_split(
             rows = _reader(spark, format, schema, options).load(folder)
         if split_column and split is not None:
             rows = rows.where(column(rows, split_column) == split)
-        return sample_head(rows, num_samples, order_by)
+        return sample_head(rows, num_samples, order_by, format)
     except Exception as error:
         raise RuntimeError(f"{fixed.LOAD_ERROR}{error}") from error
 
@@ -89,15 +90,20 @@ def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def sample_head(
-    df: DataFrame, num_samples: int | None, order_by: Sequence[str] | None = None
+    df: DataFrame,
+    num_samples: int | None,
+    order_by: Sequence[str] | None = None,
+    format: str = "parquet",
 ) -> DataFrame:
     """The first rows; None and 0 mean all, and asking for too many is an error."""
     if not num_samples:
         return df
     if num_samples < 0:
         raise ValueError(f"the number of samples must not be negative: {num_samples}")
-    if order_by is None:
+    if order_by is None and format == "parquet":
         return head_in_file_order(df, num_samples)
+    if order_by is None:
+        return head_in_block_order(df, num_samples)
     available = df.count()
     if num_samples > available:
         raise ValueError(f"{num_samples} samples asked for, {available} rows available")
@@ -126,6 +132,33 @@ def head_in_file_order(df: DataFrame, n: int) -> DataFrame:
     return df.where(path <= end["path"]).where((path < end["path"]) | (row <= last))
 
 
+def head_in_block_order(df: DataFrame, n: int) -> DataFrame:
+    """As :func:`head_in_file_order`, for files that do not number their rows: JSON, CSV,
+    text, ORC and others that are read in blocks.
+
+    Rows are counted in the first file, then in four times as many, until there are enough
+    of them, so files long after the head are not read. Of the file where the head ends the
+    rows are sorted by block and place in it, and only so many kept in a task as are wanted.
+    """
+    path, block = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    until_here = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, 0)
+    # The driver's listing of the files, local ones as rows name them; what is counted has
+    # one row for each.
+    files = sorted(re.sub("^file:/+", "file:/", file) for file in df.inputFiles())
+    some, end = 1, None
+    while end is None:
+        part = df.where(path <= files[some - 1]) if some < len(files) else df
+        counted = part.groupBy(path.alias("path")).count().withColumn("until", F.sum("count").over(until_here))
+        end = counted.where(F.col("until") >= n).orderBy("path").first()
+        if end is None and some >= len(files):
+            raise ValueError(f"{n} samples asked for, but there are fewer rows")
+        some *= 4
+    wanted = n - (end["until"] - end["count"])
+    # Numbers ascend with the rows of a block, wherever the file was cut into blocks.
+    last = df.where(path == end["path"]).orderBy(block, F.monotonically_increasing_id()).limit(wanted)
+    return df.where(path < end["path"]).unionByName(last)
+
+
 def _reader(
     spark: SparkSession, format: str, schema: StructType | str | None, options: dict
 ) -> DataFrameReader:

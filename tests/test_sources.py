@@ -159,3 +159,36 @@ def test_head_of_a_filtered_split(spark, sf_dir):
     ids = [r["doc_id"] for r in rows.collect()]
     every = spark.read.parquet(f"{sf_dir}/documents.parquet").where("lang = 'en'").orderBy("doc_id").limit(150)
     assert sorted(ids) == [r["doc_id"] for r in every.collect()]
+
+
+def test_the_input_is_not_written_over(spark, tmp_path):
+    path = f"{tmp_path}/some data"
+    write_rows(spark.range(3), path)
+    rows = spark.read.parquet(path)
+    for again in (path, f"file://{path}", f"{path}/", str(tmp_path)):
+        with pytest.raises(ValueError, match="read from it"):
+            write_rows(rows, again)
+    write_rows(rows, f"{path} 2")
+    assert spark.read.parquet(path).count() == spark.read.parquet(f"{path} 2").count() == 3
+
+
+@pytest.mark.parametrize("format", ["json", "csv", "orc"])
+def test_head_in_block_order(spark, tmp_path, format):
+    path = f"{tmp_path}/a b"
+    rows = spark.range(0, 1000, 1, 1).selectExpr("id", "repeat('x', 40) as filler")
+    rows.repartitionByRange(4, "id").sortWithinPartitions("id").write.format(format).save(path)
+    if format == "orc":
+        # A file long after the head that can't be read.
+        (tmp_path / "a b" / "zzz.orc").write_bytes(b"not orc")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        for n in (1, 250, 251, 333):
+            found = load_split(spark, path, None, format=format, num_samples=n, schema=rows.schema)
+            assert sorted(r.id for r in found.collect()) == list(range(n))
+        evens = spark.read.format(format).schema(rows.schema).load(path).where("id % 2 = 0")
+        assert sorted(r.id for r in sample_head(evens, 200, None, format).collect()) == list(range(0, 400, 2))
+        if format != "orc":
+            with pytest.raises(RuntimeError, match="fewer rows"):
+                load_split(spark, path, None, format=format, num_samples=1001, schema=rows.schema)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

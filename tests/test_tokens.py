@@ -121,3 +121,39 @@ def test_ready_text_is_learned_whole(spark):
     vocabulary = tok.build_vocabulary(table, "text", 1)
     row = tok.encode_with_labels(table, vocabulary).first()
     assert row.labels == row.token_ids == [1, 0, 1]
+
+
+def test_columns_of_the_caller_stay(spark):
+    rows = spark.createDataFrame([("a b a", 1), (None, 2), ("", 3)], "text string, _tokens int").selectExpr(
+        "*", "4 as _maps", "5 as _digest", "6 as _entries", "7 as _known", "8 as _cold"
+    )
+    vocabulary = tok.build_vocabulary(rows, "text", 10)
+    for encode in (tok.encode_by_lookup, tok.encode_by_join):
+        found = encode(rows, "text", vocabulary, None)
+        assert found.columns == [*rows.columns, "token_ids"]
+        assert sorted((r["_tokens"], r["_maps"], r["_cold"], r.token_ids) for r in found.collect()) == [
+            (1, 4, 8, [1, 2, 1]), (2, 4, 8, None), (3, 4, 8, [])
+        ]
+
+
+def test_size_bounds_what_is_looked_up(spark):
+    rows = spark.createDataFrame([("a a a b b c",)], "text string")
+    whole = tok.build_vocabulary(rows, "text", 10)
+    cut = tok.Vocabulary(whole.frame, 2)
+    for encode in (tok.encode_by_lookup, tok.encode_by_join):
+        assert encode(rows, "text", cut, None).first().token_ids == [1, 1, 1, 2, 2, 0]
+
+
+def test_hot_tokens_are_not_joined(spark, monkeypatch):
+    monkeypatch.setattr(tok, "HOT_TOKENS", 3)
+    rows = spark.range(60).selectExpr("concat('the of and the w', id, ' rare', id % 7, ' the') as text")
+    vocabulary = tok.build_vocabulary(rows, "text", 30)
+    wanted = sorted(tok.encode_by_lookup(rows, "text", vocabulary, None).collect())
+    assert sorted(tok.encode_by_join(rows, "text", vocabulary, None).collect()) == wanted
+
+
+def test_ranking_by_many_tasks(spark, monkeypatch):
+    rows = spark.range(4000).selectExpr("concat('t', id % 900, ' ', id % 30, ' é', id % 401) as text")
+    together = tok.build_vocabulary(rows, "text", 700).frame.orderBy("id").collect()
+    monkeypatch.setattr(tok, "RANKED_TOGETHER", 0)
+    assert tok.build_vocabulary(rows, "text", 700).frame.orderBy("id").collect() == together
