@@ -101,6 +101,30 @@ def head_of(format, **options):
     return query
 
 
+def faulty_files(format, **options):
+    """Files of documents of which the lines of one source are damaged: a folder for each language,
+    the records it has and those that can't be read."""
+
+    def query(spark, sf_dir):
+        path = scratch_path(spark, f"faulty-{format}")
+        rows = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+        if format == "json":
+            whole = F.to_json(F.struct("doc_id", "lang", "source", "n_chars"))
+            damaged = F.substring(whole, F.lit(1), F.length(whole) - 1)
+        else:
+            whole = F.concat_ws(",", "doc_id", "lang", "source", "n_chars")
+            damaged = F.concat_ws(",", "doc_id", "lang", "source", F.lit("many"))
+        value = F.when(F.col("source") == "src1", damaged).otherwise(whole).alias("value")
+        rows.select("lang", value).write.partitionBy("lang").text(path)
+        schema = rows.schema
+        found = datasets.faulty_files(spark, f"{path}/*", format=format, schema=schema, **options)
+        folder = F.regexp_extract("file", "lang=([^/]+)/[^/]+$", 1)
+        lang = F.nullif(folder, F.lit("__HIVE_DEFAULT_PARTITION__")).alias("lang")
+        return found.groupBy(lang).agg(F.sum("rows").alias("rows_read"), F.sum("bad").alias("bad"))
+
+    return query
+
+
 def round_trip(spark, sf_dir):
     path = scratch_path(spark, "round-trip")
     sinks.write_rows(alpaca(spark, sf_dir), path)
@@ -554,6 +578,8 @@ QUERIES = {
     "s3_head_by_file": head_by_file,
     "s3_head_of_split": head_of_split,
     "s3_head_large": head_large,
+    "s4_faulty_json": faulty_files("json"),
+    "s4_faulty_csv": faulty_files("csv"),
     "s3_head_json": head_of("json"),
     "s3_head_csv": head_of("csv", header="true"),
     "s3_head_text": head_of("text"),

@@ -113,10 +113,17 @@ _ALPACA_WITH_PROMPT = f"select *, {_ALPACA_PROMPT} as prompt_text from ({ALPACA}
 _OTHER = "((k % n - x + n) % n)"
 _MIXED = f"((greatest(x, {_OTHER}) % 2147483647 * 48271 + k % 2147483647) % 2147483647 * 69621 % 2147483647)"
 
+#: Damaged lines by folder.
+FAULTY = """
+select lang, count(*) as rows_read, sum((source = 'src1')::bigint)::bigint as bad
+from documents group by lang having bad > 0"""
+
 ORACLE = {
     "s1_load_split": "select doc_id, lang, text from documents where lang = 'en'",
     "s2_pick_split": "select doc_id, lang, text from documents where lang = 'de'",
     "s2_all_splits": "select doc_id, text, lang as split from documents",
+    "s4_faulty_json": FAULTY,
+    "s4_faulty_csv": FAULTY,
     "s3_head_sample": "select * from documents order by doc_id limit 100",
     "s3_head_by_file": "select * from documents order by doc_id limit 150",
     "s3_head_of_split": "select * from documents where lang = 'en' order by doc_id limit 150",

@@ -1,17 +1,31 @@
 """Read datasets and their splits."""
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from rowscribe.functions import fixed
 from rowscribe.operators.columns import column
 from rowscribe.operators.order import head
 
 _PARENT_FOLDER = "([^/]+)/[^/]+$"
+#: Where Spark puts a record that it can't read by the schema, and how many files an error names.
+_BAD_RECORD, _NAMED = "_corrupt_record", 20
+
+
+@contextmanager
+def loading_errors() -> Iterator[None]:
+    """Whatever fails inside is a RuntimeError of loading, also while rows are read."""
+    try:
+        yield
+    except Exception as error:
+        if isinstance(error, RuntimeError) and str(error).startswith(fixed.LOAD_ERROR):
+            raise
+        raise RuntimeError(f"{fixed.LOAD_ERROR}{error}") from error
 
 
 def load_split(
@@ -24,6 +38,7 @@ def load_split(
     num_samples: int | None = None,
     order_by: Sequence[str] | None = None,
     schema: StructType | str | None = None,
+    strict: bool = False,
     **options,
 ) -> DataFrame:
     """Rows of one split of a dataset.
@@ -37,21 +52,60 @@ def load_split(
     row. None and 0 keep all; more than there are is an error.
     ``schema`` saves reading JSON and CSV twice.
     Whatever fails here is reported as a RuntimeError. Unreadable file content
-    shows up later, when the rows are read.
+    shows up later, when the rows are read (see :func:`loading_errors`), and a JSON or CSV
+    record that does not fit the schema as nulls. ``strict`` reads JSON and CSV once more
+    beforehand, and one error names the files with such records.
     """
-    try:
+    with loading_errors():
         if format == "table":
             if split is not None and not split_column:
                 raise ValueError(f"split {split!r} of a table needs split_column")
             rows = spark.table(name)
         else:
             folder = name if split is None or split_column else f"{name.rstrip('/')}/{split}"
+            if strict and format in ("json", "csv"):
+                _refuse(faulty_files(spark, folder, format=format, schema=schema, **options))
             rows = _reader(spark, format, schema, options).load(folder)
         if split_column and split is not None:
             rows = rows.where(column(rows, split_column) == split)
         return sample_head(rows, num_samples, order_by, format)
-    except Exception as error:
-        raise RuntimeError(f"{fixed.LOAD_ERROR}{error}") from error
+
+
+def faulty_files(
+    spark: SparkSession,
+    path: str,
+    *,
+    format: str = "json",
+    schema: StructType | str | None = None,
+    **options,
+) -> DataFrame:
+    """(file, rows, bad): JSON or CSV files with records that can't be read by the schema, how
+    many records each has and how many of them are bad.
+
+    One scan, counted by file before the shuffle; no record travels. Without ``schema`` it is
+    inferred as for reading, and then only what is no record at all is bad. A file that
+    can't be read in any part ends the scan with Spark's error, which names it.
+    """
+    plain = _reader(spark, format, schema, options).load(path).schema
+    plain = StructType([field for field in plain if field.name != _BAD_RECORD])
+    # Spark parses the columns that are asked for only, and a bad value is seen in no other.
+    every = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD_RECORD, "columnPruning": "false"}
+    seen = StructType([*plain, StructField(_BAD_RECORD, StringType())])
+    rows = _reader(spark, format, seen, options | every).load(path)
+    values = F.struct(*(column(rows, field.name) for field in plain))
+    bad = F.count(F.when(F.col(_BAD_RECORD).isNotNull(), values)).alias("bad")
+    files = rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows"), bad)
+    return files.where("bad > 0")
+
+
+def _refuse(files: DataFrame) -> None:
+    """Fail if there are files, naming the first ones; the driver gets no more of them."""
+    numbers = files.agg(F.count("*").alias("files"), F.sum("bad").alias("bad")).first()
+    if numbers["files"]:
+        named = files.orderBy("file").limit(_NAMED).collect()
+        shown = ", ".join(f"{row['file']} ({row['bad']} of {row['rows']})" for row in named)
+        more = "" if numbers["files"] <= _NAMED else f" and {numbers['files'] - _NAMED} files more"
+        raise ValueError(f"{numbers['bad']} records can't be read: {shown}{more}")
 
 
 def load_all_splits(
@@ -63,13 +117,11 @@ def load_all_splits(
     **options,
 ) -> DataFrame:
     """All sub-folders of a dataset, with the folder's name as ``split``."""
-    try:
+    with loading_errors():
         rows = _reader(spark, format, schema, options).load(f"{path.rstrip('/')}/*")
         return rows.withColumn(
             "split", F.regexp_extract("_metadata.file_path", _PARENT_FOLDER, 1)
         )
-    except Exception as error:
-        raise RuntimeError(f"{fixed.LOAD_ERROR}{error}") from error
 
 
 def pick_split(df: DataFrame, split: str, split_column: str = "split") -> DataFrame:

@@ -2,9 +2,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowscribe.sources.datasets import (
+    faulty_files,
     head_in_file_order,
     load_all_splits,
     load_split,
+    loading_errors,
     pick_split,
     sample_head,
     spread,
@@ -192,3 +194,40 @@ def test_head_in_block_order(spark, tmp_path, format):
                 load_split(spark, path, None, format=format, num_samples=1001, schema=rows.schema)
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_files_with_bad_records_are_named(spark, tmp_path):
+    folder = tmp_path / "some lines"
+    folder.mkdir()
+    (folder / "a.json").write_text('{"id": 1, "t": "x"}\n{"id": 2, "t": null}\n')
+    (folder / "b.json").write_text('{"id": 3, "t": "y"}\n{"id": 4, "t"\n{"id": "many"}\n')
+    (folder / "c.json").write_text("")
+    schema = "id long, t string"
+    found = faulty_files(spark, str(folder), schema=schema).collect()
+    assert [(r["file"].rpartition("/")[2], r["rows"], r["bad"]) for r in found] == [("b.json", 3, 2)]
+    with pytest.raises(RuntimeError, match=r"^Data loading error: 2 records .*b\.json \(2 of 3\)$"):
+        load_split(spark, str(folder), None, format="json", schema=schema, strict=True)
+    # Without a schema a value of another type is none that is bad.
+    assert [r["bad"] for r in faulty_files(spark, str(folder)).collect()] == [1]
+    assert load_split(spark, str(folder), None, format="json", schema=schema).count() == 5
+    (folder / "b.json").unlink()
+    assert load_split(spark, str(folder), None, format="json", schema=schema, strict=True).count() == 2
+
+
+def test_csv_records_that_do_not_fit(spark, tmp_path):
+    for name, lines in (("a", "id,t\n1,x\n"), ("b", "id,t\nmany,y\n2\n3,z\n4,w,v\n")):
+        (tmp_path / f"{name}.csv").write_text(lines)
+    found = faulty_files(spark, str(tmp_path), format="csv", schema="id long, t string", header=True).collect()
+    assert [(r["file"].rpartition("/")[2], r["rows"], r["bad"]) for r in found] == [("b.csv", 4, 3)]
+
+
+def test_late_failures_are_loading_errors(spark, tmp_path):
+    spark.range(9).write.parquet(f"{tmp_path}/rows")
+    (tmp_path / "rows" / "part-zzz.parquet").write_bytes(b"PAR1 but not really PAR1")
+    rows = load_split(spark, f"{tmp_path}/rows", None, schema="id long")
+    with pytest.raises(RuntimeError, match="^Data loading error: (.|\\n)*part-zzz"):
+        with loading_errors():
+            rows.collect()
+    with pytest.raises(RuntimeError, match="^Data loading error: nothing$"):
+        with loading_errors(), loading_errors():
+            raise ValueError("nothing")
