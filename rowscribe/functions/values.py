@@ -11,6 +11,9 @@ The Arrow functions are defined inside other functions on purpose: they are
 then shipped by value and executors need no installed copy of this package.
 """
 
+from functools import reduce
+from operator import and_
+
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,6 +28,13 @@ _PLAIN_SCALE = 6
 _PLAIN_FROM = 1e-3
 _PLAIN_BELOW = 1e7
 
+# Strings that Python shows as they are, but for the choice of quotes: ASCII without
+# the backslash, Latin, Greek accents, Cyrillic, kana, common Han and Hangul.
+_PLAIN_STRING = (
+    r"\A[\x20-\x5b\x5d-\x7e\u00a1-\u00ac\u00ae-\u0377\u0400-\u052f"
+    r"\u3041-\u3096\u30a1-\u30ff\u4e00-\u9fa5\uac00-\ud7a3]*+\z"
+)
+
 # The common shape of a literal list of names. Possessive repetition keeps the
 # regex engine from recursing once per element on long lists.
 _PLAIN_NAME_LIST = (
@@ -70,7 +80,88 @@ def py_str(value: Column, dtype: T.DataType) -> Column:
         plain = F.abs(value) >= F.lit(10.0**-_PLAIN_SCALE).cast(dtype)
         rare = _python_text()(F.when(~plain, value))
         return F.coalesce(F.when(plain, value.cast("string")), rare, none)
-    return F.coalesce(_python_text()(value), none)
+    literal = _literal(value, dtype) if isinstance(dtype, _NESTED) else None
+    if literal is None:
+        return F.coalesce(_python_text()(value), none)
+    text, exact = literal
+    if exact is None:
+        return text
+    return F.coalesce(F.when(exact, text), _python_text()(F.when(~exact, value)), none)
+
+
+_NESTED = (T.ArrayType, T.StructType, T.MapType)
+
+
+def _literal(value: Column, dtype: T.DataType) -> tuple[Column, Column | None] | None:
+    """Python ``repr(value)``, and where that is exact: None for everywhere.
+
+    Lists are shown with brackets, structs as dictionaries and maps as lists of pairs. The
+    first column is never null; the second one is true for null. None for types
+    that hold something whose text is made in Python only.
+    """
+    none = F.lit(fixed.PY_NONE)
+    if isinstance(dtype, (T.NullType, T.BooleanType, T.IntegralType)):
+        return py_str(value, dtype), None
+    if isinstance(dtype, (T.StringType, T.CharType, T.VarcharType)):
+        single, double = F.lit("'"), F.lit('"')
+        shown = (
+            F.when(~F.contains(value, single), F.concat(single, value, single))
+            .when(~F.contains(value, double), F.concat(double, value, double))
+            .otherwise(F.concat(single, F.replace(value, single, F.lit("\\'")), single))
+        )
+        return F.coalesce(shown, none), value.isNull() | value.rlike(_PLAIN_STRING)
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        number = value.cast("double")
+        plain = (F.abs(number) >= _PLAIN_FROM) & (F.abs(number) < _PLAIN_BELOW)
+        return F.coalesce(number.cast("string"), none), value.isNull() | (number == 0.0) | plain
+    if isinstance(dtype, T.DecimalType) and dtype.scale <= _PLAIN_SCALE:
+        shown = F.concat(F.lit("Decimal('"), value.cast("string"), F.lit("')"))
+        return F.coalesce(shown, none), None
+    if isinstance(dtype, T.DateType):
+        numbers = F.concat_ws(", ", F.year(value), F.month(value), F.day(value))
+        shown = F.concat(F.lit("datetime.date("), numbers, F.lit(")"))
+        return F.when(value.isNotNull(), shown).otherwise(none), None
+    if isinstance(dtype, T.ArrayType):
+        return _list(value, lambda item: _literal(item, dtype.elementType))
+    if isinstance(dtype, T.MapType):
+
+        def pair(entry):
+            key, held = entry.getField("key"), entry.getField("value")
+            return _joined("(", [_literal(key, dtype.keyType), _literal(held, dtype.valueType)], ")")
+
+        return _list(F.map_entries(value), pair)
+    if isinstance(dtype, T.StructType) and len({name.lower() for name in dtype.names}) == len(dtype.names):
+        fields = [_literal(value.getField(f.name), f.dataType) for f in dtype]
+        found = _joined("{", fields, "}", [f"{name!r}: " for name in dtype.names])
+        if found is None:
+            return None
+        text, exact = found
+        shown = F.when(value.isNull(), none).otherwise(text)
+        return shown, None if exact is None else value.isNull() | exact
+    return None
+
+
+def _list(items: Column, show) -> tuple[Column, Column | None] | None:
+    """The literal of a list of which ``show`` gives that of an item."""
+    of_any = show(F.col("item"))
+    if of_any is None:
+        return None
+    shown = F.array_join(F.transform(items, lambda item: show(item)[0]), ", ")
+    text = F.coalesce(F.concat(F.lit("["), shown, F.lit("]")), F.lit(fixed.PY_NONE))
+    if of_any[1] is None:
+        return text, None
+    return text, items.isNull() | F.forall(items, lambda item: show(item)[1])
+
+
+def _joined(start: str, parts: list, end: str, before: list[str] | None = None):
+    """Literals between marks, each with what is before it; None if one of them is."""
+    if any(part is None for part in parts):
+        return None
+    before = before or [""] * len(parts)
+    shown = [F.concat(F.lit(b), text) for b, (text, _) in zip(before, parts)]
+    bounds = [exact for _, exact in parts if exact is not None]
+    text = F.concat(F.lit(start), F.concat_ws(", ", *shown), F.lit(end))
+    return text, reduce(and_, bounds) if bounds else None
 
 
 def truthy(value: Column, dtype: T.DataType) -> Column:

@@ -365,6 +365,20 @@ def python_text_orders(spark, sf_dir):
     )
 
 
+def python_text_nested(spark, sf_dir):
+    """Lists, structs and maps of numbers and of strings with quotes and line feeds."""
+    rows = table(spark, sf_dir, "conversations").select(
+        "conv_id",
+        "turn",
+        F.array("conv_id", "turn").alias("numbers"),
+        F.array("role", "text").alias("strings"),
+        F.struct(F.col("turn"), F.struct("role").alias("by")).alias("fields"),
+        F.create_map("role", F.array("turn")).alias("entries"),
+    )
+    names = ("numbers", "strings", "fields", "entries")
+    return rows.select("conv_id", "turn", *[render.text_of(rows, name).alias(f"{name}_text") for name in names])
+
+
 def truth(spark, sf_dir):
     rows = movies(spark, sf_dir).select(
         "id", "tagline", "overview", (F.col("vote_count") % 3).alias("rest"), "runtime"
@@ -614,6 +628,7 @@ QUERIES = {
     "f12_strip_special": stripped,
     "x1_py_str": python_text,
     "x1_py_str_orders": python_text_orders,
+    "x1_py_str_nested": python_text_nested,
     "x2_truthy": truth,
     "x3_default_if_falsy": defaults,
     "x4_names": names,

@@ -59,6 +59,7 @@ class JobParameters:
     output_format: str = "parquet"
     output_files: int | None = None
     schema: StructType | str | None = None
+    strict: bool = False
     options: dict[str, str] = field(default_factory=dict)
 
 
@@ -88,6 +89,7 @@ def prepare(spark: SparkSession, job: JobParameters) -> DataFrame:
         num_samples=job.dataset_num_samples,
         order_by=job.keys if job.format == "table" else None,
         schema=job.schema,
+        strict=job.strict,
         **job.options,
     )
     order = ["position", "micro_batch", "step"]

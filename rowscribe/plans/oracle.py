@@ -214,6 +214,16 @@ select o_orderkey, cast(o_custkey as varchar) as custkey_text,
        strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as orderdate_text,
        coalesce(o_orderpriority, 'None') as orderpriority_text
 from orders""",
+    "x1_py_str_nested": r"""
+select conv_id, turn, '[' || conv_id || ', ' || turn || ']' as numbers_text,
+       '[''' || role || ''', ' || case when contains(shown, '''') and not contains(shown, '"')
+              then '"' || shown || '"'
+              else '''' || replace(shown, '''', '\''') || '''' end || ']' as strings_text,
+       '{''turn'': ' || turn || ', ''by'': {''role'': ''' || role || '''}}' as fields_text,
+       '[(''' || role || ''', [' || turn || '])]' as entries_text
+from (select *, replace(replace(replace(replace(text, '\', '\\'), chr(10), '\n'), chr(13), '\r'),
+             chr(9), '\t') as shown
+      from conversations) t""",
     "x2_truthy": f"""
 select id, cast(coalesce(tagline, '') <> '' as bigint) as tagline_true,
        cast(coalesce(overview, '') <> '' as bigint) as overview_true,

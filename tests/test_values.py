@@ -61,6 +61,29 @@ TEXT_CASES = [
 ]
 
 
+_STRINGS = ["", "a b", "it's", 'say "x"', """both ' and " """, "back\\slash", "a\nb", "\t", "\x00", "\x7f", "\xa0", "\xad"]
+_STRINGS += ["é", "ж", "日本", "한", "😀", "​", "͸", "�", "None", None]
+_DOUBLES = [0.0, -0.0, 0.1, -2.5, 1e-3, 9.99e-4, 1e7, 1e16, float("nan"), float("inf"), None]
+
+NESTED_CASES = [
+    ("array<string>", [[s] for s in _STRINGS] + [_STRINGS, [], None]),
+    ("array<double>", [[d] for d in _DOUBLES] + [_DOUBLES, None]),
+    ("array<array<boolean>>", [[[True, None], [], None, [False]], [], None]),
+    ("array<float>", [[0.5, None, -3.0]]),
+    ("array<date>", [[dt.date(999, 1, 31), None], []]),
+    ("array<decimal(10,2)>", [[Decimal("1.50"), Decimal("-0.01"), None], None]),
+    ("array<decimal(20,10)>", [[Decimal("0.0000000001"), None]]),
+    ("array<timestamp_ntz>", [[dt.datetime(2024, 1, 1, 0, 0, 7)], None]),
+    ("array<binary>", [[b"a\x00", None], None]),
+    ("struct<`it's`:int,`a b`:string>", [{"it's": 1, "a b": None}, None]),
+    (
+        "array<struct<a:int,b:struct<c:array<string>,d:double>>>",
+        [[{"a": 1, "b": {"c": ["x", "'"], "d": 0.25}}, {"a": None, "b": None}, None], [], None]
+        + [[{"a": 2, "b": {"c": ["\n"], "d": 1e20}}]],
+    ),
+]
+
+
 def column_of(spark, type_name, values):
     rows = spark.createDataFrame(list(enumerate(values)), f"i int, v {type_name}")
     return rows, F.col("v"), rows.schema["v"].dataType
@@ -73,6 +96,39 @@ def test_py_str(spark, type_name, values):
     assert [row.s for row in found] == [str(value) for value in values]
 
 
+@pytest.mark.parametrize("type_name, values", NESTED_CASES, ids=[c[0] for c in NESTED_CASES])
+def test_py_str_of_nested_values(spark, type_name, values):
+    rows, v, dtype = column_of(spark, type_name, values)
+    found = rows.select("i", py_str(v, dtype).alias("s")).orderBy("i").collect()
+    assert [row.s for row in found] == [str(value) for value in values]
+
+
+def test_py_str_of_maps(spark):
+    values = [{"a": [1, None]}, {"it's": None, "\n": []}, {}, None]
+    rows, v, dtype = column_of(spark, "map<string,array<int>>", values)
+    found = rows.select("i", py_str(v, dtype).alias("s")).orderBy("i").collect()
+    assert found[0].s == "[('a', [1, None])]" and [row.s for row in found[2:]] == ["[]", "None"]
+    assert dict(ast.literal_eval(found[1].s)) == values[1]
+
+
+def test_plain_nested_values_take_no_python(spark):
+    types = ("array<int>", "struct<a:int,b:array<date>>", "map<int,boolean>", "array<decimal(9,2)>")
+    for type_name in types:
+        rows, v, dtype = column_of(spark, type_name, [None])
+        plan = rows.select(py_str(v, dtype))._jdf.queryExecution().executedPlan().toString()
+        assert "Arrow" not in plan and "Python" not in plan
+
+
+def test_strings_taken_as_plain_are_printable_in_python(spark):
+    from rowscribe.functions.values import _PLAIN_STRING
+
+    every = [chr(i) for i in range(1, 0x2FFFF) if not 0xD800 <= i <= 0xDFFF]
+    rows, v, dtype = column_of(spark, "string", every)
+    plain = {row.v for row in rows.where(v.rlike(_PLAIN_STRING)).collect()}
+    assert {"a", "é", "ж", "日"} <= plain
+    assert all(repr(c) in (f"'{c}'", f'"{c}"') for c in plain)
+
+
 def test_py_str_of_float_is_that_of_its_double(spark):
     rows, v, dtype = column_of(spark, "float", [0.1, 0.5, None])
     found = rows.select("i", py_str(v, dtype).alias("s")).orderBy("i").collect()
