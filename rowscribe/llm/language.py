@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from rowscribe.llm.common import fold, numbered, pick, position
 
@@ -210,12 +211,24 @@ def known_scores(network: Network, texts: list[str | None]) -> np.ndarray:
 
 def training_sample(df: DataFrame, doc_id: str, text: str, lang: str) -> list:
     """(text, lang) of rows of folds 1 to 4 that have a text and a language: at most
-    SAMPLE_ROWS of each language, those whose ids hash lowest."""
+    SAMPLE_ROWS of each language, those whose ids hash lowest.
+
+    Numbers of rows set a hash for each language under which little over SAMPLE_ROWS of them
+    lie, so only these are ranked, however many tasks there are. The driver holds one
+    number a language, as the network has an output for each.
+    """
     rows = pick(df, doc_id=doc_id, text=text, lang=lang).where(
         (fold(F.col("doc_id")) != 0) & F.col("lang").isNotNull() & (F.length(F.trim("text")) > 0) & (F.octet_length("text") <= SAMPLE_BYTES)
     )
-    start = rows.select("lang", F.xxhash64("doc_id").alias("h"), "text")
-    # Spark limits each group before the shuffle, so no task gets a whole language.
+    hashed = rows.withColumn("h", F.xxhash64("doc_id"))
+    limits = []
+    for name, n, least in hashed.groupBy("lang").agg(F.count("*"), F.min("h")).collect():
+        share = min(1.0, (1.1 * SAMPLE_ROWS + 100) / n)
+        limits.append((name, max(least, min(2**63 - 1, int(share * 2.0**64) - 2**63))))
+    if not limits:
+        return []
+    known = df.sparkSession.createDataFrame(limits, StructType([StructField("lang", rows.schema["lang"].dataType), StructField("limit", LongType())]))
+    start = hashed.join(F.broadcast(known), "lang").where("h <= limit").select("lang", "h", "text")
     ranked = start.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text")))
     picked = ranked.where(F.col("n") <= SAMPLE_ROWS)
     sample = picked.select("text", "lang").collect()

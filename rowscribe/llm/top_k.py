@@ -2,13 +2,15 @@
 
 Vectors are grouped by length. A query with a lower bound `least` of its k-th
 score needs, in a bucket of vectors of length `longest` at most, a cosine of
-least / (|query| * longest): above 1 the whole bucket is left out by length
-alone; else the product over the first coordinates, plus the most that the
-lengths of the rest allow, leaves out single vectors; full products decide
-among those that stay.
-
-Queries meet candidates in blocks: each block of candidates stays where it is
-and gets the queries whose bound it can meet, in vectors of whole numbers.
+least / (|query| * longest). Above 1 the whole bucket is left out. Under
+BY_COORDINATES any angle will do, so vectors are pruned by length: sorted by
+it, those under least / |query| are a tail. From there on the angle decides:
+of the vectors that are long enough, the product over the first coordinates,
+plus the most that the lengths of the rest allow, leaves out single ones. Full
+products decide among those that stay.
+
+Queries meet candidates in blocks of both: a block of candidates goes to each
+block of queries, whose bounds it may meet, in vectors of whole numbers.
 """
 
 from __future__ import annotations
@@ -20,11 +22,14 @@ from pyspark.sql import functions as F
 
 from rowscribe.llm.common import checkpointed, pick
 
-#: Vectors in a block of candidates, about, and queries multiplied at once.
-BLOCK, QUERIES = 8192, 512
+#: Vectors in a block of candidates and in one of queries, about, and queries multiplied at once.
+BLOCK, QUERY_BLOCK, QUERIES = 8192, 8192, 512
 #: Buckets for each doubling of the length.
 BUCKETS = 8
-#: The longest vectors, whose products with all queries give the first bounds.
+#: The local cosine threshold of a query from which on a bucket is pruned by coordinates, not by
+#: length alone; and what is granted to rounding.
+BY_COORDINATES, SLACK = 0.5, 1e-9
+#: Long vectors, about, whose products with all queries give the first bounds.
 PROBE = 2048
 #: Products of this size at most are exact in doubles.
 _EXACT = 2.0**53
@@ -43,37 +48,41 @@ def best_of(queries: np.ndarray, candidates: np.ndarray, own: np.ndarray, ids: n
     the smaller id; those under `least` may be missing. own: the id each query leaves out."""
     dim = queries.shape[1]
     norm_q, norm_c = (np.sqrt((x.astype(np.float64) ** 2).sum(axis=1)) for x in (queries, candidates))
-    largest = float(norm_q.max(initial=0)) * float(norm_c.max(initial=0))
-    if largest >= _EXACT / 2:
+    longest = float(norm_c.max(initial=0))
+    if float(norm_q.max(initial=0)) * longest >= _EXACT / 2:
         return _best_of_large(queries, candidates, own, ids, k)
-    q, c = queries.astype(np.float64), candidates.astype(np.float64)
+    order = np.lexsort((ids, -norm_c))
+    q, c = queries.astype(np.float64), candidates[order].astype(np.float64)
+    ids, norm_c = ids[order], norm_c[order]
     head = max(1, dim // 4)
     rest_q, rest_c = (np.sqrt((x[:, head:] ** 2).sum(axis=1)) for x in (q, c))
     out_q, out_id, out_score = [], [], []
-    order = np.argsort(ids, kind="stable")
-    c, ids, rest_c = c[order], ids[order], rest_c[order]
     for i in range(len(q)):
-        # Length first, then coordinates: what can't reach the bound is not multiplied in full.
-        with np.errstate(divide="ignore", invalid="ignore"):
-            cosine = least[i] / (norm_q[i] * norm_c.max(initial=0)) if norm_q[i] and norm_c.max(initial=0) else -1.0
-        if cosine > 1 + 1e-9:
+        cosine = least[i] / (norm_q[i] * longest) if norm_q[i] and longest else -1.0
+        if cosine > 1 + SLACK:
             continue
-        stay = np.arange(len(c))
+        near, scores = ids, None
         if cosine > 0:
-            reach = c[:, :head] @ q[i, :head] + rest_c * rest_q[i]
-            stay = np.flatnonzero(reach >= least[i] - 1e-6 * max(1.0, abs(least[i])))
-        scores = c[stay] @ q[i]
-        scores[ids[stay] == own[i]] = -np.inf
-        if len(scores) > k:
-            edge = np.partition(scores, len(scores) - k)[len(scores) - k]
-            near = np.flatnonzero(scores >= edge)
+            # Vectors are sorted by length: those that are too short for any angle end the list.
+            long = int(np.searchsorted(-norm_c, -least[i] / norm_q[i] * (1 - SLACK), side="right"))
+            near = ids[:long]
+            if cosine >= BY_COORDINATES:
+                reach = c[:long, :head] @ q[i, :head] + rest_c[:long] * rest_q[i]
+                stay = np.flatnonzero(reach >= least[i] - 1e-6 * max(1.0, abs(least[i])))
+                near, scores = ids[stay], c[stay] @ q[i]
+            else:
+                scores = c[:long] @ q[i]
         else:
-            near = np.arange(len(scores))
-        near = near[np.lexsort((ids[stay][near], -scores[near]))][:k]
-        near = near[np.isfinite(scores[near])]
-        out_q += [i] * len(near)
-        out_id += ids[stay][near].tolist()
-        out_score += scores[near].astype(np.int64).tolist()
+            scores = c @ q[i]
+        scores[near == own[i]] = -np.inf
+        best = np.arange(len(scores))
+        if len(scores) > k:
+            best = np.flatnonzero(scores >= np.partition(scores, len(scores) - k)[len(scores) - k])
+        best = best[np.lexsort((near[best], -scores[best]))][:k]
+        best = best[np.isfinite(scores[best])]
+        out_q += [i] * len(best)
+        out_id += near[best].tolist()
+        out_score += scores[best].astype(np.int64).tolist()
     return out_q, out_id, out_score
 
 
@@ -94,6 +103,17 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, np.int64) for v in vectors]) if len(vectors) else np.zeros((0, 0), np.int64)
 
 
+def _long_vectors(vectors: DataFrame, buckets: DataFrame) -> DataFrame:
+    """(vec_id, v, dim): the vectors of the longest buckets, about PROBE of them, of the last of these
+    buckets those whose hashes are under a limit set by its size."""
+    n, before = F.col("n"), F.coalesce(F.sum("n").over(Window.orderBy(F.col("bucket").desc(), "dim").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    chosen = buckets.withColumn("before", before).where(F.col("before") < PROBE)
+    share = F.least(F.lit(1.0), (PROBE - F.col("before")) / n).alias("share")
+    limited = vectors.join(F.broadcast(chosen.select("dim", "bucket", share)), ["dim", "bucket"])
+    place = F.pmod(F.xxhash64("vec_id", "v"), F.lit(1 << 30)) / float(1 << 30)
+    return limited.where(place < F.col("share")).select("vec_id", "v", "dim")
+
+
 def top_k(df: DataFrame, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding", every: int = 50) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best candidates of each query.
 
@@ -114,12 +134,11 @@ def top_k(df: DataFrame, k: int = 5, vec_id: str = "vec_id", vector: str = "embe
         .withColumn("bucket", F.floor(F.log2(F.col("norm") + 1) * BUCKETS).cast("int"))
     )
     vectors = checkpointed(vectors)
-    # Buckets are cut into blocks of about equal size by a hash of the id.
-    sizes = vectors.groupBy("dim", "bucket").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    blocks = vectors.join(F.broadcast(sizes), ["dim", "bucket"]).withColumn(
-        "block", F.concat_ws("-", "dim", "bucket", F.pmod(F.xxhash64("vec_id"), F.col("blocks")))
-    )
-    probe = vectors.orderBy(F.col("norm").desc(), "vec_id").limit(PROBE).select("vec_id", "v", "dim").toPandas()
+    # Buckets are cut into blocks of about equal size by a hash. A dimension has at most some
+    # seven hundred buckets, as lengths are doubles of whole numbers of 64 bits.
+    buckets = vectors.groupBy("dim", "bucket").agg(F.count("*").alias("n"), F.max("norm").alias("longest"))
+    buckets = checkpointed(buckets.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")))
+    probe = _long_vectors(vectors, buckets).toPandas()
     groups = {int(d): (_matrix(g["v"]), g["vec_id"].to_numpy(np.int64)) for d, g in probe.groupby("dim")}
     sent = spark.sparkContext.broadcast(groups)
 
@@ -143,14 +162,29 @@ def top_k(df: DataFrame, k: int = 5, vec_id: str = "vec_id", vector: str = "embe
         .select("vec_id", "v", "dim", "norm")
         .mapInPandas(bounds, "vec_id long, v array<long>, dim int, norm double, least double")
     )
-    # Each query goes to the blocks of its dimension that can still hold one of its best.
-    heads = blocks.groupBy("dim", "block").agg(F.max("norm").alias("longest"))
-    heads = heads.groupBy("dim").agg(F.collect_list(F.struct("block", "longest")).alias("heads"))
-    can = lambda h: (F.col("norm") * h["longest"] * F.lit(1 + 1e-9) >= F.col("least"))
+    queries = checkpointed(queries)
+    # Queries are cut into blocks as well. A bucket that no query of a dimension can reach is left
+    # out; the others meet each block of queries, block by block.
+    asking = queries.groupBy("dim").agg(
+        F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("parts"),
+        F.min(F.when(F.col("norm") > 0, F.col("least") / F.col("norm")).otherwise(float("-inf"))).alias("shortest"),
+    )
+    reached = buckets.join(F.broadcast(asking), "dim").where(F.col("longest") * (1 + SLACK) >= F.col("shortest"))
+    reached = checkpointed(reached.select("dim", "bucket", "blocks", "longest", "parts"))
+    numbers = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    dealt = lambda n: F.pmod(F.xxhash64("vec_id", "v"), F.col(n)).cast("int")
+    key = ["dim", "bucket", "block", "part"]
+    blocks = (
+        vectors.join(F.broadcast(reached), ["dim", "bucket"])
+        .withColumn("block", dealt("blocks"))
+        .select("dim", "bucket", "block", F.explode(numbers("parts")).alias("part"), "vec_id", "v")
+    )
+    # Each query goes to the buckets of its dimension that can still hold one of its best.
     asked = (
-        queries.join(heads, "dim")
-        .select("vec_id", "v", "least", F.explode(F.filter("heads", can)).alias("head"))
-        .select("vec_id", "v", "least", F.col("head.block").alias("block"))
+        queries.join(F.broadcast(reached), "dim")
+        .where(F.col("norm") * F.col("longest") * (1 + SLACK) >= F.col("least"))
+        .withColumn("part", dealt("parts"))
+        .select(*(F.col(c).alias(c) for c in ("dim", "bucket")), F.explode(numbers("blocks")).alias("block"), "part", "vec_id", "v", "least")
     )
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -164,9 +198,8 @@ def top_k(df: DataFrame, k: int = 5, vec_id: str = "vec_id", vector: str = "embe
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
 
     found = (
-        blocks.select("block", "vec_id", "v")
-        .groupBy("block")
-        .cogroup(asked.groupBy("block"))
+        blocks.groupBy(*key)
+        .cogroup(asked.groupBy(*key))
         .applyInPandas(meet, "query_id long, vec_id long, score long")
     )
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")

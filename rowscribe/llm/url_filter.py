@@ -9,7 +9,8 @@ length, is held against a threshold calibrated on a held-out fold.
 
 The models learn from every URL that a rule decides. Each context and character
 is counted by itself, in a table that grows with the corpus; URLs are scored by
-joins with it, so neither the driver nor a task holds a model.
+joins with it, so neither the driver nor a task holds a model. Grams that are frequent in all
+URLs are few, by their share of all places, and are looked up instead.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ KINDS = 257
 PARTS = 1 << 32
 #: URLs whose characters are looked at together.
 BATCH = 1000
+#: A gram with more than one in so many places is looked up; there are fewer of them than that.
+HEAVY = 10_000
 #: Weight of the shorter context, in observations.
 WEIGHT = 2.0
 #: Scores are calibrated in this many steps over [-RANGE, RANGE].
@@ -91,8 +94,8 @@ def grams(urls: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def count_grams(frame: DataFrame) -> DataFrame:
-    """(gram, accepted, rejected): how often each gram of any URL is in the (read, learn) rows
-    whose `learn` is true, and in those where it is false; 0 for one that is in others only."""
+    """(gram, accepted, rejected, times): how often each gram of any URL is in the (read, learn) rows
+    whose `learn` is true, in those where it is false, 0 for one that is in others only, and in all."""
 
     def count(batches):
         for whole in batches:
@@ -105,10 +108,11 @@ def count_grams(frame: DataFrame) -> DataFrame:
                 for side in (True, False):
                     weight = np.repeat([x is side for x in learn], sizes)
                     numbers.append(pa.array(np.bincount(of[weight], minlength=len(kinds)), pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int64()), *numbers], ["gram", "accepted", "rejected"])
+                numbers.append(pa.array(np.bincount(of, minlength=len(kinds)), pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int64()), *numbers], ["gram", "accepted", "rejected", "times"])
 
-    counted = frame.select("read", "learn").mapInArrow(count, "gram long, accepted long, rejected long")
-    return summed(counted, F.col("gram"))
+    counted = frame.select("read", "learn").mapInArrow(count, "gram long, accepted long, rejected long, times long")
+    return counted.groupBy("gram").agg(*(F.sum(name).alias(name) for name in ("accepted", "rejected", "times")))
 
 
 def summed(counts: DataFrame, gram: Column) -> DataFrame:
@@ -118,7 +122,7 @@ def summed(counts: DataFrame, gram: Column) -> DataFrame:
 def gram_ratios(counts: DataFrame, accepted: int, rejected: int) -> DataFrame:
     """(gram, ratio): the log-likelihood of each gram's character among the accepted less that
     among the rejected, in PARTS. `accepted` and `rejected` are the sums of the counts."""
-    levels = [counts]
+    levels = [counts.select("gram", "accepted", "rejected")]
     for order in range(ORDER - 1, -1, -1):  # every place has one gram of each order
         levels.insert(0, summed(levels[0], F.col("gram") % KINDS ** (order + 1)))
     totals = {"accepted": F.lit(accepted), "rejected": F.lit(rejected)}
@@ -137,19 +141,38 @@ def gram_ratios(counts: DataFrame, accepted: int, rejected: int) -> DataFrame:
     return likely.select("gram", F.round(ratio * PARTS).cast("long").alias("ratio"))
 
 
-def sum_ratios(frame: DataFrame, ratios: DataFrame) -> DataFrame:
-    """(row, total): the sum of the ratios of all characters of each (row, read) that has any."""
+def sum_ratios(frame: DataFrame, ratios: DataFrame, often: DataFrame) -> DataFrame:
+    """(row, total): the sum of the ratios of all characters of each (row, read) that has any.
+
+    Grams of `often`, fewer than HEAVY, are added up where the URL is read; the others meet
+    their ratio in a join by gram, which then has no gram with a larger share.
+    """
+    known = often.select("gram").join(ratios, "gram").toPandas().sort_values("gram")
+    sent = frame.sparkSession.sparkContext.broadcast((known["gram"].to_numpy(np.int64), known["ratio"].to_numpy(np.int64)))
 
     def places(batches):
+        heavy, ratio = sent.value
         for whole in batches:
             for at in range(0, whole.num_rows, BATCH):
                 batch = whole.slice(at, BATCH)
                 found, sizes = grams(batch.column(1).to_pylist())
-                rows = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), sizes)
-                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(found, pa.int64())], ["row", "gram"])
-
-    found = frame.select("row", "read").mapInArrow(places, "row long, gram long")
-    return found.join(ratios, "gram").groupBy("row").agg(F.sum("ratio").alias("total"))
+                own = batch.column(0).to_numpy(zero_copy_only=False)
+                at = np.repeat(np.arange(len(own)), sizes)
+                place = np.minimum(np.searchsorted(heavy, found), max(len(heavy) - 1, 0))
+                is_heavy = heavy[place] == found if len(heavy) else np.zeros(len(found), bool)
+                sums = np.zeros(len(own), np.int64)
+                np.add.at(sums, at[is_heavy], ratio[place[is_heavy]])
+                # A URL's sum has a key of its own below all grams, which meets nothing.
+                rows = np.concatenate([own, own[at[~is_heavy]]])
+                keys = np.concatenate([-1 - own, found[~is_heavy]])
+                summed_up = np.concatenate([sums, np.zeros(len(keys) - len(own), np.int64)])
+                columns = [pa.array(x, pa.int64()) for x in (rows, keys, summed_up)]
+                yield pa.RecordBatch.from_arrays(columns, ["row", "gram", "known"])
+
+    found = frame.select("row", "read").mapInArrow(places, "row long, gram long, known long")
+    rare = ratios.join(often.select("gram"), "gram", "left_anti")
+    total = F.sum(F.coalesce("ratio", "known")).alias("total")
+    return found.join(rare, "gram", "left").groupBy("row").agg(total)
 
 
 def calibrate(held: DataFrame) -> float:
@@ -190,9 +213,11 @@ def filter_urls(df: DataFrame, rules: list[Rule], page_id: str = "page_id", url:
     frame = checkpointed(frame.drop("url").withColumn("row", F.monotonically_increasing_id()))
     filled = frame.where(F.col("read") != "")
     counts = checkpointed(count_grams(filled))
-    accepted, rejected = counts.agg(F.sum("accepted"), F.sum("rejected")).first()
+    accepted, rejected, times = counts.agg(F.sum("accepted"), F.sum("rejected"), F.sum("times")).first()
     if accepted and rejected:
-        totals = checkpointed(sum_ratios(filled, gram_ratios(counts, accepted, rejected)))
+        often = counts.where(F.col("times") * HEAVY > times)
+        ratios = checkpointed(gram_ratios(counts, accepted, rejected))
+        totals = checkpointed(sum_ratios(filled, ratios, often))
         mean = F.coalesce("total", F.lit(0)) / F.lit(float(PARTS)) / F.greatest(F.octet_length("read"), F.lit(1))
         scored = frame.join(totals, "row", "left").withColumn("score", mean)
         threshold = calibrate(scored.where(F.col("held_out") & F.col("allow").isNotNull()))

@@ -84,7 +84,10 @@ def test_urls(spark):
     assert url_filter.filter_urls(pages.limit(0), URL_RULES).collect() == []
 
 
-def test_top_k_by_brute_force(spark):
+@pytest.mark.parametrize("sizes", [{}, {"BLOCK": 16, "QUERY_BLOCK": 2, "PROBE": 20}])
+def test_top_k_by_brute_force(spark, monkeypatch, sizes):
+    for name, size in sizes.items():
+        monkeypatch.setattr(top_k, name, size)
     random = np.random.default_rng(0)
     rows = [(i, (random.normal(size=8) * 10 ** random.integers(0, 3)).tolist()) for i in range(300)]
     rows += [(300, [0.5] * 8), (301, [0.5] * 8), (302, [0.5] * 8), (50, rows[50][1]), (303, None), (304, [None] + [1.0] * 7)]
@@ -104,6 +107,20 @@ def test_top_k_by_brute_force(spark):
     assert top_k.top_k(frame.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("by_coordinates", [0.0, 0.5, 2.0])
+def test_pruning_loses_nothing(monkeypatch, by_coordinates):
+    monkeypatch.setattr(top_k, "BY_COORDINATES", by_coordinates)
+    random = np.random.default_rng(2)
+    c = random.integers(-300, 300, (500, 12)) * random.integers(1, 9, (500, 1))
+    q, ids, own = random.integers(-300, 300, (40, 12)), random.permutation(500), np.arange(40)
+    products = q @ c.T
+    want = [sorted((-int(products[i, j]), int(ids[j])) for j in range(500) if ids[j] != own[i])[:5] for i in range(40)]
+    for least in (np.full(40, -np.inf), np.array([-float(w[-1][0]) for w in want]), np.array([-w[-1][0] * 0.4 for w in want])):
+        rows, found, scores = top_k.best_of(q, c, own, ids, least, 5)
+        got = [[(-s, j) for i, j, s in zip(rows, found, scores) if i == row] for row in range(40)]
+        assert got == want
+
+
 @pytest.mark.parametrize("length", [5, 16, 24, 33, 50])
 def test_suffix_sort(length):
     random = np.random.default_rng(length)

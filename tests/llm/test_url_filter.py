@@ -34,7 +34,9 @@ def exact_scores(rows):
     return {i: sum(math.log(likely(True, g) / likely(False, g)) for g in own) / max(len(own), 1) for i, own in places.items()}
 
 
-def test_scores_are_of_exact_counts(spark):
+@pytest.mark.parametrize("heavy", [1, 40, url_filter.HEAVY])
+def test_scores_are_of_exact_counts(spark, monkeypatch, heavy):
+    monkeypatch.setattr(url_filter, "HEAVY", heavy)
     draw = random.Random(11)
     letters = "abcdefghijklmnopqrstuvwxyz0123456789-éüñ日本語\0"
     rows = []
