@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -96,8 +97,43 @@ class Recent(dict):
             self.clear()
         self[key] = value
 
-    def has(self, key) -> bool:
-        return key in self or key in self.older
+    def unknown(self, keys: Iterable) -> list:
+        """Those of the keys that the table has not."""
+        older = self.older
+        return [key for key in keys if key not in self and key not in older]
+
+
+def chunks(texts: Iterable[str | None], split: Callable[[str], list[str]], size: int) -> Iterator[list[list[str]]]:
+    """What texts split into, nulls as empty ones, in lists of some `size` characters of texts."""
+    lists, held = [], 0
+    for text in texts:
+        lists.append(split(text or ""))
+        held += len(text or "")
+        if held >= size:
+            yield lists
+            lists, held = [], 0
+    if lists:
+        yield lists
+
+
+_HELD: list = []
+
+
+def held(make: Callable, *args):
+    """What make gives, held for the next tasks of a worker until one asks for another. Spark
+    gives a worker the tasks of every stage, so it has the tables of one operator at a time."""
+    key = (make, args)
+    if not _HELD or _HELD[0] != key:
+        release()
+        _HELD[:] = [key, make(*args)]
+    return _HELD[1]
+
+
+def release() -> None:
+    """Drop what is held; for tasks that need memory and no table."""
+    if _HELD:
+        _HELD.clear()
+        gc.collect()  # tables and what fills them name each other
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -14,17 +14,16 @@ from __future__ import annotations
 
 import bisect
 import re
+import struct
 import zlib
-from functools import cache
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowscribe.llm.bpe import byte_alphabet
-from rowscribe.llm.common import SEGMENT, Recent, checkpointed, pick, rows_of
+from rowscribe.llm.common import WHITE_SPACE, Recent, checkpointed, held, pick, rows_of
 
 #: The id after each document, and the tokens of a sequence.
 END_ID, CAPACITY = 2, 4096
@@ -50,11 +49,14 @@ def pieces(length: int, sizes: list[int]) -> list[int]:
 
 class Encoder:
     """Ids of a text as little-endian bytes. The vocabulary drops white space and
-    never joins across it, so each run between is encoded once and kept."""
+    never joins across it, so each word between is encoded once and kept."""
 
-    #: A word of small letters and the sign that may end it need no normalizing; they are two
+    #: A word of small letters and the ASCII signs that may end it need no normalizing; they are two
     #: pieces. These letters are composed and have one small form.
-    plain = re.compile("([a-zß-öø-ÿ]+)([.,]?)").fullmatch
+    plain = re.compile(r"([a-zß-öø-ÿ]+)([!-/:-@\[-`{-~]*)").fullmatch
+    #: What Python splits at and the vocabulary does not.
+    separators = "\x1c\x1d\x1e\x1f"
+    word = re.compile(f"[^{WHITE_SPACE}]+").findall
 
     def __init__(self, vocabulary: str) -> None:
         from tokenizers import Tokenizer
@@ -63,27 +65,31 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.model, self.alphabet = self.tokenizer.model, byte_alphabet()
-        self.pieces = Recent(self._piece, 250_000)
-        self.segments = Recent(self._segment, 400_000)
+        self.pieces = Recent(self._piece, 100_000)
+        self.words = Recent(self._word, 200_000)
 
     def _piece(self, piece: str) -> bytes:
         if not piece.isascii():
             piece = "".join(map(self.alphabet.__getitem__, piece.encode()))
-        return np.array([token.id for token in self.model.tokenize(piece)], "<u4").tobytes()
+        return self._bytes([token.id for token in self.model.tokenize(piece)])
 
-    def _segment(self, segment: str) -> bytes:
-        found = self.plain(segment.lower())
+    def _word(self, word: str) -> bytes:
+        found = self.plain(word.lower())
         if found:
             return self.pieces[found[1]] + (self.pieces[found[2]] if found[2] else b"")
-        return np.array(self.tokenizer.encode(segment, add_special_tokens=False).ids, "<u4").tobytes()
+        return self._bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
+
+    @staticmethod
+    def _bytes(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.segments.__getitem__, SEGMENT.findall(text)))
+        words = self.word(text) if any(s in text for s in self.separators) else text.split()
+        return b"".join(map(self.words.__getitem__, words))
 
 
-@cache
 def encoder(vocabulary: str) -> Encoder:
-    return Encoder(vocabulary)
+    return held(Encoder, vocabulary)
 
 
 def cut(df: DataFrame, vocabulary: str, doc_id: str, text: str, capacity: int) -> DataFrame:

@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables, clashing names."""
 
+import weakref
 import zlib
 
 import numpy as np
@@ -8,7 +9,7 @@ import pytest
 import regex
 from tokenizers import Tokenizer
 
-from rowscribe.llm import bpe, language, near_dedup, packing, quality_model, quality_rules, suffix_dedup, token_counts, top_k, url_filter
+from rowscribe.llm import bpe, common, language, near_dedup, packing, quality_model, quality_rules, suffix_dedup, token_counts, top_k, url_filter
 from rowscribe.llm.common import SEGMENT
 from rowscribe.llm.queries import URL_RULES
 from rowscribe.llm.suffix_sort import deep_shallow_sort
@@ -159,6 +160,24 @@ def test_encoders_on_odd_texts():
     assert regex.findall(bpe.PATTERN, texts[2]) == [p for s in SEGMENT.findall(texts[2]) for p in regex.findall(bpe.PATTERN, s)]
 
 
+def test_plain_words_after_white_space_are_pieces():
+    encoder = packing.Encoder(WORDS)
+    text = "one two,\nThree... \x1cfour\x1d five$$$"
+    want = Tokenizer.from_file(WORDS).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want
+    assert set(encoder.pieces) == {"one", "two", ",", "three", "...", "five", "$$$"}
+
+
+def test_workers_hold_the_tables_of_one_operator():
+    encoder = weakref.ref(packing.encoder(WORDS))
+    assert packing.encoder(WORDS) is encoder()
+    near_dedup.shingles("a b", 2)
+    assert encoder() is None
+    codec = weakref.ref(bpe.codec(BYTES))
+    common.release()
+    assert codec() is None
+
+
 @pytest.mark.parametrize("rule", token_counts.RULES)
 def test_token_counts_add_up(rule):
     text = "one\n\n\n two é日\n\n"
