@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from rowscribe.llm.common import fold, numbered, pick, position
+from rowscribe.llm.common import fold, numbered, pick, position, release
 
 #: Bytes of a window, of an embedded byte, and the filters of each width.
 WINDOW, EMBEDDING, FILTERS = 128, 8, 16
@@ -37,8 +37,8 @@ EPOCHS, MINIBATCH, RATE = 5, 64, 0.004
 #: To filter, one in so many rows of a language is not learned but calibrates, and so many of
 #: these may score under the threshold.
 CALIBRATING, SPARE = 5, 0.02
-#: Windows that are computed together.
-BATCH = 256
+#: Windows that are computed together, and texts that are Python objects at a time.
+BATCH, TEXTS = 256, 500
 
 
 def windows(raw: bytes) -> np.ndarray:
@@ -301,10 +301,15 @@ def keep_languages(df: DataFrame, network: Network | None, text: str = "text") -
 
     @F.arrow_udf("boolean")
     def known(texts: pa.Array) -> pa.Array:
-        rows, own = texts.to_pylist(), sent.value
-        if own.threshold is None:
-            return pa.array([lang != "und" for lang in predict(own, rows)[0]], pa.bool_())
-        return pa.array(known_scores(own, rows) >= own.threshold, pa.bool_())
+        release()
+        own, kept = sent.value, []
+        for at in range(0, len(texts), TEXTS):
+            rows = texts.slice(at, TEXTS).to_pylist()
+            if own.threshold is None:
+                kept += [lang != "und" for lang in predict(own, rows)[0]]
+            else:
+                kept += (known_scores(own, rows) >= own.threshold).tolist()
+        return pa.array(kept, pa.bool_())
 
     frame = numbered(df)
     return frame.where(known(F.col(position(df, text)).cast("string"))).toDF(*df.columns)

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowscribe.llm.common import Recent, checkpointed, mix, numbered, pick, position, rows_of
+from rowscribe.llm.common import Recent, checkpointed, held, mix, numbered, pick, position, rows_of
 
 #: Permutations; each gives a minimum and a maximum.
 PERMUTATIONS = 100
@@ -35,7 +35,10 @@ PERCENT = 80
 _RANDOM = np.random.default_rng(20240229)
 _FACTORS = (_RANDOM.integers(0, 2**32, PERMUTATIONS, dtype=np.uint32) | np.uint32(1))[:, None]
 _TERMS = _RANDOM.integers(0, 2**32, PERMUTATIONS, dtype=np.uint32)[:, None]
-_WORD = Recent(xxhash.xxh3_64_intdigest, 400_000)
+
+
+def _words() -> Recent:
+    return Recent(xxhash.xxh3_64_intdigest, 200_000)
 
 
 def shingles(text: str | None, words: int) -> np.ndarray:
@@ -46,7 +49,7 @@ def shingles(text: str | None, words: int) -> np.ndarray:
     found = (text or "").encode().lower().split()
     if not found:
         return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(_WORD.__getitem__, found), np.uint64, len(found))
+    hashes = np.fromiter(map(held(_words).__getitem__, found), np.uint64, len(found))
     size = min(words, len(hashes))
     out = np.full(len(hashes) - size + 1, size, np.uint64)
     for i in range(size):
