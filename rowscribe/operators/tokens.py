@@ -5,8 +5,13 @@ feed. The vocabulary is learned from the corpus; id 0 stands for any other
 token.
 """
 
+import hashlib
+from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -178,57 +183,108 @@ def encode_by_join(
 ) -> DataFrame:
     """As :func:`encode_by_lookup`, with an equi-join on the token.
 
-    The ``HOT_TOKENS`` most frequent entries are looked up in the tasks, so what
-    is joined has no token with a large share of all. Ids depend on the text
-    alone, so each text is joined once, under its digest, and rows find their ids
-    by it: null or repeated keys make no difference. The joins carry digests,
-    positions and ids. Their size is left to the optimizer to judge, so no
-    vocabulary is broadcast unchecked, and adaptive execution splits the
-    partitions of frequent texts and of frequent tokens without an entry.
+    The ``HOT_TOKENS`` most frequent entries, which are collected when this is
+    called, are looked up in the tasks, so what is joined has no token with a large
+    share of all. Ids depend on the text alone, so the other tokens of a text are
+    joined once, under its digest, and rows find their ids by it: null or repeated
+    keys make no difference. The joins carry digests, positions and ids. Their size
+    is left to the optimizer to judge, so no vocabulary is broadcast unchecked, and
+    adaptive execution splits the partitions of frequent texts and of frequent
+    tokens without an entry.
     """
     hot = min(vocabulary.size, HOT_TOKENS)
-    split, digest, known, cold, entries = free_names(df, "_tokens", "_digest", "_known", "_cold", "_entries")
-    names = F.col(split)
-    looked_up, ids_of_hot = _looked_up(
-        df.withColumn(digest, F.sha2(column(df, text), 256)).withColumn(split, tokens(column(df, text), max_length)),
-        names,
-        vocabulary.entries().where(F.col("id") <= hot),
-        hot,
-    )
-    marked = looked_up.withColumn(known, ids_of_hot)
-    # The optimizer may put an expression in the place of its column; in an array of one
-    # it is computed once even so, not for each token.
-    rest = F.get(
-        F.transform(
-            F.array(F.col(known)),
-            lambda found: F.filter(
-                F.transform(names, lambda t, i: F.when(F.get(found, i).isNull(), F.struct(i.alias("pos"), t.alias("token")))),
-                lambda x: x.isNotNull(),
-            ),
-        ),
-        F.lit(0),
-    )
+    digest, known, entries = free_names(df, "_digest", "_known", "_entries")
+    known_ids, cold_tokens, filled = _arrow_steps(vocabulary.entries().where(F.col("id") <= hot), max_length)
+    name = F.unhex(F.sha2(column(df, text), 256))
+    # Positions count the cold tokens of a text; they tell the order of the gaps.
+    place = F.shiftleft(F.col("pos").cast("long"), 32) + F.coalesce("id", F.lit(0)).cast("long")
     ids = (
-        marked.select(F.col(digest).alias("digest"), rest.alias(cold))
-        .where(F.size(cold) > 0)
+        df.select(name.alias("digest"), cold_tokens(column(df, text)).alias("cold"))
+        .where(F.col("cold") != "")
         .groupBy("digest")
-        .agg(F.any_value(cold).alias(cold))
-        .select("digest", F.inline(cold))
+        .agg(F.any_value("cold").alias("cold"))
+        .select("digest", F.posexplode(F.split("cold", " ")).alias("pos", "token"))
         .join(vocabulary.entries(above=hot).select("token", "id"), "token", "left")
         .groupBy("digest")
-        .agg(F.collect_list(F.struct("pos", F.coalesce("id", F.lit(0)).alias("id"))).alias(entries))
+        .agg(F.sort_array(F.collect_list(place)).alias(entries))
         .withColumnRenamed("digest", digest)
     )
-    joined = marked.join(ids, digest, "left")
-    none = F.array().cast("array<struct<pos:int,id:int>>")
-    here = F.filter(
-        F.transform(F.col(known), lambda x, i: F.when(x.isNotNull(), F.struct(i.alias("pos"), x.alias("id")))),
-        lambda x: x.isNotNull(),
-    )
-    value = F.sort_array(F.concat(here, F.coalesce(F.col(entries), none)))["id"]
+    joined = df.withColumn(digest, name).withColumn(known, known_ids(column(df, text))).join(ids, digest, "left")
+    value = filled(F.col(known), F.col(entries))
     return with_column(joined, out, value).select(*[F.col(quoted(c)) for c in df.columns if c != out], F.col(quoted(out)))
 
 
+def _arrow_steps(hot: DataFrame, limit: int | None) -> tuple[Callable[..., Column], ...]:
+    """Functions of columns, on whole Arrow arrays: the ids of a text's first ``limit`` tokens, null
+    for those not in ``hot``; these tokens, joined by blanks; and the ids with their gaps filled."""
+    entries = hot.select(_short_key(F.col("token")).alias("key"), F.col("id").cast("int").alias("id")).toArrow().combine_chunks()
+    keys, key_ids = (pa.array(entries[c].to_pylist(), t) for c, t in (("key", pa.large_string()), ("id", pa.int32())))
+    sent = hot.sparkSession.sparkContext.broadcast((keys, key_ids))
+    blank = np.zeros(256, bool)
+    blank[[9, 10, 13, 32]] = True
+    key_bytes = KEY_BYTES
+
+    def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """All tokens, and where those of each row start, and the last ones end."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        if not len(texts):
+            return pa.array([], pa.large_string()), np.zeros(1, np.int64)
+        _, offsets, data = texts.buffers()
+        rows = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        raw = np.frombuffer(data or b"", np.uint8)[rows[0] : rows[-1]]
+        rows = rows - rows[0]
+        inside = ~blank[raw]
+        first, last = inside.copy(), inside.copy()
+        first[1:] &= ~inside[:-1]
+        last[:-1] &= ~inside[1:]
+        heads, tails = rows[rows < len(raw)], rows[rows > 0] - 1
+        first[heads], last[tails] = inside[heads], inside[tails]
+        starts = np.flatnonzero(first)
+        sizes = np.flatnonzero(last) - starts + 1
+        body, bounds = raw[inside], np.searchsorted(starts, rows)
+        if limit is not None:
+            counts = np.diff(bounds)
+            kept = np.arange(len(starts)) - np.repeat(bounds[:-1], counts) < limit
+            body, sizes = body[np.repeat(kept, sizes)], sizes[kept]
+            bounds = np.concatenate([[0], np.cumsum(np.minimum(counts, limit))])
+        ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        parts = [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(body))]
+        return pa.Array.from_buffers(pa.large_string(), len(sizes), parts), bounds
+
+    def looked_up(found: pa.Array) -> pa.Array:
+        keys, key_ids = sent.value
+        long = np.asarray(pc.greater(pc.binary_length(found), key_bytes))
+        if long.any():
+            digests = ["\n" + hashlib.sha256(t.encode()).hexdigest() for t in found.filter(pa.array(long)).to_pylist()]
+            found = pc.replace_with_mask(found, pa.array(long), pa.array(digests, pa.large_string()))
+        return key_ids.take(pc.index_in(found, value_set=keys))
+
+    def lists(values: pa.Array, bounds: np.ndarray, rows: pa.Array) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), values, mask=rows.is_null())
+
+    @F.arrow_udf("array<int>")
+    def known_ids(texts: pa.Array) -> pa.Array:
+        found, bounds = split(texts)
+        return lists(looked_up(found), bounds, texts)
+
+    @F.arrow_udf("string")
+    def cold_tokens(texts: pa.Array) -> pa.Array:
+        found, bounds = split(texts)
+        cold = looked_up(found).is_null()
+        before = np.concatenate([[0], np.cumsum(np.asarray(cold))])
+        of_row = pa.ListArray.from_arrays(pa.array(before[bounds], pa.int32()), found.filter(cold).cast(pa.string()))
+        return pc.binary_join(of_row, " ")
+
+    @F.arrow_udf("array<int>")
+    def filled(known: pa.Array, entries: pa.Array) -> pa.Array:
+        values = known.flatten()
+        gaps = pc.bit_wise_and(entries.flatten(), pa.scalar(0xFFFFFFFF, pa.int64())).cast(pa.int32())
+        counts = np.asarray(pc.list_value_length(known).fill_null(0))
+        return lists(pc.replace_with_mask(values, values.is_null(), gaps), np.concatenate([[0], np.cumsum(counts)]), known)
+
+    return known_ids, cold_tokens, filled
+
+
 def prompt_masked_labels(
     token_ids: Column, prompt: Column, max_length: int | None = None
 ) -> Column:

@@ -157,3 +157,20 @@ def test_ranking_by_many_tasks(spark, monkeypatch):
     together = tok.build_vocabulary(rows, "text", 700).frame.orderBy("id").collect()
     monkeypatch.setattr(tok, "RANKED_TOGETHER", 0)
     assert tok.build_vocabulary(rows, "text", 700).frame.orderBy("id").collect() == together
+
+
+@pytest.mark.parametrize("max_length", [None, 0, 1, 3])
+def test_join_runs_no_expression_for_each_token(spark, monkeypatch, max_length):
+    monkeypatch.setattr(tok, "HOT_TOKENS", 2)
+    long = "é" * 40
+    texts = [*TEXTS, "a a b b c " * 3, f"{long} a {long}x c", "d\te\rf\ng", "a b", None, "日本 a\xa0b 日本"]
+    table = spark.createDataFrame([(None if i == 3 else i, t) for i, t in enumerate(texts)], "k int, text string").repartition(3)
+    vocabulary = tok.build_vocabulary(spark.createDataFrame([(t,) for t in texts + [long] * 9], "text string"), "text", 7)
+    joined = tok.encode_by_join(table, "text", vocabulary, max_length)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in plan
+    key = lambda r: (str(r.k), r.text or "", r.token_ids or [])
+    found = sorted(joined.collect(), key=key)
+    ids = {token: i for i, (token, _) in enumerate(ranking(texts + [long] * 9, 7), 1)}
+    assert [r.token_ids for r in found] == [None if r.text is None else [ids.get(t, 0) for t in split(r.text)[:max_length]] for r in found]
+    assert found == sorted(tok.encode_by_lookup(table, "text", vocabulary, max_length).collect(), key=key)
