@@ -294,8 +294,7 @@ def _send_contexts(told: DataFrame, parts: int, length: int) -> DataFrame:
             if single:
                 yield _windows(single, docs, tags, parts, length)
 
-    # The id is not used, but what is dealt out stays the same for both joins, and so is dealt out once.
-    return told.select("doc_id", "doc", "tag", "text", "codes").mapInArrow(run, _PIECE_FIELDS)
+    return told.mapInArrow(run, _PIECE_FIELDS)
 
 
 def _states(rows: np.ndarray, numbers: np.ndarray, contexts: np.ndarray, known: np.ndarray, owners: np.ndarray) -> np.ndarray:
@@ -391,15 +390,16 @@ def _parts(docs: DataFrame) -> int:
     return max(8, -(-size // GROUP_BYTES))
 
 
-def repeated_spans(docs: DataFrame, texts: DataFrame, parts: int, length: int) -> DataFrame:
+def repeated_spans(docs: DataFrame, texts: DataFrame, columns: list, parts: int, length: int) -> DataFrame:
     """(doc, spans array<struct<tag, begin, end>>): the bytes [begin, end) of each text that
-    repeat strings of a smaller id. docs and texts: rows as of `_keyed`, as they are
-    and dealt out by doc."""
+    repeat strings of a smaller id. docs: rows as of `_keyed`; texts: the same rows dealt
+    out by doc. columns: doc, tag and text of these, in terms of all their columns, whether
+    needed or not: what is dealt out for the caller's join is the same then, and so is dealt out once."""
     if length < K:
         raise ValueError(f"strings of under {K} bytes have no anchors")
     told = _judge(_send_anchors(docs, parts, length))
     codes = told.groupBy("doc").agg(F.collect_list("code").alias("codes"))
-    pieces = _send_contexts(texts.join(codes, "doc"), SORTS * parts, length)
+    pieces = _send_contexts(texts.join(codes, "doc").select(*columns, "codes"), SORTS * parts, length)
     spans = _sort_contexts(pieces, length)
     return spans.groupBy("doc").agg(F.collect_list(F.struct("tag", "begin", "end")).alias("spans"))
 
@@ -431,7 +431,7 @@ def suffix_dedup(df: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", te
     docs = _keyed(df, doc_id, text)
     parts = _parts(docs)
     texts = docs.repartition(parts, "doc")
-    spans = repeated_spans(docs, texts, parts, length)
+    spans = repeated_spans(docs, texts, ["doc_id", "doc", "tag", "text"], parts, length)
 
     def run(batches):
         for batch in (b.slice(at, 1000) for b in batches for at in range(0, len(b), 1000)):
@@ -453,15 +453,20 @@ def cut_repeats(df: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", tex
     """
     docs = _keyed(df, doc_id, text)
     parts = _parts(docs)
-    spans = repeated_spans(docs, docs.repartition(parts, "doc"), parts, length)
+    rows = numbered(df)
     own, raw = F.col(position(df, doc_id)).cast("long"), position(df, text)
+    dealt = rows.withColumn("doc", F.coalesce(own, F.lit(LAST_ID))).repartition(parts, "doc")
+    content = F.col(raw).cast("string").cast("binary")
+    tag = F.xxhash64(content)
+    # The number 1, by way of all columns, of whatever type.
+    others = F.size(F.array_repeat(F.struct(*rows.columns), 1))
+    spans = repeated_spans(docs, dealt, ["doc", tag.alias("tag"), content.alias("text"), others.alias("others")], parts, length)
 
     @F.arrow_udf("string")
     def rest(tags: pa.Array, texts: pa.Array, spans: pa.Array) -> pa.Array:
         return pa.array([r.decode("utf-8", "ignore") for r in _cut_out(tags, texts, spans)[0]], pa.string())
 
-    frame = numbered(df).withColumns({"doc": F.coalesce(own, F.lit(LAST_ID)), "raw": F.col(raw).cast("string").cast("binary")})
-    frame = frame.withColumn("tag", F.xxhash64("raw")).join(spans, "doc", "left")
-    left = F.when(F.col("raw").isNotNull(), F.when(F.col("spans").isNull(), F.col(raw)).otherwise(rest("tag", "raw", "spans")))
-    columns = [left.alias(c) if c == raw else F.col(c) for c in numbered(df).columns]
+    frame = dealt.join(spans, "doc", "left")
+    left = F.when(content.isNotNull(), F.when(F.col("spans").isNull(), F.col(raw)).otherwise(rest(tag, content, "spans")))
+    columns = [left.alias(c) if c == raw else F.col(c) for c in rows.columns]
     return frame.select(*columns).toDF(*df.columns)

@@ -147,6 +147,31 @@ def test_windows_dealt_by_themselves(spark, monkeypatch):
     assert all(shared[5:-5].encode() not in kept for doc, kept in usual if doc)
 
 
+@pytest.mark.parametrize("partitions", [4, 8, 40])
+def test_texts_are_dealt_out_once(spark, partitions):
+    shared = "a passage of well over fifty bytes that many of the documents share among them"
+    rows = [(i, f"{i * 7919 % 1000:04d} own words {i} {shared} other words {i * 31}") for i in range(40)]
+    frame = spark.createDataFrame([*rows, (None, rows[3][1]), (50, None), (3, "short")], "doc_id long, text string")
+    # Columns of a type without order, without nulls, and with names in use.
+    frame = frame.selectExpr("map('a', doc_id) as m", "coalesce(doc_id, 7) as doc", "text", "doc_id", "text as tag", "'x' as others")
+    whole = {(r["doc_id"], r["text"]): r["text"] for r in frame.collect()}
+    kept = {(r["doc_id"], r["n_bytes"]): r["kept"].decode() for r in suffix_dedup.suffix_dedup(frame).collect()}
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        cut = suffix_dedup.cut_repeats(frame)
+        assert cut.columns == frame.columns
+        found = {(r["doc_id"], r["tag"]): r for r in cut.collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+    assert set(found) == set(whole)
+    for (doc, text), row in found.items():
+        assert row["text"] == (None if text is None else kept[doc, len(text)])
+        assert (row["m"], row["doc"], row["others"]) == ({"a": doc}, 7 if doc is None else doc, "x")
+    plan = cut._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "isFinalPlan=true" in plan and plan.count("ReusedExchange") == 1
+
+
 def test_encoders_on_odd_texts():
     library, words = Tokenizer.from_file(BYTES), Tokenizer.from_file(WORDS)
     codec, encoder = bpe.codec(BYTES), packing.encoder(WORDS)
