@@ -59,7 +59,8 @@ def term_counts(df: DataFrame, text: str, lang: str, source: str) -> DataFrame:
         def flush() -> Iterator[pa.RecordBatch]:
             for (of_lang, of_source), terms in held.items():
                 numbers = np.array(list(terms.values()), np.int64).reshape(-1, 2)
-                columns = [pa.array([of_lang] * len(terms)), pa.array([of_source] * len(terms)), pa.array([t.decode() for t in terms])]
+                # Of a group without terms the type can't be told by the values.
+                columns = [pa.array(x, pa.string()) for x in ([of_lang] * len(terms), [of_source] * len(terms), [t.decode() for t in terms])]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(numbers[:, 0]), pa.array(numbers[:, 1])], ["lang", "source", "term", "n", "docs"])
             held.clear()
 

@@ -236,6 +236,14 @@ def test_audit_by_brute_force(spark, tile, block):
     assert sorted(map(tuple, got.collect())) == plain_audit(rows, 9, 12)
 
 
+def test_audit_of_a_source_without_terms(spark):
+    rows = [("one two", "en", "a"), ("1 2 -", "en", "b"), ("two", "en", "c"), (None, "de", "a")]
+    frame = spark.createDataFrame(rows, "text string, lang string, source string").coalesce(1)
+    got = source_audit.audit(frame, documents=1, listed=2)
+    assert sorted(map(tuple, got.collect())) == plain_audit(rows, 1, 2)
+    assert source_audit.audit(frame.where("source = 'b'"), documents=1).collect() == []
+
+
 def test_audit_of_nothing(spark):
     frame = spark.createDataFrame([], "text string, lang string, source string")
     assert source_audit.audit(frame).collect() == []
