@@ -27,10 +27,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowscribe.llm.common import checkpointed, pick, rows_of
+from rowscribe.llm.common import pick
+from rowscribe.sources.scratch import scratch_path
 
 #: A term is in at least so many documents of its language.
 DOCUMENTS = 30
@@ -40,53 +42,85 @@ SCALE, SMOOTHING = 1_000_000_000, 5
 LISTED = 50
 #: Rows of a block, about, sources of a tile, and columns that are multiplied at once.
 BLOCK, TILE, COLUMNS = 4096, 128, 1536
-#: Different (language, source, term) that a task adds up before it sends them on.
-HELD = 200_000
+#: Bytes of text that a task counts at once, and rows that it sends at once.
+PIECE, SENT = 32 << 20, 20_000
 
 #: Bytes as they count: A-Z as a-z, those of letters and beyond ASCII as they are, others as blanks.
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
-def term_counts(df: DataFrame, text: str, lang: str, source: str) -> DataFrame:
-    """(lang, source, term, n, docs): occurrences, and documents with the term, of each group.
+def lowered(texts: pa.Array) -> pa.Array:
+    """The texts with their bytes as they count, words between blanks."""
+    ends = np.frombuffer(texts.buffers()[1], np.int64 if pa.types.is_large_string(texts.type) else np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    own = data.slice(ends[0], ends[-1] - ends[0]).to_pybytes() if data else b""
+    return pa.Array.from_buffers(texts.type, len(texts), [None, pa.py_buffer(ends - ends[0]), pa.py_buffer(own.translate(LETTERS))])
+
+
+def pieces(batches: Iterator[pa.RecordBatch], size: int = PIECE) -> Iterator[pa.Table]:
+    """The rows in pieces of about so many bytes of text; a longer text makes its piece longer."""
+    held, total = [], 0
+    for batch in batches:
+        reached = np.cumsum(pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False), dtype=np.int64)
+        bounds = [0, *(np.flatnonzero(np.diff(reached // size)) + 1).tolist(), len(batch)]
+        for start, stop in zip(bounds, bounds[1:]):
+            if stop == start:
+                continue
+            own = int(reached[stop - 1] - (reached[start - 1] if start else 0))
+            if held and total + own > size:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held, total = [], 0
+            held.append(batch.slice(start, stop - start))
+            total += own
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def piece_counts(piece: pa.Table) -> pa.RecordBatch:
+    """(lang, term, docs, n, counts) of the rows (lang, source, text) of a piece: of every term of
+    a language the documents, the occurrences, and those in each source that has it."""
+    langs, sources, texts = (piece[c].combine_chunks() for c in ("lang", "source", "text"))
+    langs, sources = langs.dictionary_encode(), sources.dictionary_encode()
+    lang, source = langs.indices.to_numpy(), sources.indices.to_numpy()
+    order = np.lexsort((source, lang))
+    at = np.empty(len(order), np.int64)
+    at[order] = np.arange(len(order))
+    words = pc.ascii_split_whitespace(lowered(texts))
+    coded = words.flatten().dictionary_encode()
+    # Documents of a source are together, so a sort by term and document groups at every level.
+    key = coded.indices.to_numpy().astype(np.int64) * len(order) + np.repeat(at, np.diff(words.offsets.to_numpy()))
+    key.sort()
+    start = np.flatnonzero(np.diff(key, prepend=-1))
+    n = np.diff(start, append=len(key))
+    term, doc = np.divmod(key[start], len(order))
+    # Blanks at the ends of a text leave an empty word.
+    real = term != pc.index(coded.dictionary, pa.scalar("", coded.dictionary.type)).as_py()
+    n, term, doc = n[real], term[real], order[doc[real]]
+    of_lang, of_source = lang[doc], source[doc]
+    new = (np.diff(term, prepend=-1) != 0) | (np.diff(of_lang, prepend=-1) != 0)
+    rows, cells = np.flatnonzero(new), np.flatnonzero(new | (np.diff(of_source, prepend=-1) != 0))
+    summed = lambda starts: pa.array(np.add.reduceat(n, starts) if len(starts) else starts, pa.int64())
+    named = lambda values, codes: values.dictionary.cast(pa.string()).take(pa.array(codes))
+    counts = pa.StructArray.from_arrays([named(sources, of_source[cells]), summed(cells)], ["source", "n"])
+    of_row = pa.array(np.append(np.searchsorted(cells, rows), len(cells)), pa.int32())
+    docs = pa.array(np.diff(rows, append=len(n)), pa.int64())
+    columns = [named(langs, of_lang[rows]), named(coded, term[rows]), docs, summed(rows), pa.ListArray.from_arrays(of_row, counts)]
+    return pa.RecordBatch.from_arrays(columns, ["lang", "term", "docs", "n", "counts"])
+
 
-    Tasks add up what they read, so a frequent term or group sends few rows."""
+def term_counts(df: DataFrame, text: str, lang: str, source: str) -> DataFrame:
+    """(lang, term, docs, n, counts): of each term that a piece of the table has, the documents with
+    it, its occurrences, and those in each source. A frequent term sends one row a piece, whatever
+    the sources."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], dict[bytes, list[int]]] = {}
-        size = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for (of_lang, of_source), terms in held.items():
-                numbers = np.array(list(terms.values()), np.int64).reshape(-1, 2)
-                # Of a group without terms the type can't be told by the values.
-                columns = [pa.array(x, pa.string()) for x in ([of_lang] * len(terms), [of_source] * len(terms), [t.decode() for t in terms])]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(numbers[:, 0]), pa.array(numbers[:, 1])], ["lang", "source", "term", "n", "docs"])
-            held.clear()
-
-        for langs, sources, texts in rows_of(batches):
-            for of_lang, of_source, one in zip(langs, sources, texts):
-                terms = held.setdefault((of_lang, of_source), {})
-                before = len(terms)
-                own: dict[bytes, int] = {}
-                for word in one.encode().translate(LETTERS).split():
-                    own[word] = own.get(word, 0) + 1
-                for word, n in own.items():
-                    total = terms.get(word)
-                    if total is None:
-                        terms[word] = [n, 1]
-                    else:
-                        total[0] += n
-                        total[1] += 1
-                size += len(terms) - before
-                if size >= HELD:
-                    yield from flush()
-                    size = 0
-        yield from flush()
+        for piece in pieces(batches):
+            counted = piece_counts(piece)
+            for start in range(0, len(counted), SENT):
+                yield counted.slice(start, SENT)
 
     rows = groups(df, lang=lang, source=source, text=text)
-    counted = rows.mapInArrow(count, "lang string, source string, term string, n long, docs long")
-    return counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    return rows.mapInArrow(count, "lang string, term string, docs long, n long, counts array<struct<source: string, n: long>>")
 
 
 def groups(df: DataFrame, **columns: str) -> DataFrame:
@@ -97,9 +131,16 @@ def groups(df: DataFrame, **columns: str) -> DataFrame:
 
 def price(n: Column, total: Column, terms: Column) -> Column:
     """1 + floor(SCALE * (n + SMOOTHING) / (total + SMOOTHING * terms)), in whole numbers of any size."""
-    wide = lambda c: c.cast("decimal(20,0)")
-    share = F.call_function("div", wide(n + SMOOTHING) * F.lit(SCALE).cast("decimal(10,0)"), wide(total + SMOOTHING * terms))
-    return (1 + share).cast("long")
+    share = lambda kind, scale: F.call_function("div", (n.cast("long") + SMOOTHING).cast(kind) * F.lit(SCALE).cast(scale), (total + SMOOTHING * terms).cast(kind))
+    # Decimals where the product may be too large for a long.
+    return (1 + F.when(n < 2**63 // SCALE - SMOOTHING, share("long", "long")).otherwise(share("decimal(20,0)", "decimal(10,0)"))).cast("long")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written to the shared scratch folder as a table, whose size Spark knows."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def product(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -205,11 +246,19 @@ def audit(
     and no terms. Each row is a document, also a repeated one. Other columns are left out. An
     empty table gives no rows.
     """
-    counts = checkpointed(term_counts(df, text, lang, source))
-    in_lang = counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("lang_n")).where(F.col("docs") >= documents)
-    kept = counts.join(in_lang.select("lang", "term", "lang_n"), ["lang", "term"]).select("lang", "source", "term", "n", "lang_n")
+    # What a term has in all pieces meets once; from there on, also on disk, there are kept terms only.
+    of_term = Window.partitionBy("term", "lang")
+    kept = (
+        term_counts(df, text, lang, source)
+        .withColumns({"docs": F.sum("docs").over(of_term), "lang_n": F.sum("n").over(of_term)})
+        .where(F.col("docs") >= documents)
+        .select("lang", "term", "lang_n", F.inline("counts"))
+        .groupBy("lang", "source", "term", "lang_n")
+        .agg(F.sum("n").alias("n"))
+    )
+    kept = stored(kept, "terms")
 
-    totals = in_lang.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("lang_n").alias("lang_total"))
+    totals = kept.groupBy("lang").agg(F.countDistinct("term").alias("terms"), F.sum("n").alias("lang_total"))
     own = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     numbered_ = Window.partitionBy("lang").orderBy("source")
     sources = (
@@ -225,8 +274,8 @@ def audit(
         # The price of a term that the source has not.
         .withColumn("nothing", F.when(F.col("terms") > 0, price(F.lit(0), F.col("total"), F.col("terms"))))
     )
-    sources = checkpointed(sources)
-    entries = checkpointed(
+    sources = stored(sources, "sources")
+    entries = (
         kept.join(sources, ["lang", "source"])
         .withColumn("price", price(F.col("n"), F.col("total"), F.col("terms")))
         .withColumn("above", F.col("price") - price(F.col("lang_n"), F.col("lang_total"), F.col("terms")))

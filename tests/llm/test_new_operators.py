@@ -9,10 +9,13 @@ from itertools import pairwise
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from rowscribe.llm import periodic_runs, pii, source_audit
 from rowscribe.llm.queries import QUERIES
+from rowscribe.sources import scratch
 
 SMALL = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -249,6 +252,55 @@ def test_audit_of_nothing(spark):
     assert source_audit.audit(frame).collect() == []
 
 
+def test_audit_writes_kept_terms_only(spark, tmp_path, monkeypatch):
+    rows = [(f"common {'rare' + chr(97 + i // 26) + chr(97 + i % 26)}", "en", f"s{i % 3}") for i in range(200)]
+    frame = spark.createDataFrame(rows, "text string, lang string, source string")
+    monkeypatch.setattr(scratch, "scratch_root", lambda spark: str(tmp_path))
+    before = spark.sparkContext.getCheckpointDir()
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    try:
+        got = sorted(map(tuple, source_audit.audit(frame).collect()))
+    finally:
+        spark.sparkContext.setCheckpointDir(before or str(tmp_path))
+    assert got == plain_audit(rows, 30, 50)
+    written = [path.read_bytes() for path in tmp_path.rglob("part-*")]
+    assert any(b"common" in data for data in written)
+    assert not any(b"rare" in data for data in written)
+
+
+@pytest.mark.parametrize("size", [1, 40, 10**6])
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_counts_of_pieces(size, kind):
+    rows = [(text or "", lang or "", source or "") for text, lang, source in audit_rows() if len(text or "") < 1000] + [("", "en", "a"), ("  Née-x\u3000Y, ", "en", "a"), ("1", "de", "b")]
+    table = pa.table([pa.array(x, kind) for x in zip(*rows)], ["text", "lang", "source"])
+    batches = [*table.slice(0, 300).to_batches(max_chunksize=77), pa.RecordBatch.from_pylist([], schema=table.schema), *table.slice(300).to_batches()]
+    cut = list(source_audit.pieces(iter(batches), size))
+    assert pa.concat_tables(cut).to_pylist() == table.to_pylist()
+    assert len(cut) == 1 if size == 10**6 else len(cut) > 100
+    want, docs = Counter(), Counter()
+    for text, lang, source in rows:
+        terms = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", text.translate({i: i + 32 for i in range(65, 91)}))
+        want.update((lang, t, source) for t in terms)
+        docs.update({(lang, t) for t in terms})
+    got, seen = Counter(), Counter()
+    for piece in cut:
+        counted = source_audit.piece_counts(piece).to_pylist()
+        assert len({(row["lang"], row["term"]) for row in counted}) == len(counted)
+        for row in counted:
+            seen[row["lang"], row["term"]] += row["docs"]
+            assert row["n"] == sum(x["n"] for x in row["counts"])
+            assert len({x["source"] for x in row["counts"]}) == len(row["counts"])
+            got.update({(row["lang"], row["term"], x["source"]): x["n"] for x in row["counts"]})
+    assert got == want and seen == docs
+
+
+def test_prices_of_large_counts(spark):
+    rows = [(n, total, terms) for n in (0, 1, 2**63 // 10**9 - 6, 2**63 // 10**9 - 5, 2**63 // 10**9, 10**15) for total, terms in ((n, 1), (n + 12345, 678))]
+    frame = spark.createDataFrame(rows, "n long, total long, terms long")
+    got = frame.select("n", "total", "terms", source_audit.price(F.col("n"), F.col("total"), F.col("terms")))
+    assert sorted(map(tuple, got.collect())) == sorted((n, total, terms, 1 + 10**9 * (n + 5) // (total + 5 * terms)) for n, total, terms in rows)
+
+
 def test_products_in_parts(monkeypatch):
     random_ = np.random.default_rng(3)
     n = random_.poisson(2, (500, 6)) * random_.integers(1, 9, (500, 1))
